@@ -24,6 +24,15 @@ def one_row(df: DataFrame, *aggregates: Column) -> Column:
     return df.agg(F.struct(*aggregates).alias("one_row")).scalar()
 
 
+def attach(df: DataFrame, name: str, scalar: Column) -> DataFrame:
+    """Add a scalar as a column, for use in several expressions.
+
+    Every mention of a scalar subquery is planned on its own, so a scalar is named once and its column
+    is used from then on.
+    """
+    return df.withColumn(name, scalar)
+
+
 def as_date(value: Column | dt.date | str) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
 

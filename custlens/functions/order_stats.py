@@ -16,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custlens.functions.columns import one_row
+from custlens.functions.columns import attach, one_row
 
 SLOTS = 4096
 _LARGEST = 1.7976931348623157e308
@@ -42,11 +42,14 @@ def frequencies(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 
 
 def with_slots(freq: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """Add ``_slot``. The edges are one (low, high) pair per measured column."""
-    edges = freq.groupBy("_metric").agg(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high")).alias("edge"))
-    by_metric = edges.agg(F.map_from_entries(F.collect_list(F.struct("_metric", "edge"))).alias("edges")).scalar()
-    edge = by_metric[F.col("_metric")]
-    return freq.withColumn("_slot", value_slot(F.col("_v"), edge["low"], edge["high"], slots))
+    """Add ``_slot``. The edges are one row per measured column, so they can always be broadcast."""
+    # The condition always holds; it keeps the columns of ``freq`` the same in every branch, so that Spark
+    # computes its exchange once and reuses it.
+    value = F.when(F.col("_n") > 0, F.col("_v"))
+    edges = freq.groupBy("_metric").agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    joined = freq.join(F.broadcast(edges), "_metric")
+    slot = value_slot(F.col("_v"), F.col("_low"), F.col("_high"), slots)
+    return joined.withColumn("_slot", slot).drop("_low", "_high")
 
 
 def _preceding(*keys: str, order: str):
@@ -144,8 +147,10 @@ def running_totals(
     if slot is None:
         lead = F.col(order[0]).cast("double")
         edge = one_row(df, F.min(lead).alias("low"), F.max(lead).alias("high"))
-        slot = value_slot(lead, edge["low"], edge["high"])
-    slotted = df.withColumn("_slot", slot)
+        slot = value_slot(lead, F.col("_edge.low"), F.col("_edge.high"))
+        slotted = attach(df, "_edge", edge).withColumn("_slot", slot).drop("_edge")
+    else:
+        slotted = df.withColumn("_slot", slot)
     slot_totals = slotted.groupBy(*by, "_slot").agg(*[F.sum(w).alias(f"_{w}_slot") for w in weights])
     before_slot = _preceding(*by, order="_slot")
     if not by:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.functions.columns import one_row
+from custlens.functions.columns import attach, one_row
 from custlens.functions.order_stats import medians, quantile_struct
 from custlens.operators.enrich import lookup_join
 from custlens.operators.marketing import best_worst, kpi_totals, trend_signal
@@ -176,9 +176,9 @@ def campaign_recommendations(
     rules = [
         ("low_roi", F.col("avg_roi") < roi_goal, nobody, F.col("avg_roi")),
         ("low_ctr", F.col("avg_ctr") < ctr_goal, nobody, F.col("avg_ctr")),
-        ("best_segment", F.lit(True), found[f"best_{segment}"].cast("string"), found["best_ROI"]),
-        ("worst_segment", F.lit(True), found[f"worst_{segment}"].cast("string"), found["worst_ROI"]),
-        ("rising_sales", trend["is_rising"], nobody, trend["pct_above"]),
+        ("best_segment", F.lit(True), F.col(f"_ends.best_{segment}").cast("string"), F.col("_ends.best_ROI")),
+        ("worst_segment", F.lit(True), F.col(f"_ends.worst_{segment}").cast("string"), F.col("_ends.worst_ROI")),
+        ("rising_sales", F.col("_trend.is_rising"), nobody, F.col("_trend.pct_above")),
     ]
     rows = F.array(
         *[
@@ -193,7 +193,7 @@ def campaign_recommendations(
             for i, (rule, applies, subject, amount) in enumerate(rules)
         ]
     )
-    return kpis.select(F.inline(rows)).filter("applies").drop("applies")
+    return attach(attach(kpis, "_ends", found), "_trend", trend).select(F.inline(rows)).filter("applies").drop("applies")
 
 
 def segment_playbook(segments: DataFrame, segment: str = "segment") -> DataFrame:

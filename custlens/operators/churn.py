@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custlens.functions.columns import as_date, last_date, months_after, one_row, total
+from custlens.functions.columns import as_date, attach, last_date, months_after, one_row, total
 from custlens.functions.order_stats import medians, running_totals
 from custlens.operators.cleaning import encode_category
 from custlens.operators.clustering import standardise
@@ -40,14 +40,15 @@ def churn_labels(
     get the same label the shorter ``fallback_months`` horizon is used; if that gives one class too the
     query fails, as no model can be trained on it.
     """
-    pivot = last_date(orders, date) if as_of is None else as_date(as_of)
+    as_of = last_date(orders, date) if as_of is None else as_date(as_of)
     day = F.col(date)
+    in_reach = (day >= months_after(as_of, -observe_months)) & (day <= months_after(as_of, max(horizon_months, fallback_months)))
+    pivot = F.col("_as_of")
     before = day <= pivot
     soon = (day > pivot) & (day <= months_after(pivot, fallback_months))
-    in_reach = (day >= months_after(pivot, -observe_months)) & (day <= months_after(pivot, max(horizon_months, fallback_months)))
     in_horizon = (day > pivot) & (day <= months_after(pivot, horizon_months))
     per_customer = (
-        orders.filter(in_reach & F.col(customer).isNotNull())
+        attach(orders.filter(in_reach & F.col(customer).isNotNull()), "_as_of", as_of)
         .groupBy(customer)
         .agg(
             F.max(F.when(before, day)).alias("_last"),
@@ -64,12 +65,12 @@ def churn_labels(
         F.countDistinct("_churn_soon").alias("short"),
     )
     label = (
-        F.when(classes["long"] > 1, F.col("_churn"))
-        .when(classes["short"] > 1, F.col("_churn_soon"))
+        F.when(F.col("_classes.long") > 1, F.col("_churn"))
+        .when(F.col("_classes.short") > 1, F.col("_churn_soon"))
         .otherwise(F.raise_error(F.lit("all customers have the same churn label")).cast("int"))
     )
-    return per_customer.select(
-        customer, F.datediff(pivot, "_last").alias("recency"), "frequency", "monetary", label.alias("churn")
+    return attach(per_customer, "_classes", classes).select(
+        customer, F.datediff(as_of, "_last").alias("recency"), "frequency", "monetary", label.alias("churn")
     )
 
 
@@ -120,12 +121,15 @@ def stratified_split(
     ranked = running_totals(hashed, ["_hash", key], ["_one"], by=[label], slot=F.shiftright("_hash", 52))
     classes = df.groupBy(label).agg(F.count("*").alias("n"))
     whole = one_row(classes, F.sum("n").alias("n"))["n"]
-    test_rows = F.ceil(whole * test_fraction)
-    fair = F.col("n") * test_rows / whole
-    shares = classes.select(label, F.floor(fair).alias("base"), (fair - F.floor(fair)).alias("rest"))
-    left_over = test_rows - one_row(shares, F.sum("base").alias("base"))["base"]
-    order = Window.orderBy(F.desc("rest"), label)  # one row per label
-    quotas = shares.select(label, (F.col("base") + F.when(F.row_number().over(order) <= left_over, 1).otherwise(0)).alias("quota"))
+    test_rows = F.ceil(F.col("_whole") * test_fraction)
+    fair = F.col("n") * test_rows / F.col("_whole")
+    shares = attach(classes, "_whole", whole).select(
+        label, test_rows.alias("test_rows"), F.floor(fair).alias("base"), (fair - F.floor(fair)).alias("rest")
+    )
+    all_labels = Window.partitionBy("test_rows")  # one row per label, all with the same test size
+    left_over = F.col("test_rows") - F.sum("base").over(all_labels)
+    place = F.row_number().over(all_labels.orderBy(F.desc("rest"), label))
+    quotas = shares.select(label, (F.col("base") + F.when(place <= left_over, 1).otherwise(0)).alias("quota"))
     quota = quotas.agg(F.map_from_entries(F.collect_list(F.struct(label, "quota")))).scalar()
     split = F.when(F.col("_one_before") < quota[F.col(label)], F.lit("test")).otherwise(F.lit("train"))
     return ranked.withColumn("split", split).select(*df.columns, "split")
@@ -135,7 +139,8 @@ def fill_features(df: DataFrame, features: Sequence[str], stats_from: DataFrame
     """Missing features become the median of ``stats_from`` (default: ``df``)."""
     middle = medians(df if stats_from is None else stats_from, features)
     known = middle.select(F.struct(*[F.col(f"{c}_median").alias(c) for c in features]).alias("middle")).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), known[c]) for c in features})
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col("_known")[c]) for c in features}
+    return attach(df, "_known", known).withColumns(filled).drop("_known")
 
 
 def model_input(df: DataFrame, features: Sequence[str], train: DataFrame | None = None) -> DataFrame:

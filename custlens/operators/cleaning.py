@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.functions.columns import as_date, last_date, months_after, one_row, require_columns
+from custlens.functions.columns import as_date, attach, last_date, months_after, one_row, require_columns
 from custlens.functions.order_stats import medians, quantile_struct, running_totals
 
 
@@ -138,12 +138,16 @@ def quantile_scores(
         raise ValueError("every column needs the same number of labels")
     bins = sizes.pop()
     probs = [i * (1.0 / bins) for i in range(bins)] + [1.0]
-    edges = quantile_struct(df, list(labels), probs)
-    return df.withColumns(
-        {
-            names[c]: _scores_from_edges(F.col(c).cast("double"), edges[f"{c}_q"], wanted, fallback)
-            for c, wanted in labels.items()
-        }
+    edges = F.col("_edges")
+    return (
+        attach(df, "_edges", quantile_struct(df, list(labels), probs))
+        .withColumns(
+            {
+                names[c]: _scores_from_edges(F.col(c).cast("double"), edges[f"{c}_q"], wanted, fallback)
+                for c, wanted in labels.items()
+            }
+        )
+        .drop("_edges")
     )
 
 

@@ -12,22 +12,23 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.functions.columns import one_row, require_columns
+from custlens.functions.columns import attach, one_row, require_columns
 from custlens.functions.order_stats import spread_join
 
 
 def standardise(df: DataFrame, cols: Sequence[str], stats_from: DataFrame | None = None, suffix: str = "_z") -> DataFrame:
     """Zero mean and unit population deviation, with the statistics of ``stats_from`` (default: ``df``)."""
     source = df if stats_from is None else stats_from
-    stats = one_row(
+    found = one_row(
         source, *[fn(c).alias(f"{c}_{name}") for c in cols for name, fn in (("mean", F.avg), ("std", F.stddev_pop))]
     )
+    stats = F.col("_stats")
 
     def scaled(c: str) -> Column:
         std = stats[f"{c}_std"]
         return (F.col(c) - stats[f"{c}_mean"]) / F.when(std == 0, F.lit(1.0)).otherwise(std)
 
-    return df.withColumns({f"{c}{suffix}": scaled(c) for c in cols})
+    return attach(df, "_stats", found).withColumns({f"{c}{suffix}": scaled(c) for c in cols}).drop("_stats")
 
 
 def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -94,8 +95,8 @@ def cluster_dispersion(df: DataFrame, features: Sequence[str], segment: str = "s
     n = F.col("n").cast("double")
     centre = one_row(clusters, *[(F.sum(n * F.col(f"mean_{c}")) / F.sum(n)).alias(c) for c in features])
     within = reduce(add, [F.col(f"var_{c}") for c in features])
-    between = reduce(add, [F.pow(F.col(f"mean_{c}") - centre[c], 2) for c in features])
-    sums = clusters.agg(
+    between = reduce(add, [F.pow(F.col(f"mean_{c}") - F.col("_centre")[c], 2) for c in features])
+    sums = attach(clusters, "_centre", centre).agg(
         F.sum("n").alias("rows"),
         F.count("*").alias("clusters"),
         F.sum(n * within).alias("inertia"),
@@ -124,5 +125,5 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], segment: str = "segme
         distance = F.sqrt(reduce(add, [F.pow(F.col(c) - other[c], 2) for c in features]))
         return F.try_divide(F.col("spread") + other["spread"], distance)
 
-    worst = F.array_max(F.transform(F.filter(others, lambda o: o["name"] != F.col(segment)), similarity))
-    return spreads.select(F.coalesce(worst, F.lit(0.0)).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
+    worst = F.array_max(F.transform(F.filter("_others", lambda o: o["name"] != F.col(segment)), similarity))
+    return attach(spreads, "_others", others).select(F.coalesce(worst, F.lit(0.0)).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))

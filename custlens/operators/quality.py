@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.functions.columns import one_row, require_columns
+from custlens.functions.columns import attach, one_row, require_columns
 from custlens.functions.order_stats import exact_quantiles
 
 # Date patterns that are tried, day first before year first.
@@ -38,16 +38,20 @@ def coerce_dates(
     if per_row:
         return df.withColumns({c: F.coalesce(*[_parsed(c, f) for f in formats]) for c in cols})
     readable = [F.count(_parsed(c, f)).alias(f"{c}_{i}") for c in cols for i, f in enumerate(formats)]
-    seen = one_row(df, *readable)
-    return df.withColumns(
-        {
-            c: reduce(
-                lambda chain, i: chain.when(seen[f"{c}_{i}"] > 0, _parsed(c, formats[i])),
-                range(1, len(formats)),
-                F.when(seen[f"{c}_0"] > 0, _parsed(c, formats[0])),
-            )
-            for c in cols
-        }
+    seen = F.col("_seen")
+    return (
+        attach(df, "_seen", one_row(df, *readable))
+        .withColumns(
+            {
+                c: reduce(
+                    lambda chain, i: chain.when(seen[f"{c}_{i}"] > 0, _parsed(c, formats[i])),
+                    range(1, len(formats)),
+                    F.when(seen[f"{c}_0"] > 0, _parsed(c, formats[0])),
+                )
+                for c in cols
+            }
+        )
+        .drop("_seen")
     )
 
 
@@ -71,8 +75,8 @@ def coercion_report(before: DataFrame, after: DataFrame, cols: Sequence[str]) ->
     """column_name, null_before, null_after: what a coercion lost. One pass over each table."""
     cols = [c for c in cols if c in after.columns]
     old = one_row(before, *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    lost = after.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return _long(lost, [(c, [old[c], F.col(c)]) for c in cols], ["null_before", "null_after"])
+    lost = attach(after.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]), "_old", old)
+    return _long(lost, [(c, [F.col("_old")[c], F.col(c)]) for c in cols], ["null_before", "null_after"])
 
 
 def validate_required(df: DataFrame, required: Sequence[str]) -> DataFrame:

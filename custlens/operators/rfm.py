@@ -73,12 +73,12 @@ def rfm(
         orders = coerce_dates(orders, [date])
     if kinds[amount] == "string":
         orders = coerce_numeric(orders, [amount])
-    pivot = last_date(orders, date) if as_of is None else as_date(as_of)
+    pivot = None if as_of is None else as_date(as_of)
     if window_months is not None:
+        pivot = last_date(orders, date) if pivot is None else pivot
         day = F.col(date)
         orders = orders.filter((day >= months_after(pivot, -window_months)) & (day <= pivot))
-    reference = F.date_add(pivot, offset_days) if offset_days else pivot
-    result = (
+    per_customer = (
         orders.filter(F.col(customer).isNotNull())
         .groupBy(customer)
         .agg(
@@ -86,8 +86,14 @@ def rfm(
             F.count("*").alias("frequency"),
             total(amount).alias(monetary),
         )
-        .select(customer, days_between(reference, "_last").alias("recency"), "frequency", monetary)
     )
+    if pivot is None:
+        # The last date follows from the customers' last dates, without reading the orders again. The
+        # condition always holds; it makes this branch need the same columns, so the exchange is reused.
+        known = (F.col("frequency") > 0) | (F.col(monetary) > 0)
+        pivot = last_date(per_customer.withColumn("_last", F.when(known, F.col("_last"))), "_last")
+    reference = F.date_add(pivot, offset_days) if offset_days else pivot
+    result = per_customer.select(customer, days_between(reference, "_last").alias("recency"), "frequency", monetary)
     return enrich(result, customers, customer) if customers is not None else result
 
 

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.functions.columns import one_row
+from custlens.functions.columns import attach, one_row
 from custlens.functions.order_stats import exact_quantiles, frequencies, running_totals, with_slots
 from custlens.operators.quality import numeric_columns
 
@@ -59,19 +59,21 @@ def histogram(df: DataFrame, column: str, bins: int = 20, by: str | None = None)
     """
     value = F.col(column).cast("double")
     known = df.filter(value.isNotNull() & ~F.isnan(value))
-    ends = one_row(known, F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"))
+    ends = F.col("_ends")
+    extent = one_row(known, F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"))
     width = ends["high"] - ends["low"]
     slot = F.least(F.floor(F.coalesce(F.try_divide(F.lit(bins) * (value - ends["low"]), width), F.lit(0.0))), F.lit(bins - 1))
     groups = [by] if by else []
     if by:
         known = known.dropna(subset=[by])
-    counts = known.groupBy(*groups, slot.cast("int").alias("bin")).agg(F.count("*").alias("count"))
+    binned = attach(known, "_ends", extent)
+    counts = binned.groupBy(*groups, slot.cast("int").alias("bin")).agg(F.count("*").alias("count"))
     if by:
         every = counts.select(by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     else:
         every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     middle = exact_quantiles(df, [column], [0.5]).select(F.col(f"{column}_q")[0]).scalar()
-    return every.join(counts, [*groups, "bin"], "left").select(
+    return attach(every.join(counts, [*groups, "bin"], "left"), "_ends", extent).select(
         *groups,
         "bin",
         (ends["low"] + F.col("bin") * width / bins).alias("bin_low"),
@@ -89,11 +91,11 @@ def _matrix(pairs: DataFrame, cols: Sequence[str], constant: Column) -> DataFram
         F.struct(F.col("second").alias("row_name"), F.col("first").alias("column_name"), "correlation"),
     )
     halves = pairs.select(F.inline(both))
-    names = pairs.sparkSession.createDataFrame([(c,) for c in cols], "row_name string")
+    names = attach(pairs.sparkSession.createDataFrame([(c,) for c in cols], "row_name string"), "_constant", constant)
     diagonal = names.select(
         "row_name",
         F.col("row_name").alias("column_name"),
-        F.when(~F.array_contains(constant, F.col("row_name")), F.lit(1.0)).alias("correlation"),
+        F.when(~F.array_contains("_constant", F.col("row_name")), F.lit(1.0)).alias("correlation"),
     )
     return halves.unionByName(diagonal)
 
@@ -142,12 +144,11 @@ def _ranks(counts: DataFrame, value: str) -> DataFrame:
 
 
 def _spearman(counts: DataFrame) -> DataFrame:
-    sizes = counts.groupBy("pair").agg(F.sum("n").alias("rows"))
-    rows_of = sizes.agg(F.map_from_entries(F.collect_list(F.struct("pair", "rows")))).scalar()  # one entry per pair
+    sizes = F.broadcast(counts.groupBy("pair").agg(F.sum("n").alias("rows")))  # one row per column pair
 
     def centred(value: str) -> DataFrame:
-        rank = F.col("size_before") + (F.col("size") + 1) / 2 - (rows_of[F.col("pair")] + 1) / 2
-        return _ranks(counts, value).select("pair", value, rank.alias(f"rank_{value}"))
+        rank = F.col("size_before") + (F.col("size") + 1) / 2 - (F.col("rows") + 1) / 2
+        return _ranks(counts, value).join(sizes, "pair").select("pair", value, rank.alias(f"rank_{value}"))
 
     joined = counts.join(centred("x"), ["pair", "x"]).join(centred("y"), ["pair", "y"])
     n, rx, ry = F.col("n"), F.col("rank_x"), F.col("rank_y")
@@ -175,9 +176,10 @@ def _kendall(counts: DataFrame) -> DataFrame:
     ranked = counts.join(rx, ["pair", "x"]).join(ry, ["pair", "y"]).select("pair", "dx", "dy", "n")
 
     top = one_row(rx, F.max("dx").alias("dx"))["dx"]
-    per_digit = ranked.withColumn("position", F.explode(F.sequence(F.lit(0), F.lit(_DIGITS - 1)))).filter(
-        F.call_function("shiftright", top, (F.col("position") * _DIGIT_BITS).cast("int")) > 0
+    in_use = F.filter(
+        F.sequence(F.lit(0), F.lit(_DIGITS - 1)), lambda p: F.call_function("shiftright", F.col("_top"), p * _DIGIT_BITS) > 0
     )
+    per_digit = attach(ranked, "_top", top).select("pair", "dx", "dy", "n", F.explode(in_use).alias("position"))
     shifted = F.call_function("shiftright", F.col("dx"), (F.col("position") * _DIGIT_BITS).cast("int"))
     digits = 1 << _DIGIT_BITS
     per_digit = per_digit.withColumn("digit", shifted.bitwiseAND(digits - 1)).withColumn(

@@ -54,14 +54,16 @@ def clv_projected(
 ) -> DataFrame:
     """Mean amount * orders per year * expected years as a customer * projected years."""
     require_columns(transactions, [customer, date, amount], "transactions")
-    span = one_row(transactions, F.min(date).alias("first"), F.max(date).alias("last"))
-    years_active = F.greatest(F.datediff(span["last"], span["first"]) / F.lit(365.0), F.lit(0.1))
+    days_active = one_row(transactions, F.datediff(F.max(date), F.min(date)).alias("days"))["days"]
+    years_active = F.greatest(days_active / F.lit(365.0), F.lit(0.1))
     lifespan = 1 / (1 - retention)
     result = (
         transactions.dropna(subset=[customer])
         .groupBy(customer)
         .agg(F.avg(amount).alias("avg_order_value"), F.count(date).alias("total_orders"))
-        .withColumn("purchase_frequency", F.col("total_orders") / years_active)
+        .withColumn("_years", years_active)
+        .withColumn("purchase_frequency", F.col("total_orders") / F.col("_years"))
+        .drop("_years")
         .withColumn("clv", F.col("avg_order_value") * F.col("purchase_frequency") * lifespan * years)
     )
     return enrich(result, customers, customer) if customers is not None else result

@@ -11,7 +11,7 @@ from custlens.functions.columns import days_between, rounded, safe_ratio
 from custlens.functions.order_stats import medians
 from custlens.operators import advice, churn, cleaning, clustering, enrich, marketing, metrics, products, quality, rfm, stats, value
 from custlens.plans import retail
-from custlens.plans.check_sql import check
+from custlens.plans.check_sql import check, tie_shift
 from custlens.session import scratch_path
 from custlens.sources import delimited, headers
 from custlens.sources import retail_views as views
@@ -30,7 +30,7 @@ def query(sql: str | None = None, digits: int = 4, approx: Sequence[str] = ()):
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
             df = fn(spark, folder)
-            return df.withColumns({c: F.round(c, digits) for c in approx}) if approx else df
+            return df.withColumns({c: F.round(F.col(c) + float(tie_shift(digits)), digits) for c in approx}) if approx else df
 
         QUERIES[name] = run
         if sql is not None:
@@ -500,7 +500,7 @@ def dictionary_map(spark, folder):
     approx=["monetary", "revenue_pct"],
 )
 def share_of_total(spark, folder):
-    spent = retail.rfm_table(spark, folder).select("customer_id", "monetary")
+    spent = retail.staged_rfm(spark, folder).select("customer_id", "monetary")
     return enrich.share_of_total(spent, "monetary", "revenue_pct")
 
 
@@ -557,7 +557,7 @@ def rfm_checks(spark, folder):
 
 @query('SELECT customer_id, recency, frequency, monetary, "R", "F", "M", "RFM_Score" FROM v_scored', digits=2, approx=["monetary"])
 def rfm_scores(spark, folder):
-    return rfm.rfm_scores(retail.rfm_table(spark, folder))
+    return rfm.rfm_scores(retail.staged_rfm(spark, folder))
 
 
 @query(
@@ -585,7 +585,7 @@ def _mode_sql(column: str) -> str:
     approx=["avg_age_first", "avg_recency", "avg_frequency", "avg_monetary", "avg_RFM_Score"],
 )
 def segment_profile(spark, folder):
-    return rfm.segment_profile(retail.segment_table(spark, folder))
+    return rfm.segment_profile(retail.staged_segments(spark, folder))
 
 
 _FEATURES = ["recency", "frequency", "monetary"]
@@ -612,7 +612,7 @@ def segment_stats(spark, folder):
     approx=["avg_clv", "avg_purchase_freq", "avg_order_value", "avg_recency", "avg_rfm_score", "avg_age"],
 )
 def segment_characteristics(spark, folder):
-    found = rfm.segment_characteristics(retail.segment_table(spark, folder))
+    found = rfm.segment_characteristics(retail.staged_segments(spark, folder))
     entries = F.transform(F.map_entries("gender_distribution"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return found.withColumn("gender_distribution", F.array_join(F.array_sort(entries), ","))
 
@@ -739,7 +739,7 @@ def trend_signal(spark, folder):
 
 @query("SELECT category, count(*) AS count FROM v_wide GROUP BY 1")
 def value_counts(spark, folder):
-    return products.value_counts(retail.wide_sales(spark, folder), "category")
+    return products.value_counts(retail.product_sales(spark, folder), "category")
 
 
 @query(
@@ -771,7 +771,7 @@ def top_cities(spark, folder):
     )
 )
 def product_preferences(spark, folder):
-    return products.product_preferences(retail.with_segment(retail.wide_sales(spark, folder)))
+    return products.product_preferences(retail.product_sales(spark, folder))
 
 
 @query("SELECT segment, avg(price) AS mean, median(price) AS median, count(price) AS count FROM v_wide GROUP BY 1", approx=["mean"])
@@ -866,7 +866,7 @@ _BOX = ["min", "q1", "median", "q3", "max", "whisker_low", "whisker_high"]
     approx=_BOX,
 )
 def box_stats(spark, folder):
-    return stats.box_stats(retail.segment_table(spark, folder), ["recency", "frequency", "monetary", "age_first"], "segment")
+    return stats.box_stats(retail.staged_segments(spark, folder), ["recency", "frequency", "monetary", "age_first"], "segment")
 
 
 @query(_box_sql("v_scores", "churn_probability", "churn_probability"))
@@ -946,20 +946,20 @@ def correlation_kendall(spark, folder):
     approx=[f"{c}_z" for c in _FEATURES],
 )
 def standardise(spark, folder):
-    scaled = clustering.standardise(retail.rfm_table(spark, folder), _FEATURES)
+    scaled = clustering.standardise(retail.staged_rfm(spark, folder), _FEATURES)
     return scaled.select("customer_id", *[f"{c}_z" for c in _FEATURES])
 
 
 @query()
 def kmeans_segments(spark, folder):
-    segmented, _ = clustering.kmeans_segments(rfm.rfm_scores(retail.rfm_table(spark, folder)))
+    segmented, _ = clustering.kmeans_segments(rfm.rfm_scores(retail.staged_rfm(spark, folder)))
     return segmented
 
 
 @query()
 def kmeans_quality(spark, folder):
     """One row: inertia of the best start and silhouette."""
-    segmented, model = clustering.kmeans_segments(retail.rfm_table(spark, folder), k=4, starts=3)
+    segmented, model = clustering.kmeans_segments(retail.staged_rfm(spark, folder), k=4, starts=3)
     scaled = clustering.standardise(segmented, _FEATURES)
     found = [(clustering.inertia(model), clustering.silhouette(scaled, [f"{c}_z" for c in _FEATURES]))]
     return spark.createDataFrame(found, "inertia double, silhouette double")
@@ -1137,7 +1137,7 @@ def _quote(text: str) -> str:
               FROM v_segments GROUP BY 1)"""
 )
 def segment_recommendations(spark, folder):
-    found = advice.segment_recommendations(retail.segment_table(spark, folder))
+    found = advice.segment_recommendations(retail.staged_segments(spark, folder))
     return found.withColumn("recommendations", F.array_join("recommendations", "|"))
 
 
@@ -1159,7 +1159,7 @@ def _strategy_sql(part: str) -> str:
     approx=["budget"],
 )
 def segment_strategies(spark, folder):
-    found = advice.segment_strategies(rfm.segment_characteristics(retail.segment_table(spark, folder)))
+    found = advice.segment_strategies(rfm.segment_characteristics(retail.staged_segments(spark, folder)))
     return found.withColumns({c: F.array_join(c, "|") for c in ("objectives", "channels", "actions", "kpis")})
 
 
@@ -1204,4 +1204,4 @@ def segment_playbook(spark, folder):
 
 @query("SELECT CAST(customer_id % 5 AS INTEGER) AS segment, median(monetary) AS monetary_median FROM v_rfm GROUP BY 1", digits=2, approx=["monetary_median"])
 def median_by_segment(spark, folder):
-    return medians(retail.with_segment(retail.rfm_table(spark, folder)), ["monetary"], ["segment"])
+    return medians(retail.with_segment(retail.staged_rfm(spark, folder)), ["monetary"], ["segment"])

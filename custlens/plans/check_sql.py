@@ -156,6 +156,14 @@ VIEWS: dict[str, str] = {
         FROM v_segments GROUP BY 1""",
 }
 
+
+
+def tie_shift(digits: int) -> str:
+    """Added before rounding on both sides, so that values half way between two decimals do not depend on
+    the order of summation."""
+    return f"{3.7 * 10.0 ** -(digits + 4):.12f}"
+
+
 _NAME = re.compile(r"\bv_\w+\b")
 
 
@@ -172,9 +180,11 @@ def check(body: str, digits: int = 4, rounded: Sequence[str] = ()) -> str:
 
     visit(body)
     if rounded:
-        columns = ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in rounded)
+        columns = ", ".join(f'round("{c}" + {tie_shift(digits)}, {digits}) AS "{c}"' for c in rounded)
         body = f"SELECT * REPLACE ({columns}) FROM ({body})"
     if not needed:
         return body
+    if body.lstrip().startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
     # Views that are read more than once are computed once.
     return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({VIEWS[n]})" for n in needed) + "\n" + body

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.operators import cleaning, enrich, rfm
+from custlens.operators import churn, cleaning, enrich, rfm
+from custlens.session import stage
 from custlens.sources import retail_views as views
 
 CHURN_AS_OF = "2001-04-01"  # both churn windows hold orders around this day
@@ -29,8 +30,13 @@ def rfm_table(spark: SparkSession, folder: str) -> DataFrame:
     return rfm.rfm(sales(spark, folder))
 
 
+def staged_rfm(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer table behind scores, segments and clusters: the orders are joined and aggregated once."""
+    return stage(rfm_table(spark, folder), "rfm")
+
+
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    return with_segment(rfm.rfm_scores(rfm_table(spark, folder)))
+    return with_segment(rfm.rfm_scores(staged_rfm(spark, folder)))
 
 
 def wide_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,21 +45,20 @@ def wide_sales(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def customer_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """Customer attributes are joined after the aggregation, one row per customer."""
-    totals = rfm.customer_aggregate(sales(spark, folder), first=())
+def segment_table(spark: SparkSession, folder: str) -> DataFrame:
     people = views.customers(spark, folder).select(
-        "customer_id",
-        F.col("name").alias("name_first"),
-        F.col("age").alias("age_first"),
-        F.col("gender").alias("gender_first"),
-        F.col("city").alias("city_first"),
+        "customer_id", F.col("age").alias("age_first"), F.col("gender").alias("gender_first"), F.col("city").alias("city_first")
     )
-    return enrich.enrich(totals, people, "customer_id")
+    return rfm.segment_table(scored(spark, folder), people)
 
 
-def segment_table(spark: SparkSession, folder: str) -> DataFrame:
-    return rfm.segment_table(scored(spark, folder), customer_facts(spark, folder))
+def staged_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return stage(segment_table(spark, folder), "segments")
+
+
+def product_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with segment and product attributes."""
+    return with_segment(enrich.enrich(views.orders(spark, folder), views.products(spark, folder), "product_id"))
 
 
 def campaign_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +68,7 @@ def campaign_sales(spark: SparkSession, folder: str) -> DataFrame:
 def numeric_facts(spark: SparkSession, folder: str) -> DataFrame:
     """recency, frequency, monetary and age (with gaps) per customer."""
     ages = views.customers(spark, folder).select("customer_id", "age", "gender")
-    return enrich.enrich(rfm_table(spark, folder), ages, "customer_id")
+    return stage(enrich.enrich(rfm_table(spark, folder), ages, "customer_id"), "facts")
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,8 +88,6 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def churn_rows(spark: SparkSession, folder: str) -> DataFrame:
-    from custlens.operators import churn
-
     return churn.churn_dataset(
         sales(spark, folder), views.customers(spark, folder), assigned_segments(spark, folder), as_of=CHURN_AS_OF
     )

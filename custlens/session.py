@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "custlens", **conf: str) -> SparkSession:
@@ -43,3 +43,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from the written table.
+
+    For results that several branches of a query read: they are computed once, later plans are short and
+    know the real size, and a lost executor costs no recomputation of what came before.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

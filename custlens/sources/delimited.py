@@ -12,8 +12,7 @@ from pyspark.sql import types as T
 SEPARATORS = {"comma": ",", "semicolon": ";", "tab": "\t"}
 
 _CORRUPT = "_corrupt_record"
-# Stands for "present but empty", so that an empty extra field still counts as a field.
-_EMPTY_FIELD = "\u0001"
+_END = "\u0001end\u0001"
 
 
 def read_delimited(
@@ -65,10 +64,13 @@ def read_raw(
         .option("columnPruning", False)  # the field count must be seen whatever is selected later
         .csv(path)
     )
-    # A corrupt line has too few or too many fields: read those lines again with one more field.
-    wider = ", ".join(f"f{i} string" for i in range(len(columns) + 1))
-    fields = F.from_csv(_CORRUPT, F.lit(wider), {"sep": sep, "nullValue": _EMPTY_FIELD})
-    too_long = F.col(_CORRUPT).isNotNull() & fields[f"f{len(columns)}"].isNotNull()
+    # A corrupt line has too few or too many fields. Read again with a marker behind its last field, the
+    # marker shows up inside the known columns exactly when the line is short.
+    again = F.from_csv(
+        F.concat(F.col(_CORRUPT), F.lit(sep + _END)), F.lit(", ".join(f"f{i} string" for i in range(len(columns)))), {"sep": sep}
+    )
+    short = F.exists(F.array(*[again[f"f{i}"] for i in range(len(columns))]), lambda f: f.eqNullSafe(F.lit(_END)))
+    too_long = F.col(_CORRUPT).isNotNull() & (F.col(columns[-1]).isNotNull() | ~short)
     return lines.withColumn("malformed_line", F.when(too_long, F.col(_CORRUPT))).drop(_CORRUPT)
 
 
