@@ -2,9 +2,10 @@
 
 Values are first reduced to (value, count) pairs, so a value shared by a third of all rows is one
 row. Each pair then falls into one of a fixed number of slots. The slot is a monotone function of
-the value (equal widths on a logarithmic scale between the smallest and the largest value), so
-ranks follow from the slot totals, and only rows inside a slot need sorting. Slots depend on
-nothing but the values: a recomputed task always gives the same answer.
+the value (equal widths on a logarithmic scale between the smallest and the largest value, and
+enough of them that a far outlier does not push all other values into one), so ranks follow from
+the slot totals, and only rows inside a slot need sorting. Slots depend on nothing but the values:
+a recomputed task always gives the same answer.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from custlens.functions.columns import attach, one_row
 
-SLOTS = 4096
+SLOTS = 1 << 20
 _LARGEST = 1.7976931348623157e308
 
 
@@ -41,15 +42,14 @@ def frequencies(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     return long.groupBy(*by, "_metric", "_v").agg(F.count("*").alias("_n"))
 
 
-def with_slots(freq: DataFrame, slots: int = SLOTS) -> DataFrame:
+def with_slots(freq: DataFrame) -> DataFrame:
     """Add ``_slot``. The edges are one row per measured column, so they can always be broadcast."""
     # The condition always holds; it keeps the columns of ``freq`` the same in every branch, so that Spark
     # computes its exchange once and reuses it.
     value = F.when(F.col("_n") > 0, F.col("_v"))
     edges = freq.groupBy("_metric").agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     joined = freq.join(F.broadcast(edges), "_metric")
-    slot = value_slot(F.col("_v"), F.col("_low"), F.col("_high"), slots)
-    return joined.withColumn("_slot", slot).drop("_low", "_high")
+    return joined.withColumn("_slot", value_slot(F.col("_v"), F.col("_low"), F.col("_high"))).drop("_low", "_high")
 
 
 def _preceding(*keys: str, order: str):
@@ -75,48 +75,45 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         .withColumn("_total", F.sum("_slot_n").over(whole_group))
     )
 
-    def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("_total") - 1)
+    wanted = F.lit([float(p) for p in probs])
 
     def holds(rank: Column, size: str) -> Column:
         return (F.col("_start") <= rank) & (rank < F.col("_start") + F.col(size))
 
-    wanted = [f(position(p)) for p in probs for f in (F.floor, F.ceil)]
-    needed = slot_totals.filter(reduce(or_, [holds(rank, "_slot_n") for rank in wanted])).drop("_slot_n")
+    def position(p: Column) -> Column:
+        return p * (F.col("_total") - 1)
+
+    def holds_any(p: Column) -> Column:
+        return holds(F.floor(position(p)), "_slot_n") | holds(F.ceil(position(p)), "_slot_n")
+
+    needed = slot_totals.filter(F.exists(wanted, holds_any)).drop("_slot_n")
     if not by:
         needed = F.broadcast(needed)  # at most two slots per column and probability
     ranked = slotted.join(needed, [*by, "_metric", "_slot"]).withColumn(
         "_start", F.col("_start") + _sum_before("_n", _preceding(*by, "_metric", "_slot", order="_v"))
     )
-
-    def pick(col: str, rank: Column) -> Column:
-        return F.max(F.when((F.col("_metric") == col) & holds(rank, "_n"), F.col("_v")))
-
-    aggregates = []
-    for c in cols:
-        aggregates.append(F.coalesce(F.max(F.when(F.col("_metric") == c, F.col("_total"))), F.lit(0)).alias(f"{c}_n"))
-        for i, p in enumerate(probs):
-            pos = position(p)
-            aggregates.append(pick(c, F.floor(pos)).alias(f"_{c}_lo{i}"))
-            aggregates.append(pick(c, F.ceil(pos)).alias(f"_{c}_hi{i}"))
-    picked = ranked.groupBy(*by).agg(*aggregates)
-
-    def interpolated(c: str, i: int, p: float) -> Column:
-        pos = F.lit(float(p)) * (F.col(f"{c}_n") - 1)
-        low, high = F.col(f"_{c}_lo{i}"), F.col(f"_{c}_hi{i}")
-        return low + (high - low) * (pos - F.floor(pos))
-
-    return picked.select(
-        *by,
-        *[
-            column
-            for c in cols
-            for column in (
-                F.col(f"{c}_n"),
-                F.array(*[interpolated(c, i, p) for i, p in enumerate(probs)]).alias(f"{c}_q"),
-            )
-        ],
+    p, v = F.col("_p"), F.col("_v")
+    neighbours = (
+        ranked.select(*by, "_metric", "_v", "_n", "_start", "_total", F.posexplode(wanted).alias("_i", "_p"))
+        .withColumn("_low", F.when(holds(F.floor(position(p)), "_n"), v))
+        .withColumn("_high", F.when(holds(F.ceil(position(p)), "_n"), v))
+        .filter(F.col("_low").isNotNull() | F.col("_high").isNotNull())
+        .groupBy(*by, "_metric", "_i", "_p", "_total")
+        .agg(F.max("_low").alias("_low"), F.max("_high").alias("_high"))
     )
+    share = position(p) - F.floor(position(p))
+    points = neighbours.select(
+        *by, F.struct("_metric", "_i", (F.col("_low") + (F.col("_high") - F.col("_low")) * share).alias("_q"), "_total").alias("_point")
+    )
+    # One entry per column and probability.
+    found = points.groupBy(*by).agg(F.array_sort(F.collect_list("_point")).alias("_points"))
+
+    def of(c: str) -> Column:
+        return F.filter("_points", lambda e: e["_metric"] == c)
+
+    quantiles = {c: F.when(F.size(of(c)) > 0, F.transform(of(c), lambda e: e["_q"])) for c in cols}
+    counts = {c: F.coalesce(F.get(of(c), 0)["_total"], F.lit(0)) for c in cols}
+    return found.select(*by, *[x for c in cols for x in (counts[c].alias(f"{c}_n"), quantiles[c].alias(f"{c}_q"))])
 
 
 def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -146,7 +143,9 @@ def running_totals(
     by = list(by)
     if slot is None:
         lead = F.col(order[0]).cast("double")
-        edge = one_row(df, F.min(lead).alias("low"), F.max(lead).alias("high"))
+        # weights are never negative; naming them keeps the columns of this branch as in the others
+        known = F.when(reduce(or_, [F.col(w) >= 0 for w in weights]), lead)
+        edge = one_row(df, F.min(known).alias("low"), F.max(known).alias("high"))
         slot = value_slot(lead, F.col("_edge.low"), F.col("_edge.high"))
         slotted = attach(df, "_edge", edge).withColumn("_slot", slot).drop("_edge")
     else:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from custlens.functions.columns import as_date, attach, last_date, months_after, one_row, total
 from custlens.functions.order_stats import medians, running_totals
-from custlens.operators.cleaning import encode_category
+from custlens.operators.cleaning import encode_categories
 from custlens.operators.clustering import standardise
 from custlens.operators.enrich import enrich
 
@@ -74,7 +74,7 @@ def churn_labels(
     )
 
 
-def churn_dataset(
+def churn_base(
     orders: DataFrame,
     customers: DataFrame,
     segments: DataFrame | None = None,
@@ -84,17 +84,23 @@ def churn_dataset(
     date: str = "order_date",
     **windows,
 ) -> DataFrame:
-    """Labels and RFM with demographics, segment, tenure (days, may be negative) and coded categories."""
+    """Labels and RFM with demographics, segment and tenure (days, may be negative)."""
     pivot = last_date(orders, date) if as_of is None else as_date(as_of)
     rows = churn_labels(orders, pivot, customer=customer, date=date, **windows)
     rows = enrich(rows, customers, customer)
     if segments is not None:
         rows = enrich(rows, segments, customer)
-    rows = rows.withColumn("tenure", F.datediff(pivot, F.col(signup)))
-    for column in CATEGORIES:
-        if column in rows.columns:
-            rows = encode_category(rows, column)
-    return rows
+    return rows.withColumn("tenure", F.datediff(pivot, F.col(signup)))
+
+
+def code_categories(base: DataFrame) -> DataFrame:
+    """Codes instead of categories. Every category is a branch that reads ``base``: stage it first."""
+    return encode_categories(base, [c for c in CATEGORIES if c in base.columns])
+
+
+def churn_dataset(orders: DataFrame, customers: DataFrame, segments: DataFrame | None = None, **options) -> DataFrame:
+    """:func:`churn_base` with coded categories."""
+    return code_categories(churn_base(orders, customers, segments, **options))
 
 
 def churn_features(rows: DataFrame) -> list[str]:

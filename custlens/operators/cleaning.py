@@ -154,19 +154,32 @@ def quantile_scores(
 def category_codes(df: DataFrame, column: str) -> DataFrame:
     """(value, code): dense codes from 0 in sorted order of the distinct values; NULL counts as the text 'nan'.
 
-    Values are ranked within their first two characters, so no task sees the whole vocabulary.
+    Values are ranked among those that share the three characters after the prefix common to all values, so
+    no task sees the whole vocabulary.
     """
     value = F.coalesce(F.col(column).cast("string"), F.lit("nan"))
     distinct = df.select(value.alias("value")).distinct().withColumn("one", F.lit(1).cast("long"))
-    ranked = running_totals(distinct, ["value"], ["one"], slot=F.substring("value", 1, 2))
+    first, last = F.col("first"), F.col("last")
+    shared = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.length(first), F.lit(1))),
+        F.lit(0),
+        lambda n, i: F.when((n == i - 1) & (F.substring(first, i, F.lit(1)) == F.substring(last, i, F.lit(1))), i).otherwise(n),
+    )
+    prefix = distinct.agg(F.min("value").alias("first"), F.max("value").alias("last")).select(shared).scalar()
+    with_prefix = attach(distinct, "_prefix", prefix)
+    ranked = running_totals(with_prefix, ["value"], ["one"], slot=F.substring(F.col("value"), F.col("_prefix") + 1, F.lit(3)))
     return ranked.select("value", F.col("one_before").cast("int").alias("code"))
 
 
-def encode_category(df: DataFrame, column: str, code: str | None = None) -> DataFrame:
-    """Add the code of a category column (default: in place)."""
-    codes = category_codes(df, column).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-    joined = df.withColumn("_value", F.coalesce(F.col(column).cast("string"), F.lit("nan"))).join(codes, "_value", "left")
-    return joined.drop("_value").withColumn(code or column, F.col("_code")).drop("_code")
+def encode_categories(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
+    """Replace category columns by their codes, or with ``suffix`` add the codes as further columns."""
+    result = df
+    for column in columns:
+        codes = category_codes(df, column).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        text = F.coalesce(F.col(column).cast("string"), F.lit("nan"))
+        joined = result.withColumn("_value", text).join(codes, "_value", "left").drop("_value")
+        result = joined.withColumn(f"{column}{suffix}", F.col("_code")).drop("_code")
+    return result
 
 
 def project(df: DataFrame, columns: Mapping[str, str | tuple[str, str]]) -> DataFrame:

@@ -8,7 +8,7 @@ from operator import add
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,9 +70,10 @@ def inertia(model: KMeansModel) -> float:
 
 def silhouette(df: DataFrame, features: Sequence[str], segment: str = "segment") -> float:
     """Mean silhouette with squared Euclidean distance (linear time); 0 for a single segment."""
-    labelled = df.withColumn("_label", F.col(segment).cast("double"))
-    if labelled.select("_label").distinct().limit(2).count() < 2:
+    named = df.dropna(subset=[segment]).withColumn("_name", F.col(segment).cast("string"))
+    if named.select("_name").distinct().limit(2).count() < 2:
         return 0.0
+    labelled = StringIndexer(inputCol="_name", outputCol="_label").fit(named).transform(named)
     points = VectorAssembler(inputCols=list(features), outputCol="_point").transform(labelled)
     return ClusteringEvaluator(predictionCol="_label", featuresCol="_point", distanceMeasure="squaredEuclidean").evaluate(points)
 

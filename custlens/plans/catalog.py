@@ -12,7 +12,7 @@ from custlens.functions.order_stats import medians
 from custlens.operators import advice, churn, cleaning, clustering, enrich, marketing, metrics, products, quality, rfm, stats, value
 from custlens.plans import retail
 from custlens.plans.check_sql import check, tie_shift
-from custlens.session import scratch_path
+from custlens.session import scratch_path, stage
 from custlens.sources import delimited, headers
 from custlens.sources import retail_views as views
 
@@ -331,7 +331,7 @@ def period_after(spark, folder):
 
 def _range(period):
     def run(spark, folder):
-        daily = marketing.daily_orders(retail.sales(spark, folder), revenue="amount")
+        daily = stage(marketing.daily_orders(retail.sales(spark, folder), revenue="amount"), "daily-orders")
         return cleaning.range_select(daily, "date", period)
 
     return run
@@ -389,8 +389,7 @@ def quantile_scores(spark, folder):
               CAST(dense_rank() OVER (ORDER BY coalesce(CAST(age AS VARCHAR), 'nan')) - 1 AS INTEGER) AS age_code FROM v_customers"""
 )
 def encode_category(spark, folder):
-    coded = cleaning.encode_category(views.customers(spark, folder), "city", "city_code")
-    coded = cleaning.encode_category(coded, "age", "age_code")
+    coded = cleaning.encode_categories(views.customers(spark, folder), ["city", "age"], "_code")
     return coded.select("customer_id", "city_code", "age_code")
 
 
@@ -731,7 +730,7 @@ _TREND_SQL = """SELECT days, overall_mean, recent_mean, (recent_mean / overall_m
 
 @query(_TREND_SQL, digits=2, approx=["overall_mean", "recent_mean", "pct_above"])
 def trend_signal(spark, folder):
-    return marketing.trend_signal(_daily(spark, folder), "total_revenue")
+    return marketing.trend_signal(stage(_daily(spark, folder), "daily"), "total_revenue")
 
 
 # ---------------------------------------------------------------- products and value
@@ -1024,13 +1023,13 @@ def label_distribution(spark, folder):
        UNION ALL SELECT churn, 'train', CAST(n - quota AS BIGINT) FROM quotas"""
 )
 def stratified_split(spark, folder):
-    rows = churn.churn_labels(retail.sales(spark, folder), retail.CHURN_AS_OF)
+    rows = stage(churn.churn_labels(retail.sales(spark, folder), retail.CHURN_AS_OF), "churn-labels")
     return churn.stratified_split(rows).groupBy("churn", "split").agg(F.count("*").alias("count"))
 
 
 def _split_rows(spark, folder, test_fraction):
     """Training and test rows as model input, from a stored split so that models do not recompute it."""
-    rows = retail.churn_rows(spark, folder)
+    rows = stage(retail.churn_rows(spark, folder), "churn-rows")
     features = churn.churn_features(rows)
     path = scratch_path(spark, "churn-split")
     churn.stratified_split(rows, test_fraction=test_fraction).write.parquet(path)
@@ -1189,7 +1188,7 @@ _ENDS_SQL = """SELECT arg_max(segment, "ROI") AS best, max("ROI") AS high, arg_m
 )
 def campaign_recommendations(spark, folder):
     campaigns = marketing.campaign_kpis(views.marketing(spark, folder))
-    return advice.campaign_recommendations(campaigns, _segment_performance(spark, folder), _daily(spark, folder))
+    return advice.campaign_recommendations(campaigns, _segment_performance(spark, folder), stage(_daily(spark, folder), "daily"))
 
 
 @query(

@@ -88,9 +88,10 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def churn_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return churn.churn_dataset(
+    base = churn.churn_base(
         sales(spark, folder), views.customers(spark, folder), assigned_segments(spark, folder), as_of=CHURN_AS_OF
     )
+    return churn.code_categories(stage(base, "churn-base"))
 
 
 def churn_probabilities(spark: SparkSession, folder: str) -> DataFrame:
