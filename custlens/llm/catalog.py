@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import chat, exact_dedup, ring_shards
+from custlens.llm import chat, decontamination, exact_dedup, ring_shards, simhash
 from custlens.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,15 @@ QUERIES["op5_ring_shards"] = op5_ring_shards
 )
 def op7_quotient_dedup(spark, folder):
     return exact_dedup.exact_groups(documents(spark, folder))
+
+
+def op1_simhash_bktree(spark, folder):
+    return simhash.simhash_components(documents(spark, folder))
+
+
+def op4_winnowing(spark, folder):
+    return decontamination.contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+QUERIES["op1_simhash_bktree"] = op1_simhash_bktree
+QUERIES["op4_winnowing"] = op4_winnowing
