@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import chat, decontamination, exact_dedup, ring_shards, simhash
+from custlens.llm import chat, decontamination, exact_dedup, packing, ring_shards, simhash, token_files
+from custlens.llm.tokens import public_tokenizer
 from custlens.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +88,15 @@ def op4_winnowing(spark, folder):
 
 QUERIES["op1_simhash_bktree"] = op1_simhash_bktree
 QUERIES["op4_winnowing"] = op4_winnowing
+
+
+def op2_elias_fano_tokens(spark, folder):
+    return token_files.read_tokens(token_files.write_tokens(documents(spark, folder), public_tokenizer("byte_bpe_50k.json")))
+
+
+def op6_nnls_packing(spark, folder):
+    return packing.pack(documents(spark, folder), public_tokenizer("byte_bpe_50k.json"))
+
+
+QUERIES["op2_elias_fano_tokens"] = op2_elias_fano_tokens
+QUERIES["op6_nnls_packing"] = op6_nnls_packing
