@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import chat, decontamination, exact_dedup, packing, ring_shards, simhash, token_files
+from custlens.llm import chat, decontamination, exact_dedup, packing, quality, ring_shards, simhash, token_files
 from custlens.llm.tokens import public_tokenizer
 from custlens.session import stage
 
@@ -100,3 +100,10 @@ def op6_nnls_packing(spark, folder):
 
 QUERIES["op2_elias_fano_tokens"] = op2_elias_fano_tokens
 QUERIES["op6_nnls_packing"] = op6_nnls_packing
+
+
+def op8_bradley_terry(spark, folder):
+    return quality.quality_scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+QUERIES["op8_bradley_terry"] = op8_bradley_terry
