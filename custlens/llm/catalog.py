@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import chat, decontamination, exact_dedup, packing, quality, ring_shards, simhash, token_files
+from custlens.llm import chat, decontamination, exact_dedup, packing, quality, ring_shards, secret_scan, simhash, token_files
 from custlens.llm.tokens import public_tokenizer
 from custlens.session import stage
 
@@ -107,3 +107,10 @@ def op8_bradley_terry(spark, folder):
 
 
 QUERIES["op8_bradley_terry"] = op8_bradley_terry
+
+
+def op10_grammar_secrets(spark, folder):
+    return secret_scan.scan_secrets(documents(spark, folder))
+
+
+QUERIES["op10_grammar_secrets"] = op10_grammar_secrets
