@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import chat, decontamination, exact_dedup, packing, quality, ring_shards, secret_scan, simhash, token_files
+from custlens.llm import chat, decontamination, exact_dedup, packing, quality, recurrent_lm, ring_shards, secret_scan, simhash, token_files
 from custlens.llm.tokens import public_tokenizer
 from custlens.session import stage
 
@@ -114,3 +114,10 @@ def op10_grammar_secrets(spark, folder):
 
 
 QUERIES["op10_grammar_secrets"] = op10_grammar_secrets
+
+
+def op9_recurrent_lm(spark, folder):
+    return recurrent_lm.score_documents(documents(spark, folder))
+
+
+QUERIES["op9_recurrent_lm"] = op9_recurrent_lm
