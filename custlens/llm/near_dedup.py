@@ -1,0 +1,170 @@
+"""Dropping near copies: SimHash BK-trees in shards, every link verified by the similarity of the texts.
+
+At a similarity of 0.8 SimHash fingerprints differ in about ten of 64 bits, far too many to find by agreeing blocks
+of bits. Shards are therefore made from the smallest hashes of a text's shingles (bands of a few minima; texts that
+similar share one with near certainty). Each shard has a BK-tree over its fingerprints, a search follows the edges
+within the radius, and a pair found counts as a link only if its shingle sets really are as similar as asked.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from custlens.llm.arrow import table
+from custlens.llm.components import components
+from custlens.llm.simhash import Forest, _majority, _ones, shingle_hashes
+from custlens.session import stage
+
+BANDS, ROWS = 16, 3
+TREE_SIZE = 4_000
+_AT_ONCE_ROWS, _AT_ONCE_BYTES = 50_000, 32_000_000
+_FACTORS = np.random.default_rng(5).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def sketch(text: bytes, shingle: int) -> tuple[int, np.ndarray]:
+    """SimHash fingerprint and one key per band; no keys without words."""
+    ones, n = np.zeros(64, np.int64), 0
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for hashes in shingle_hashes(text, shingle):
+        ones += _ones(hashes)
+        n += len(hashes)
+        mixed = hashes ^ (hashes >> np.uint64(32))
+        for i, factor in enumerate(_FACTORS):
+            least[i] = min(least[i], (mixed * factor).min())
+    if not n:
+        return 0, np.zeros(0, np.uint64)
+    keys = np.zeros(BANDS, np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ row) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return _majority(ones, n), keys
+
+
+def verified_links(shard: np.ndarray, fp: np.ndarray, in_tree: np.ndarray, asks: np.ndarray, texts: list[bytes], shingle: int, similarity: float, radius: int):
+    """Pairs of positions that connect all texts of a shard that are similar enough; pairs already connected are not compared."""
+    _, groups = np.unique(shard, return_inverse=True)
+    tree, ask = np.flatnonzero(in_tree), np.flatnonzero(asks)
+    forest = Forest(groups[tree], fp[tree])
+    parent = list(range(len(fp)))
+    sets: dict[int, np.ndarray] = {}
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def shingles(i: int) -> np.ndarray:
+        if i not in sets:
+            if len(sets) > 2_000:
+                sets.clear()
+            parts = list(shingle_hashes(texts[i], shingle))
+            sets[i] = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+        return sets[i]
+
+    links = []
+    most = np.cumsum(np.bincount(groups[tree], minlength=groups.max() + 1)[groups[ask]])
+    start = 0
+    while start < len(ask):
+        before = most[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(most, before + 1_000_000, side="right")))
+        for query, node in forest.within(groups[ask[start:stop]], fp[ask[start:stop]], radius):
+            a, b = ask[start:stop][query], tree[node]
+            closest_first = np.argsort(np.bitwise_count(fp[a] ^ fp[b]), kind="stable")
+            for i, j in zip(a[closest_first].tolist(), b[closest_first].tolist()):
+                if i == j or root(i) == root(j):
+                    continue
+                x, y = shingles(i), shingles(j)
+                if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+                    continue
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both >= similarity * (len(x) + len(y) - both):
+                    parent[root(j)] = root(i)
+                    links.append((i, j))
+        start = stop
+    return links
+
+
+def near_duplicate_links(numbered: DataFrame, text_col: str, shingle: int, similarity: float, radius: int) -> DataFrame:
+    """Links ``(a, b)`` between the ``_row`` numbers of similar texts; they connect what is similar, not every pair is given."""
+
+    def measure(batches):
+        schema = pa.schema([("_row", pa.int64()), ("_fp", pa.int64()), ("keys", pa.list_(pa.int64()))])
+        for batch in batches:
+            found = [sketch((t.as_py() or "").encode(), shingle) for t in batch.column(1)]
+            fps = np.array([f for f, _ in found], np.uint64).view(np.int64)
+            yield table(schema, _row=batch.column(0), _fp=fps, keys=[k.view(np.int64) for _, k in found])
+
+    sketches = stage(numbered.select("_row", F.col(text_col).cast("string")).mapInArrow(measure, "_row long, _fp long, keys array<long>"), "sketches")
+    keyed = sketches.select("_row", "_fp", F.posexplode("keys").alias("band", "key"))
+    sizes = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    trees = F.ceil(F.col("n") / TREE_SIZE).cast("int")
+    mine = F.pmod(F.xxhash64("_row"), trees).cast("int")
+    together = keyed.join(sizes, ["band", "key"]).select("_row", "_fp", "band", "key", mine.alias("mine"), F.explode(F.sequence(F.lit(0), trees - 1)).alias("other"))
+    placed = stage(
+        together.select(
+            "_row",
+            "_fp",
+            F.xxhash64("band", "key", F.least("mine", "other"), F.greatest("mine", "other")).alias("shard"),
+            (F.col("mine") <= F.col("other")).alias("in_tree"),
+            (F.col("mine") >= F.col("other")).alias("asks"),
+        ),
+        "shards",
+    )
+    # Texts go along, each once per shard; rows that share no key with another are not among them.
+    with_text = placed.join(numbered.select("_row", F.encode(F.col(text_col).cast("string"), "UTF-8").alias("_text")), "_row")
+
+    def link(batches):
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+        def run(t: pa.Table):
+            take = lambda c: t.column(c).to_numpy(zero_copy_only=False)
+            rows = take("_row")
+            order = np.lexsort((rows, take("shard")))
+            texts = t.column("_text").to_pylist()
+            links = verified_links(
+                take("shard")[order], take("_fp")[order].view(np.uint64), take("in_tree")[order], take("asks")[order], [texts[i] for i in order.tolist()], shingle, similarity, radius
+            )
+            a, b = (rows[order][[x[i] for x in links]] if links else [] for i in (0, 1))
+            return table(schema, a=a, b=b)
+
+        held, n, size = [], 0, 0
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1000):
+                batch = whole.slice(i, 1000)
+                held.append(batch)
+                n, size = n + batch.num_rows, size + batch.column(batch.schema.get_field_index("_text")).nbytes
+                if n < _AT_ONCE_ROWS and size < _AT_ONCE_BYTES:
+                    continue
+                t = pa.Table.from_batches(held).combine_chunks()
+                shard = t.column("shard").to_numpy()
+                cut = int(np.searchsorted(shard, shard[-1]))  # the last shard may go on
+                if cut:
+                    yield run(t.slice(0, cut))
+                held = t.slice(cut).to_batches()
+                n, size = t.num_rows - cut, sum(b.column(b.schema.get_field_index("_text")).nbytes for b in held)
+        if n:
+            yield run(pa.Table.from_batches(held).combine_chunks())
+
+    return with_text.repartition("shard").sortWithinPartitions("shard").mapInArrow(link, "a long, b long").distinct()
+
+
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 20, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each group of near copies, the one with the least id; columns unchanged.
+
+    Rows are linked when their sets of word shingles have at least the given Jaccard similarity, and groups are what
+    links connect. Null texts and texts without words are left alone. A null id is greater than any other. Of repeated rows one
+    stays. No rows give no rows.
+    """
+    numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered", compression="zstd")
+    hung = stage(components(near_duplicate_links(numbered, text_col, shingle, similarity, radius)), "groups")
+    members = hung.select(F.col("node").alias("_row"), "component").union(hung.select("component", "component").distinct())
+    named = stage(members.join(numbered.select("_row", F.col(id_col).alias("_id")), "_row"), "members")
+    best = named.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("_best"))
+    gone = named.join(best, "component").filter(F.col("_row") != F.col("_best._row")).select("_row")
+    return numbered.join(gone, "_row", "left_anti").drop("_row")

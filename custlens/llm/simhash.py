@@ -27,21 +27,34 @@ _AT_ONCE = 200_000
 
 def fingerprint(text: bytes, shingle: int) -> int:
     """64 bits by majority over the XXH64 hashes (seed 42) of word shingles; 0 without words."""
+    ones, n = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(text, shingle):
+        ones += _ones(hashes)
+        n += len(hashes)
+    return _majority(ones, n)
+
+
+def shingle_hashes(text: bytes, shingle: int):
+    """XXH64 (seed 42) of all word shingles, in arrays of bounded length. Fewer words: the whole sequence; none: nothing."""
     words = text.lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     begins = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - shingle + 1)
     last = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:]
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, np.int64)
     for low in range(0, n, 100_000):
         part = slice(low, min(low + 100_000, n))
-        hashes = np.array([digest(joined[a:b], 42) for a, b in zip(begins[part].tolist(), last[part].tolist())], np.uint64)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int32)
+        yield np.array([digest(joined[a:b], 42) for a, b in zip(begins[part].tolist(), last[part].tolist())], np.uint64)
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def _majority(ones: np.ndarray, n: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
