@@ -1,7 +1,7 @@
 """Packing documents into sequences by length patterns and non-negative least squares.
 
 Patterns of two or three lengths that fill a sequence exactly are enumerated; how often each is to be used follows from
-the histogram of lengths by non-negative least squares. The repeat counts are rounded to whole sequences that the
+the histogram of lengths by non-negative least squares. The repeat counts are rounded down to whole sequences that the
 histogram can serve, and what is left goes best-fit decreasing. All of this sees the histogram only, so its cost does
 not depend on the number of documents. The plan is a table of stretches (the next r pieces of length l go to r
 sequences in a row at offset o), and every piece finds its place by its rank among the pieces of its length.
@@ -105,9 +105,9 @@ def plan(histogram: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], in
         left[capacity] = 0
     patterns = exact_patterns(capacity)
     times = fit_repeats(left, patterns)
-    for i in sorted((i for i, t in enumerate(times) if t >= 0.5), key=lambda i: (-times[i], i)):
+    for i in sorted((i for i, t in enumerate(times) if t >= 1), key=lambda i: (-times[i], i)):
         pattern = patterns[i]
-        repeats = min(int(times[i] + 0.5), *(int(left[x]) // pattern.count(x) for x in pattern))
+        repeats = min(int(times[i]), *(int(left[x]) // pattern.count(x) for x in pattern))
         if repeats > 0:
             for x in pattern:
                 left[x] -= repeats

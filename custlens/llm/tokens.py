@@ -72,8 +72,10 @@ class ChunkEncoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Ids of new chunks: joined, encoded in long stretches, cut again by the bytes of the tokens."""
-        inner = [c for c in chunks if c[0].isspace()]
-        first = [c for c in chunks if not c[0].isspace()]
+        # A first word, and white space at the end of a text, would run into their neighbours.
+        apart = [not c[0].isspace() or c[-1].isspace() for c in chunks]
+        inner = [c for c, a in zip(chunks, apart) if not a]
+        first = [c for c, a in zip(chunks, apart) if a]
         order, encoded, lengths = inner + first, [], []
         for a in range(0, len(inner), 2000):
             part = inner[a : a + 2000]
