@@ -2,9 +2,10 @@
 
 Values are first reduced to (value, count) pairs, so a value shared by a third of all rows is one
 row. Each pair then falls into one of a fixed number of slots. The slot is a monotone function of
-the value (equal widths on a logarithmic scale between the smallest and the largest value, and
-enough of them that a far outlier does not push all other values into one), so ranks follow from
-the slot totals, and only rows inside a slot need sorting. Slots depend on nothing but the values:
+the value (the octave of its magnitude and its place inside, equal widths between the smallest and the largest
+value, so small numbers spread as well as large ones: 500 slots an octave at least), so ranks follow from
+the slot totals, and only rows inside a slot need sorting. Values that crowd into less than a five-hundredth of an
+octave, beside others of all magnitudes, share a slot. Slots depend on nothing but the values:
 a recomputed task always gives the same answer.
 """
 
@@ -18,18 +19,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens.functions.columns import attach, one_row
+from custlens.session import stage
 
 SLOTS = 1 << 20
 _LARGEST = 1.7976931348623157e308
 
 
-def _log_scale(value: Column) -> Column:
-    return F.signum(value) * F.log1p(F.least(F.abs(value), F.lit(_LARGEST)))
+def _octaves(value: Column) -> Column:
+    """Octaves above the smallest double, straight inside each, with the sign of the value; 0 for 0.
+
+    Like the bit pattern of a double it never turns two values round, and small magnitudes get as much
+    room as large ones.
+    """
+    size = F.least(F.abs(value), F.lit(_LARGEST))
+    octave = F.floor(F.log2(size))
+    # 2 ** -1074 is the smallest double; in two steps, as 2 ** 1074 would be infinite
+    inside = size * F.pow(F.lit(2.0), -F.floor(octave / 2)) * F.pow(F.lit(2.0), F.floor(octave / 2) - octave)
+    return F.when(size == 0, F.lit(0.0)).otherwise(F.signum(value) * (octave + F.lit(1075.0) + inside - 1))
 
 
 def value_slot(value: Column, low: Column, high: Column, slots: int = SLOTS) -> Column:
     """Slot 0..slots-1 of ``value`` within [low, high]; a larger value never gets a smaller slot."""
-    share = F.try_divide(_log_scale(value) - _log_scale(low), _log_scale(high) - _log_scale(low))
+    share = F.try_divide(_octaves(value) - _octaves(low), _octaves(high) - _octaves(low))
     return F.coalesce(F.least(F.floor(share * slots), F.lit(slots - 1)), F.lit(0)).cast("int")
 
 
@@ -63,10 +74,14 @@ def _sum_before(column: str, window) -> Column:
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """One row per group: ``{col}_q`` (array, one entry per probability, linear interpolation) and ``{col}_n``.
 
-    Two shuffles of distinct values at most; the second only keeps the slots that hold a wanted rank.
+    The value counts are staged once and shared by all that follows.
     """
+    return quantiles_of(stage(with_slots(stage(frequencies(df, cols, by), "frequencies")), "slots"), cols, probs, by)
+
+
+def quantiles_of(slotted: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """:func:`exact_quantiles` of values that are already counted and in slots; only slots with a wanted rank are sorted."""
     by = list(by)
-    slotted = with_slots(frequencies(df, cols, by))
     whole_group = Window.partitionBy(*by, "_metric")
     slot_totals = (
         slotted.groupBy(*by, "_metric", "_slot")

@@ -17,6 +17,7 @@ from custlens.functions.order_stats import medians, running_totals
 from custlens.operators.cleaning import encode_categories
 from custlens.operators.clustering import standardise
 from custlens.operators.enrich import enrich
+from custlens.session import stage
 
 # Features in the order models see them, and those that are categories.
 FEATURES = ["recency", "frequency", "monetary", "age", "gender", "tenure", "segment"]
@@ -59,6 +60,7 @@ def churn_labels(
         )
         .filter(F.col("_last").isNotNull())
     )
+    per_customer = stage(per_customer, "churn-customers")  # read twice: for the classes, then for the rows
     classes = one_row(
         per_customer,
         F.countDistinct("_churn").alias("long"),
@@ -109,8 +111,8 @@ def churn_features(rows: DataFrame) -> list[str]:
 
 def label_distribution(rows: DataFrame, label: str = "churn") -> DataFrame:
     """Rows and percentage per label."""
-    whole = one_row(rows, F.count("*").alias("rows"))["rows"]
     counts = rows.groupBy(label).agg(F.count("*").alias("count"))
+    whole = F.sum("count").over(Window.partitionBy(F.lit(0)))  # one row per label
     return counts.withColumn("pct", F.try_divide(F.col("count").cast("double"), whole.cast("double")) * 100)
 
 
@@ -167,10 +169,18 @@ def _fit(classifier, rows: DataFrame, features: Sequence[str]) -> PipelineModel:
 
 
 def train_random_forest(
-    rows: DataFrame, features: Sequence[str], label: str = "churn", trees: int = 100, max_depth: int = 10, seed: int = 42
+    rows: DataFrame,
+    features: Sequence[str],
+    label: str = "churn",
+    trees: int = 100,
+    max_depth: int = 30,
+    max_bins: int = 32,
+    seed: int = 42,
 ) -> PipelineModel:
-    """Random forest on the output of :func:`model_input`."""
-    return _fit(RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=max_depth, seed=seed), rows, features)
+    """Random forest on the output of :func:`model_input`. A depth of 30 is the most that Spark grows; features are
+    split at ``max_bins`` - 1 quantiles."""
+    forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=max_depth, maxBins=max_bins, seed=seed)
+    return _fit(forest, rows, features)
 
 
 def train_boosted_trees(
@@ -180,10 +190,12 @@ def train_boosted_trees(
     trees: int = 100,
     max_depth: int = 5,
     rate: float = 0.1,
+    max_bins: int = 32,
     seed: int = 42,
 ) -> PipelineModel:
     """Gradient-boosted trees on the output of :func:`model_input`."""
-    return _fit(GBTClassifier(labelCol=label, maxIter=trees, maxDepth=max_depth, stepSize=rate, seed=seed), rows, features)
+    boosted = GBTClassifier(labelCol=label, maxIter=trees, maxDepth=max_depth, stepSize=rate, maxBins=max_bins, seed=seed)
+    return _fit(boosted, rows, features)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

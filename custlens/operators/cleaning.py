@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from custlens.functions.columns import as_date, attach, last_date, months_after, one_row, require_columns
 from custlens.functions.order_stats import medians, quantile_struct, running_totals
+from custlens.session import stage
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -38,12 +39,14 @@ def fill_price(
     price: str = "price",
     base_price: str = "base_price",
     mode: str = "coalesce",
+    prices: DataFrame | None = None,
 ) -> DataFrame:
     """Complete order prices from the product list.
 
     ``coalesce`` fills single gaps. ``all_missing`` takes the list price for every order, but only if no
     order has a price. ``overwrite_if_any`` takes it for every order as soon as one price is missing.
-    An order table without a price column gets the list prices in every mode.
+    An order table without a price column gets the list prices in every mode. The last two modes look at all prices
+    first; ``prices``, a cheaper table with the same price column, spares computing the orders twice.
     """
     require_columns(products, [key, base_price], "product list")
     listed = products.select(key, F.col(base_price).alias("_listed"))
@@ -53,7 +56,7 @@ def fill_price(
     if mode == "coalesce":
         filled = F.coalesce(price, "_listed")
     elif mode in ("all_missing", "overwrite_if_any"):
-        counts = one_row(orders, F.count(price).alias("priced"), F.count("*").alias("rows"))
+        counts = one_row(orders if prices is None else prices, F.count(price).alias("priced"), F.count("*").alias("rows"))
         replace = counts["priced"] == 0 if mode == "all_missing" else counts["priced"] < counts["rows"]
         filled = F.when(replace, F.col("_listed")).otherwise(F.col(price))
     else:
@@ -151,26 +154,31 @@ def quantile_scores(
     )
 
 
+CATEGORY_RANGES = 256
+
+
 def category_codes(df: DataFrame, column: str) -> DataFrame:
     """(value, code): dense codes from 0 in sorted order of the distinct values; NULL counts as the text 'nan'.
 
-    Values are ranked among those that share the three characters after the prefix common to all values, so
-    no task sees the whole vocabulary.
+    Values are ranked inside ranges between sampled values, so no task sees the whole vocabulary, whatever the
+    values have in common. The distinct values are staged, as the sample and the ranking read them.
     """
     value = F.coalesce(F.col(column).cast("string"), F.lit("nan"))
-    distinct = df.select(value.alias("value")).distinct().withColumn("one", F.lit(1).cast("long"))
-    first, last = F.col("first"), F.col("last")
-    shared = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.length(first), F.lit(1))),
-        F.lit(0),
-        lambda n, i: F.when((n == i - 1) & (F.substring(first, i, F.lit(1)) == F.substring(last, i, F.lit(1))), i).otherwise(n),
-    )
-    prefix = distinct.agg(F.min("value").alias("first"), F.max("value").alias("last")).select(shared).scalar()
-    with_prefix = attach(distinct, "_prefix", prefix)
-    ranked = running_totals(with_prefix, ["value"], ["one"], slot=F.substring(F.col("value"), F.col("_prefix") + 1, F.lit(3)))
+    distinct = stage(df.select(value.alias("value")).distinct(), "categories").withColumn("one", F.lit(1).cast("long"))
+    ranked = running_totals(attach(distinct, "_bounds", _sampled_bounds(distinct)), ["value"], ["one"], slot=_range_of("value"))
     return ranked.select("value", F.col("one_before").cast("int").alias("code"))
 
 
+def _sampled_bounds(distinct: DataFrame) -> Column:
+    """Sorted bounds of ranges of about equal size: the values with the smallest hashes."""
+    sampled = distinct.select("value").orderBy(F.xxhash64("value"), "value").limit(CATEGORY_RANGES)
+    return sampled.agg(F.array_sort(F.collect_list("value"))).scalar()
+
+
+def _range_of(value: str) -> Column:
+    return F.size(F.filter("_bounds", lambda bound: bound <= F.col(value)))
+
+
 def encode_categories(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
     """Replace category columns by their codes, or with ``suffix`` add the codes as further columns."""
     result = df

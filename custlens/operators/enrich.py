@@ -67,8 +67,13 @@ def flag_members(df: DataFrame, members: DataFrame, key: str, flag: str, when_me
 def dictionary_map(
     df: DataFrame, table: DataFrame, key: str, value: str, target: str, latest_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Map a key to a value. A key listed twice keeps its last entry by ``latest_by`` (default: the largest value)."""
-    pairs = table.groupBy(key).agg(F.max_by(value, F.struct(*(latest_by or [value]))).alias("_mapped"))
+    """Map a key to a value. A key listed twice keeps its last entry by ``latest_by``; without that it is an error."""
+    if latest_by:
+        pairs = table.groupBy(key).agg(F.max_by(value, F.struct(*latest_by)).alias("_mapped"))
+    else:
+        repeated = F.raise_error(F.lit(f"{key} is listed more than once: say by latest_by which entry counts"))
+        only = F.when(F.count("*") == 1, F.first(value)).otherwise(repeated.cast(table.schema[value].dataType))
+        pairs = table.groupBy(key).agg(only.alias("_mapped"))
     return df.join(pairs, key, "left").withColumn(target, F.col("_mapped")).drop("_mapped")
 
 

@@ -92,21 +92,38 @@ def roc_auc(predictions: DataFrame, label: str = "label", score: str = "score",
 
 
 def confusion_matrix(
-    predictions: DataFrame, label: str = "label", predicted: str = "predicted", classes: Sequence[int] = (0, 1)
+    predictions: DataFrame,
+    label: str = "label",
+    predicted: str = "predicted",
+    classes: Sequence[int] = (0, 1),
+    by: str | None = None,
 ) -> DataFrame:
-    """(actual, predicted, count) with a row for every combination of classes, 0 where none occurred."""
-    every = [(a, p) for a in classes for p in classes]
-    cells = predictions.sparkSession.createDataFrame(every, "actual int, predicted int")
-    counts = predictions.groupBy(F.col(label).cast("int").alias("actual"), F.col(predicted).cast("int").alias("predicted")).agg(
-        F.count("*").alias("count")
+    """(by, actual, predicted, count) with a row for every combination of classes, 0 where none occurred."""
+    groups = [by] if by else []
+    a, p, n = F.col(label), F.col(predicted), F.col("_n")
+    counts = predictions.groupBy(*groups, label, predicted).agg(F.count("*").alias("_n"))
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(x).cast("int").alias("actual"),
+                F.lit(y).cast("int").alias("predicted"),
+                F.when((a == x) & (p == y), n).otherwise(F.lit(0)).alias("count"),
+            )
+            for x in classes
+            for y in classes
+        ]
     )
-    return cells.join(counts, ["actual", "predicted"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    listed = counts.select(*groups, F.inline(cells)).groupBy(*groups, "actual", "predicted").agg(F.sum("count").alias("count"))
+    if by:
+        return listed
+    every = predictions.sparkSession.createDataFrame([(x, y) for x in classes for y in classes], "actual int, predicted int")
+    return every.join(listed, ["actual", "predicted"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
 
 
-def churn_rates(confusion: DataFrame, positive: int = 1) -> DataFrame:
-    """One row: actual and predicted share of the positive class."""
+def churn_rates(confusion: DataFrame, positive: int = 1, by: str | None = None) -> DataFrame:
+    """Actual and predicted share of the positive class, one row (per ``by``)."""
     whole = F.sum("count")
-    return confusion.agg(
+    return confusion.groupBy(*([by] if by else [])).agg(
         safe_ratio(F.sum(F.when(F.col("actual") == positive, F.col("count")).otherwise(0)), whole).alias("actual_rate"),
         safe_ratio(F.sum(F.when(F.col("predicted") == positive, F.col("count")).otherwise(0)), whole).alias("predicted_rate"),
     )

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens.functions.columns import last_date, total
-from custlens.functions.order_stats import medians
+from custlens.functions.order_stats import frequencies, medians, quantiles_of, with_slots
 from custlens.operators.enrich import share_of_total
+from custlens.session import stage
 
 
 def value_counts(df: DataFrame, column: str, normalize: bool = False) -> DataFrame:
@@ -52,10 +53,12 @@ def product_preferences(
 
 
 def basket_stats(sales: DataFrame, segment: str = "segment", price: str = "price") -> DataFrame:
-    """Mean, median and number of prices per segment."""
-    means = sales.dropna(subset=[segment]).groupBy(segment).agg(F.avg(price).alias("mean"), F.count(price).alias("count"))
-    middle = medians(sales, [price], [segment]).withColumnRenamed(f"{price}_median", "median")
-    return means.join(middle, segment, "left").select(segment, "mean", "median", "count")
+    """Mean, median and number of prices per segment, all from one count of equal prices."""
+    counts = stage(frequencies(sales, [price], [segment]), "prices")
+    whole = F.sum("_n")
+    means = counts.groupBy(segment).agg((F.sum(F.col("_v") * F.col("_n")) / whole).alias("mean"), whole.alias("count"))
+    middle = quantiles_of(stage(with_slots(counts), "slots"), [price], [0.5], [segment])
+    return means.join(middle, segment, "left").select(segment, "mean", F.col(f"{price}_q")[0].alias("median"), "count")
 
 
 def segment_value(

@@ -21,6 +21,7 @@ from custlens.functions.order_stats import exact_quantiles, modes
 from custlens.operators.cleaning import quantile_scores
 from custlens.operators.enrich import enrich
 from custlens.operators.quality import coerce_dates, coerce_numeric
+from custlens.session import stage
 
 # Labels from the lowest to the highest quintile.
 SCORE_LABELS = {"recency": [5, 4, 3, 2, 1], "frequency": [1, 2, 3, 4, 5], "monetary": [1, 2, 3, 4, 5]}
@@ -35,9 +36,15 @@ def customer_aggregate(
     amount: str = "amount",
     first: Sequence[str] = ("name", "age", "gender", "city"),
     order: Sequence[str] = ("order_date", "order_id"),
+    customers: DataFrame | None = None,
+    attributes: Sequence[str] = ("name", "age", "gender", "city"),
 ) -> DataFrame:
-    """Per customer: first known attributes, summed quantity and amount, first, last and number of order dates."""
-    return (
+    """Per customer: first known attributes, summed quantity and amount, first, last and number of order dates.
+
+    ``first`` are columns of the sales; ``attributes`` come from ``customers``, where they are the same for all orders, and
+    are joined after the aggregation, so the orders of a very frequent customer are first added up where they lie.
+    """
+    per_customer = (
         sales.filter(F.col(customer).isNotNull())
         .groupBy(customer)
         .agg(
@@ -49,6 +56,10 @@ def customer_aggregate(
             F.count(date).alias("order_date_count"),
         )
     )
+    if customers is None:
+        return per_customer
+    known = customers.select(customer, *[F.col(c).alias(f"{c}_first") for c in attributes])
+    return per_customer.join(known, customer, "left")
 
 
 def rfm(
@@ -61,12 +72,16 @@ def rfm(
     amount: str = "amount",
     monetary: str = "monetary",
     customers: DataFrame | None = None,
+    count: str = "rows",
 ) -> DataFrame:
     """recency (days from the last order to ``as_of`` + ``offset_days``), frequency and monetary per customer.
 
     ``as_of`` defaults to the last order date. ``window_months`` keeps orders of that many months up to
     ``as_of``. Text dates and amounts are converted first. Attributes of ``customers`` are added if given.
+    Frequency counts all orders, or with ``count="dates"`` only those with a date.
     """
+    if count not in ("rows", "dates"):
+        raise ValueError(f"unknown count {count!r}")
     require_columns(orders, [customer, date, amount], "orders")
     kinds = dict(orders.dtypes)
     if kinds[date] == "string":
@@ -83,15 +98,14 @@ def rfm(
         .groupBy(customer)
         .agg(
             F.max(date).alias("_last"),
-            F.count("*").alias("frequency"),
+            (F.count("*") if count == "rows" else F.count(date)).alias("frequency"),
             total(amount).alias(monetary),
         )
     )
     if pivot is None:
-        # The last date follows from the customers' last dates, without reading the orders again. The
-        # condition always holds; it makes this branch need the same columns, so the exchange is reused.
-        known = (F.col("frequency") > 0) | (F.col(monetary) > 0)
-        pivot = last_date(per_customer.withColumn("_last", F.when(known, F.col("_last"))), "_last")
+        # The last date follows from the customers' last dates, without reading the orders again.
+        per_customer = stage(per_customer, "rfm-customers")
+        pivot = last_date(per_customer, "_last")
     reference = F.date_add(pivot, offset_days) if offset_days else pivot
     result = per_customer.select(customer, days_between(reference, "_last").alias("recency"), "frequency", monetary)
     return enrich(result, customers, customer) if customers is not None else result

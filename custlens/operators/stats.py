@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custlens.functions.columns import attach, one_row
-from custlens.functions.order_stats import exact_quantiles, frequencies, running_totals, with_slots
+from custlens.functions.order_stats import exact_quantiles, frequencies, quantiles_of, running_totals, with_slots
 from custlens.operators.quality import numeric_columns
+from custlens.session import stage
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
@@ -19,14 +20,14 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
     A whisker is the outermost value inside its fence. Slots that lie inside the fences give it from
     their own smallest and largest value; only the slots that a fence cuts are looked at value by value.
     """
-    found = exact_quantiles(df, cols, [0, 0.25, 0.5, 0.75, 1], [by])
+    slotted = stage(with_slots(stage(frequencies(df, cols, [by]), "frequencies")), "slots")
+    found = quantiles_of(slotted, cols, [0, 0.25, 0.5, 0.75, 1], [by])
     boxes = found.select(
         by, F.inline(F.array(*[F.struct(F.lit(c).alias("_metric"), F.col(f"{c}_q").alias("q")) for c in cols]))
     ).filter(F.col("q")[0].isNotNull())
     reach = 1.5 * (F.col("q")[3] - F.col("q")[1])
     fenced = boxes.withColumn("_low", F.col("q")[1] - reach).withColumn("_high", F.col("q")[3] + reach)
 
-    slotted = with_slots(frequencies(df, cols, [by]))
     slots = slotted.groupBy(by, "_metric", "_slot").agg(F.min("_v").alias("_first"), F.max("_v").alias("_last"))
     slots = slots.join(fenced.select(by, "_metric", "_low", "_high"), [by, "_metric"])
     inside = (F.col("_first") >= F.col("_low")) & (F.col("_last") <= F.col("_high"))
@@ -55,10 +56,11 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 20, by: str | None = None) -> DataFrame:
     """Equal-width bins over the whole range: bin, bin_low, bin_high, count, and the mean and median of all values.
 
-    With ``by`` every group is counted on the same bins. Empty bins are listed with 0.
+    With ``by`` every group is counted on the same bins. Empty bins are listed with 0. NULL, NaN and infinite values
+    are left out.
     """
     value = F.col(column).cast("double")
-    known = df.filter(value.isNotNull() & ~F.isnan(value))
+    known = df.filter(value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf")))
     ends = F.col("_ends")
     extent = one_row(known, F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"))
     width = ends["high"] - ends["low"]
@@ -72,7 +74,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20, by: str | None = None)
         every = counts.select(by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     else:
         every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    middle = exact_quantiles(df, [column], [0.5]).select(F.col(f"{column}_q")[0]).scalar()
+    middle = exact_quantiles(known, [column], [0.5]).select(F.col(f"{column}_q")[0]).scalar()
     return attach(every.join(counts, [*groups, "bin"], "left"), "_ends", extent).select(
         *groups,
         "bin",
@@ -158,9 +160,14 @@ def _spearman(counts: DataFrame) -> DataFrame:
     return sums.select("pair", F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy"))).alias("correlation"))
 
 
-# Dense ranks are read as digits of this many bits; ten digits reach 2**40 distinct values.
+# Dense ranks are read as digits of this many bits; sixteen digits hold every long.
 _DIGIT_BITS = 4
-_DIGITS = 10
+_DIGITS = 16
+
+
+def digit_positions(top: Column) -> Column:
+    """The positions, lowest first, of the digits that ranks up to ``top`` need."""
+    return F.filter(F.sequence(F.lit(0), F.lit(_DIGITS - 1)), lambda p: F.call_function("shiftright", top, p * _DIGIT_BITS) > 0)
 
 
 def _kendall(counts: DataFrame) -> DataFrame:
@@ -176,9 +183,7 @@ def _kendall(counts: DataFrame) -> DataFrame:
     ranked = counts.join(rx, ["pair", "x"]).join(ry, ["pair", "y"]).select("pair", "dx", "dy", "n")
 
     top = one_row(rx, F.max("dx").alias("dx"))["dx"]
-    in_use = F.filter(
-        F.sequence(F.lit(0), F.lit(_DIGITS - 1)), lambda p: F.call_function("shiftright", F.col("_top"), p * _DIGIT_BITS) > 0
-    )
+    in_use = digit_positions(F.col("_top"))
     per_digit = attach(ranked, "_top", top).select("pair", "dx", "dy", "n", F.explode(in_use).alias("position"))
     shifted = F.call_function("shiftright", F.col("dx"), (F.col("position") * _DIGIT_BITS).cast("int"))
     digits = 1 << _DIGIT_BITS

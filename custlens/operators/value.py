@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from custlens.functions.columns import one_row, require_columns, total
 from custlens.operators.cleaning import period_filter
 from custlens.operators.enrich import enrich
+from custlens.session import stage
 
 
 def clv_margin(
@@ -54,13 +55,19 @@ def clv_projected(
 ) -> DataFrame:
     """Mean amount * orders per year * expected years as a customer * projected years."""
     require_columns(transactions, [customer, date, amount], "transactions")
-    days_active = one_row(transactions, F.datediff(F.max(date), F.min(date)).alias("days"))["days"]
+    per_customer = transactions.groupBy(customer).agg(
+        F.avg(amount).alias("avg_order_value"),
+        F.count(date).alias("total_orders"),
+        F.min(date).alias("_first"),
+        F.max(date).alias("_last"),
+    )
+    per_customer = stage(per_customer, "clv-customers")  # the span of all dates follows from the customers' dates
+    days_active = one_row(per_customer, F.datediff(F.max("_last"), F.min("_first")).alias("days"))["days"]
     years_active = F.greatest(days_active / F.lit(365.0), F.lit(0.1))
     lifespan = 1 / (1 - retention)
     result = (
-        transactions.dropna(subset=[customer])
-        .groupBy(customer)
-        .agg(F.avg(amount).alias("avg_order_value"), F.count(date).alias("total_orders"))
+        per_customer.dropna(subset=[customer])
+        .drop("_first", "_last")
         .withColumn("_years", years_active)
         .withColumn("purchase_frequency", F.col("total_orders") / F.col("_years"))
         .drop("_years")

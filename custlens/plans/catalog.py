@@ -297,12 +297,20 @@ def fill_price_coalesce(spark, folder):
 
 @query("SELECT o.* FROM v_orders o")
 def fill_price_all_missing(spark, folder):
-    return cleaning.fill_price(views.orders(spark, folder), views.products(spark, folder), mode="all_missing")
+    return cleaning.fill_price(views.orders(spark, folder), views.products(spark, folder), mode="all_missing", prices=views.prices(spark, folder))
+
+
+@query("SELECT o.* REPLACE (p.base_price AS price) FROM v_orders o LEFT JOIN v_products p ON o.product_id = p.product_id")
+def fill_price_none_known(spark, folder):
+    unknown = F.lit(None).cast("double")
+    orders = views.orders(spark, folder).withColumn("price", unknown)
+    prices = views.prices(spark, folder).withColumn("price", unknown)
+    return cleaning.fill_price(orders, views.products(spark, folder), mode="all_missing", prices=prices)
 
 
 @query("SELECT o.* REPLACE (p.base_price AS price) FROM v_orders o LEFT JOIN v_products p ON o.product_id = p.product_id")
 def fill_price_overwrite(spark, folder):
-    return cleaning.fill_price(views.orders(spark, folder), views.products(spark, folder), mode="overwrite_if_any")
+    return cleaning.fill_price(views.orders(spark, folder), views.products(spark, folder), mode="overwrite_if_any", prices=views.prices(spark, folder))
 
 
 @query("SELECT *, quantity * price AS amount FROM v_orders")
@@ -493,6 +501,17 @@ def dictionary_map(spark, folder):
     return enrich.dictionary_map(views.orders(spark, folder), views.products(spark, folder), "product_id", "base_price", "listed_price")
 
 
+@query(
+    """SELECT o.*, CASE WHEN o.product_id % 3 = 0 THEN p.base_price / 2 ELSE p.base_price END AS listed_price
+       FROM v_orders o LEFT JOIN v_products p ON o.product_id = p.product_id"""
+)
+def dictionary_map_latest(spark, folder):
+    """Every third product has a second, later and cheaper entry."""
+    first = views.products(spark, folder).select("product_id", "base_price", F.lit(1).alias("version"))
+    second = first.filter(F.col("product_id") % 3 == 0).select("product_id", F.col("base_price") / 2, F.lit(2))
+    return enrich.dictionary_map(views.orders(spark, folder), first.union(second), "product_id", "base_price", "listed_price", ["version"])
+
+
 @query(
     "SELECT customer_id, monetary, monetary / (SELECT sum(monetary) FROM v_rfm) * 100 AS revenue_pct FROM v_rfm",
     digits=2,
@@ -506,15 +525,22 @@ def share_of_total(spark, folder):
 # ---------------------------------------------------------------- customers and segments
 
 
+_CONTACT = "CASE WHEN order_id % 3 <> 0 THEN 'contact ' || CAST(order_id % 7 AS VARCHAR) END"
+
+
 @query(
-    """SELECT customer_id, min(name) AS name_first, min(age) AS age_first, min(gender) AS gender_first, min(city) AS city_first,
+    f"""SELECT customer_id, min(name) AS name_first, min(age) AS age_first, min(gender) AS gender_first, min(city) AS city_first,
+              first({_CONTACT} ORDER BY order_date, order_id) FILTER (WHERE order_id % 3 <> 0) AS contact_first,
               sum(quantity) AS quantity_sum, sum(amount) AS amount_sum, min(order_date) AS order_date_min,
               max(order_date) AS order_date_max, count(order_date) AS order_date_count FROM v_wide GROUP BY 1""",
     digits=2,
     approx=["amount_sum"],
 )
 def customer_aggregate(spark, folder):
-    return rfm.customer_aggregate(retail.wide_sales(spark, folder))
+    """The contact differs from order to order and has gaps; the other attributes belong to the customer."""
+    contact = F.when(F.col("order_id") % 3 != 0, F.concat(F.lit("contact "), (F.col("order_id") % 7).cast("string")))
+    sales = retail.sales(spark, folder).withColumn("contact", contact)
+    return rfm.customer_aggregate(sales, first=["contact"], customers=views.customers(spark, folder))
 
 
 @query("SELECT * FROM v_rfm", digits=2, approx=["monetary"])
@@ -545,6 +571,26 @@ def rfm_given_date(spark, folder):
     return rfm.rfm(retail.sales(spark, folder), as_of=retail.CHURN_AS_OF, window_months=6, amount="price")
 
 
+def _undated_sales(spark, folder):
+    sales = retail.sales(spark, folder)
+    return sales.withColumn("order_date", F.when(F.col("order_id") % 4 != 0, F.col("order_date")))
+
+
+_UNDATED = """SELECT customer_id, CAST((SELECT max(order_date) FROM v_sales WHERE order_id % 4 <> 0)
+                - max(CASE WHEN order_id % 4 <> 0 THEN order_date END) AS INTEGER) AS recency, {} AS frequency, sum(amount) AS monetary
+         FROM v_sales GROUP BY 1"""
+
+
+@query(_UNDATED.format("count(*)"), digits=2, approx=["monetary"])
+def rfm_counting_orders(spark, folder):
+    return rfm.rfm(_undated_sales(spark, folder))
+
+
+@query(_UNDATED.format("count(*) FILTER (WHERE order_id % 4 <> 0)"), digits=2, approx=["monetary"])
+def rfm_counting_dates(spark, folder):
+    return rfm.rfm(_undated_sales(spark, folder), count="dates")
+
+
 @query(
     """SELECT count(*) AS customers, count(*) FILTER (WHERE monetary < 0) AS negative_monetary,
               count(*) FILTER (WHERE frequency <= 0) AS non_positive_frequency, count(*) FILTER (WHERE recency IS NULL) AS unknown_recency
@@ -958,7 +1004,7 @@ def kmeans_segments(spark, folder):
 @query()
 def kmeans_quality(spark, folder):
     """One row: inertia of the best start and silhouette."""
-    segmented, model = clustering.kmeans_segments(retail.staged_rfm(spark, folder), k=4, starts=3)
+    segmented, model = clustering.kmeans_segments(retail.staged_rfm(spark, folder), k=4)
     scaled = clustering.standardise(segmented, _FEATURES)
     found = [(clustering.inertia(model), clustering.silhouette(scaled, [f"{c}_z" for c in _FEATURES]))]
     return spark.createDataFrame(found, "inertia double, silhouette double")
@@ -1105,19 +1151,20 @@ def roc_auc(spark, folder):
     return metrics.roc_auc(retail.predictions(spark, folder))
 
 
-_CONFUSION = """SELECT c.actual, c.predicted, count(p.label) AS count
+_CONFUSION = """SELECT m.model, c.actual, c.predicted, count(p.label) AS count
        FROM (SELECT a AS actual, b AS predicted FROM (VALUES (0), (1)) x(a), (VALUES (0), (1)) y(b)) c
-       LEFT JOIN v_predictions p ON p.model = 'forest' AND p.label = c.actual AND p.predicted = c.predicted GROUP BY 1, 2"""
+       CROSS JOIN (SELECT DISTINCT model FROM v_predictions) m
+       LEFT JOIN v_predictions p ON p.model = m.model AND p.label = c.actual AND p.predicted = c.predicted GROUP BY 1, 2, 3"""
 
 
 @query(_CONFUSION)
 def confusion_matrix(spark, folder):
-    return metrics.confusion_matrix(retail.predictions(spark, folder).filter("model = 'forest'"))
+    return metrics.confusion_matrix(retail.predictions(spark, folder), by="model")
 
 
-@query("SELECT avg(label) AS actual_rate, avg(predicted) AS predicted_rate FROM v_predictions WHERE model = 'forest'", approx=["actual_rate", "predicted_rate"])
+@query("SELECT model, avg(label) AS actual_rate, avg(predicted) AS predicted_rate FROM v_predictions GROUP BY 1", approx=["actual_rate", "predicted_rate"])
 def churn_rates(spark, folder):
-    return metrics.churn_rates(metrics.confusion_matrix(retail.predictions(spark, folder).filter("model = 'forest'")))
+    return metrics.churn_rates(metrics.confusion_matrix(retail.predictions(spark, folder), by="model"), by="model")
 
 
 # ---------------------------------------------------------------- rules
@@ -1187,8 +1234,9 @@ _ENDS_SQL = """SELECT arg_max(segment, "ROI") AS best, max("ROI") AS high, arg_m
     approx=["value"],
 )
 def campaign_recommendations(spark, folder):
-    campaigns = marketing.campaign_kpis(views.marketing(spark, folder))
-    return advice.campaign_recommendations(campaigns, _segment_performance(spark, folder), stage(_daily(spark, folder), "daily"))
+    campaigns = stage(marketing.campaign_kpis(views.marketing(spark, folder)), "campaigns")
+    segments = stage(_segment_performance(spark, folder), "segment-performance")
+    return advice.campaign_recommendations(campaigns, segments, stage(_daily(spark, folder), "daily"))
 
 
 @query(

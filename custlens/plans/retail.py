@@ -40,9 +40,9 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return enrich.denormalise_orders(
-        sales(spark, folder), views.customers(spark, folder), views.products(spark, folder)
-    )
+    """Orders with customer and product; prices are completed from the product that is joined anyway."""
+    wide = enrich.denormalise_orders(views.orders(spark, folder), views.customers(spark, folder), views.products(spark, folder))
+    return cleaning.add_amount(wide.withColumn("price", F.coalesce("price", "base_price")))
 
 
 def segment_table(spark: SparkSession, folder: str) -> DataFrame:

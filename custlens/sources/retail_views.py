@@ -37,6 +37,12 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def prices(spark: SparkSession, folder: str) -> DataFrame:
+    """The prices of :func:`orders` alone, without the join."""
+    lines = _table(spark, folder, "lineitem")
+    return lines.select(F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
+
+
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Ages have gaps and values outside 15 to 100 on purpose."""
     people = _table(spark, folder, "customer")

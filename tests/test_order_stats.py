@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from custlens.functions.order_stats import exact_quantiles, medians, modes, running_totals, spread_join
+from custlens.functions.columns import attach
+from custlens.functions.order_stats import exact_quantiles, frequencies, medians, modes, running_totals, spread_join, with_slots
+from custlens.operators import cleaning, stats
 
 PROBS = [0, 0.2, 0.25, 0.5, 0.6000000000000001, 0.99, 1]
 
@@ -80,3 +82,42 @@ def test_spread_join_equals_a_plain_join(spark, rows):
     table = spark.createDataFrame([("hot", 1.5), ("cold", 2.5)], "k string, c double")
     spread = spread_join(df, table, ["k"], ["i"]).select("k", "i", "c")
     assert sorted(map(str, spread.collect())) == sorted(map(str, df.join(table, "k", "left").collect()))
+
+
+def most_in_a_slot(slots):
+    return slots.groupBy("slot").count().agg(F.max("count"), F.count("*")).first()
+
+
+def test_small_magnitudes_spread_over_slots(spark):
+    rng = np.random.default_rng(1)
+    values = spark.createDataFrame([(float(v),) for v in [*(rng.random(50_000) * 1e-7), 1.0]], "x double")
+    slots = with_slots(frequencies(values, ["x"])).select(F.col("_slot").alias("slot"))
+    most, n = most_in_a_slot(slots)
+    assert n >= 100 and most < 500
+
+
+def test_slots_keep_the_order_of_values(spark):
+    tiny, huge = 5e-324, 1.7976931348623157e308
+    near = [float(np.nextafter(2.0**e, d)) for e in (-1074, -1022, -3, 0, 1, 52, 1023) for d in (0, huge)]
+    values = sorted({0.0, tiny, 3 * tiny, huge, 1.5, *near, *(2.0**e for e in range(-1074, 1024, 7))})
+    values = sorted({*values, *(-v for v in values)})
+    rows = with_slots(frequencies(spark.createDataFrame([(v,) for v in values], "x double"), ["x"])).orderBy("_v").collect()
+    slots = [r._slot for r in rows]
+    assert slots == sorted(slots) and slots[0] == 0 and len(set(slots)) > 500
+
+
+def test_categories_with_a_common_start_spread_over_ranges(spark):
+    names = spark.range(50_000).select(F.concat(F.lit("Customer#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("value"))
+    names = names.union(spark.createDataFrame([("nan",)], "value string"))
+    slots = attach(names, "_bounds", cleaning._sampled_bounds(names)).select(cleaning._range_of("value").alias("slot"))
+    most, n = most_in_a_slot(slots)
+    assert n >= 100 and most < 5_000
+    codes = cleaning.category_codes(names, "value").collect()
+    ordered = sorted(r.value for r in names.collect())
+    assert {r.value: r.code for r in codes} == {v: i for i, v in enumerate(ordered)}
+
+
+def test_kendall_reads_every_digit_of_a_rank(spark):
+    tops = [1, 15, 16, 2**40, 2**40 + 1, 2**62]
+    rows = spark.createDataFrame([(t,) for t in tops], "top long").select("top", stats.digit_positions(F.col("top")).alias("p")).collect()
+    assert {r.top: len(r.p) for r in rows} == {t: -(-t.bit_length() // 4) for t in tops}
