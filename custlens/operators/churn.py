@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from custlens.functions.columns import as_date, attach, last_date, months_after, one_row, total
 from custlens.functions.order_stats import medians, running_totals
+from custlens.operators import metrics
 from custlens.operators.cleaning import encode_categories
 from custlens.operators.clustering import standardise
 from custlens.operators.enrich import enrich
@@ -237,3 +238,36 @@ def churn_risk_summary(scores: DataFrame, threshold: float = 0.5, probability: s
     )
     share = F.try_divide(F.col("at_risk_count").cast("double"), F.col("customers").cast("double")) * 100
     return counts.select("customers", "at_risk_count", share.alias("at_risk_pct"), "avg_risk_pct")
+
+
+def train_and_compare(
+    rows: DataFrame,
+    features: Sequence[str],
+    label: str = "churn",
+    test_fraction: float = 0.3,
+    seed: int = 42,
+    customer: str = "customer_id",
+    forest: Mapping[str, float] | None = None,
+    boosted: Mapping[str, float] | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame, dict[str, PipelineModel]]:
+    """Both models on one split: (predictions of the test rows, metrics with ROC area, confusion matrices, models).
+
+    ``metrics.best_model`` picks from the second result. ``forest`` and ``boosted`` are passed to the training functions.
+    """
+    split = stage(stratified_split(rows, label, test_fraction, seed, customer), "split")
+    train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+    fitted = stage(model_input(train, features), "train-input")
+    asked = stage(model_input(test, features, train), "test-input")
+    models = {
+        "forest": train_random_forest(fitted, features, label, seed=seed, **(forest or {})),
+        "boosted": train_boosted_trees(fitted, features, label, seed=seed, **(boosted or {})),
+    }
+    scored = [
+        score(model, asked).select(
+            F.lit(name).alias("model"), customer, F.col(label).cast("int").alias("label"), "predicted", F.col("churn_probability").alias("score")
+        )
+        for name, model in models.items()
+    ]
+    predictions = stage(scored[0].unionByName(scored[1]), "predictions")
+    measured = metrics.classification_metrics(predictions).join(metrics.roc_auc(predictions), "model")
+    return predictions, measured, metrics.confusion_matrix(predictions, by="model"), models

@@ -7,13 +7,14 @@ from functools import reduce
 from operator import add
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custlens.functions.columns import attach, one_row, require_columns
 from custlens.functions.order_stats import spread_join
+from custlens.operators.rfm import segment_stats
+from custlens.session import stage
 
 
 def standardise(df: DataFrame, cols: Sequence[str], stats_from: DataFrame | None = None, suffix: str = "_z") -> DataFrame:
@@ -68,14 +69,36 @@ def inertia(model: KMeansModel) -> float:
     return model.summary.trainingCost
 
 
-def silhouette(df: DataFrame, features: Sequence[str], segment: str = "segment") -> float:
-    """Mean silhouette with squared Euclidean distance (linear time); 0 for a single segment."""
-    named = df.dropna(subset=[segment]).withColumn("_name", F.col(segment).cast("string"))
-    if named.select("_name").distinct().limit(2).count() < 2:
-        return 0.0
-    labelled = StringIndexer(inputCol="_name", outputCol="_label").fit(named).transform(named)
-    points = VectorAssembler(inputCols=list(features), outputCol="_point").transform(labelled)
-    return ClusteringEvaluator(predictionCol="_label", featuresCol="_point", distanceMeasure="squaredEuclidean").evaluate(points)
+def silhouette(df: DataFrame, features: Sequence[str], segment: str = "segment") -> DataFrame:
+    """One row: silhouette, the mean over rows with squared Euclidean distance; 0 for a single segment and for lone rows.
+
+    The mean squared distance of a point to a cluster follows from the cluster's size, centre and mean squared
+    norm, so every row is compared with one entry per cluster and never with another row.
+    """
+    known = df.dropna(subset=[segment, *features])
+    norm = reduce(add, [F.pow(F.col(c), 2) for c in features])
+    clusters = known.groupBy(segment).agg(
+        F.count("*").alias("n"), F.avg(norm).alias("norm"), *[F.avg(c).alias(f"mean_{c}") for c in features]
+    )
+    entry = F.struct(F.col(segment).alias("name"), "n", "norm", *[f"mean_{c}" for c in features])
+    all_clusters = clusters.agg(F.collect_list(entry)).scalar()  # one entry per cluster
+
+    def mean_distance(c: Column) -> Column:
+        product = reduce(add, [F.col(f) * c[f"mean_{f}"] for f in features])
+        return F.greatest(F.col("_norm") - 2 * product + c["norm"], F.lit(0.0))
+
+    def is_own(c: Column) -> Column:
+        return c["name"] == F.col(segment)
+
+    rows = attach(known.withColumn("_norm", norm), "_clusters", all_clusters)
+    own = F.filter("_clusters", is_own)[0]
+    inside = F.try_divide(mean_distance(own) * own["n"], own["n"] - 1)
+    nearest = F.array_min(F.transform(F.filter("_clusters", lambda c: ~is_own(c)), mean_distance))
+    value = F.coalesce(F.try_divide(F.col("_out") - F.col("_in"), F.greatest("_out", "_in")), F.lit(0.0))
+    compared = rows.select(inside.alias("_in"), nearest.alias("_out"))
+    return compared.select(F.when(F.col("_in").isNull() | F.col("_out").isNull(), 0.0).otherwise(value).alias("_s")).agg(
+        F.coalesce(F.avg("_s"), F.lit(0.0)).alias("silhouette")
+    )
 
 
 def cluster_centers(df: DataFrame, features: Sequence[str], segment: str = "segment") -> DataFrame:
@@ -128,3 +151,22 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], segment: str = "segme
 
     worst = F.array_max(F.transform(F.filter("_others", lambda o: o["name"] != F.col(segment)), similarity))
     return attach(spreads, "_others", others).select(F.coalesce(worst, F.lit(0.0)).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
+
+
+def segment_and_report(
+    df: DataFrame, features: Sequence[str] = ("recency", "frequency", "monetary"), k: int = 5, **options
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows with ``segment``, quality, segments) of one k-means run.
+
+    Quality is one row: rows, clusters, inertia, calinski_harabasz, davies_bouldin, silhouette, on standardised features.
+    Segments has size, centre and the statistics of every feature, in original units.
+    """
+    segmented, _ = kmeans_segments(df, features, k, **options)
+    segmented = stage(segmented, "segmented")
+    scaled = stage(standardise(segmented, features).select("segment", *[f"{c}_z" for c in features]), "standardised")
+    names = [f"{c}_z" for c in features]
+    measures = cluster_dispersion(scaled, names).withColumns(
+        {"davies_bouldin": davies_bouldin(scaled, names).scalar(), "silhouette": silhouette(scaled, names).scalar()}
+    )
+    report = segment_stats(segmented, features).join(cluster_centers(segmented, features), "segment")
+    return segmented, measures, report

@@ -109,6 +109,75 @@ def ingest_profile_files(spark, folder):
     return files.groupBy(dialect, "separator", "encoding").agg(F.sum("line_count").alias("line_count"))
 
 
+_FORMATS = [  # separator, encoding, header in the file's own order
+    (";", "UTF-8", ["order_id", "customer_id", "quantity", "order_date"]),
+    (",", "UTF-8", ["Date Commande", "Id_Client", "Qte", "order_id", "Numéro"]),
+    ("\t", "ISO-8859-1", ["Qté note", "client_id", "order_id", "date", "qty"]),
+    (";", "ISO-8859-1", ["quantité totale", "num_commande", "customer", "OrderDate", "quantite"]),
+]
+
+
+def _mixed_files(spark, folder):
+    """Orders in four formats; every 101st line has a field too many, some notes hold a quoted line break."""
+    orders = views.orders(spark, folder)
+    root = scratch_path(spark, "mixed")
+    note = F.when(F.col("order_id") % 7 == 0, F.lit('"à ""noter""\nsuite"')).otherwise(F.lit("né"))
+    number = F.replace((F.col("quantity") + 0.5).cast("string"), F.lit("."), F.lit(","))
+    fields = {
+        "order_id": F.col("order_id").cast("string"),
+        "customer_id": F.col("customer_id").cast("string"),
+        "quantity": F.concat(F.lit('"'), number, F.lit('"')),
+        "order_date": F.date_format("order_date", "dd/MM/yyyy"),
+        "note": note,
+    }
+    meaning = [
+        ["order_id", "customer_id", "quantity", "order_date"],
+        ["order_date", "customer_id", "quantity", "order_id", "note"],
+        ["note", "customer_id", "order_id", "order_date", "quantity"],
+        ["note", "order_id", "customer_id", "order_date", "quantity"],
+    ]
+    for i, ((sep, encoding, names), order) in enumerate(zip(_FORMATS, meaning)):
+        line = F.concat_ws(sep, *[fields[c] for c in order])
+        line = F.when(F.col("order_id") % 101 == 0, F.concat(line, F.lit(sep + "extra"))).otherwise(line)
+        # A string column may hold any bytes; the text writer puts them down as they are.
+        part = F.pmod(F.xxhash64("order_id"), F.lit(3)).cast("int").alias("part")
+        lines = orders.filter(F.col("order_id") % 4 == i).select(part, F.lit(1).alias("place"), F.encode(line, encoding).cast("string").alias("line"))
+        head = F.encode(F.lit(sep.join(names)), encoding).cast("string")
+        heads = spark.range(3).select(F.col("id").cast("int"), F.lit(0), head)
+        files = lines.union(heads).repartitionById(3, "part").sortWithinPartitions("part", "place")
+        files.select("line").write.text(f"{root}/format-{i}")
+    return [f"{root}/format-{i}" for i in range(len(_FORMATS))]
+
+
+_EXPECTED = ["order_id", "customer_id", "quantity", "order_date"]
+
+
+def _load_mixed(spark, folder):
+    return delimited.load_files(
+        spark, _mixed_files(spark, folder), _EXPECTED, ["order_date"], ["quantity"], ["order_id", "order_date"], drop_missing=True, multi_line=True
+    )
+
+
+@query(
+    """SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, quantity + 0.5 AS quantity, order_date
+       FROM v_orders WHERE order_id % 101 <> 0"""
+)
+def load_mixed_files(spark, folder):
+    return _load_mixed(spark, folder)[0].select(*_EXPECTED).withColumn("quantity", F.col("quantity").cast("double"))
+
+
+@query("SELECT CAST(order_id % 4 AS INTEGER) AS format, count(*) AS malformed_lines FROM v_orders WHERE order_id % 101 = 0 GROUP BY 1")
+def load_report(spark, folder):
+    broken = _load_mixed(spark, folder)[1]
+    return broken.groupBy(F.regexp_extract("file_path", "format-([0-9])", 1).cast("int").alias("format")).agg(F.count("*").alias("malformed_lines"))
+
+
+@query("SELECT 'amount' AS column_name, 'revenue' AS blocks")
+def blocked_analyses(spark, folder):
+    orders = views.orders(spark, folder)
+    return quality.blocked_analyses(orders, ["order_date", "amount", "price", "quantity"])
+
+
 @query("SELECT * FROM v_orders")
 def canonicalise_columns(spark, folder):
     french = views.orders(spark, folder).toDF(" Num Commande", "Client", "Product ID", "Qte", "Prix", "Date Commande ")
@@ -1006,8 +1075,76 @@ def kmeans_quality(spark, folder):
     """One row: inertia of the best start and silhouette."""
     segmented, model = clustering.kmeans_segments(retail.staged_rfm(spark, folder), k=4)
     scaled = clustering.standardise(segmented, _FEATURES)
-    found = [(clustering.inertia(model), clustering.silhouette(scaled, [f"{c}_z" for c in _FEATURES]))]
-    return spark.createDataFrame(found, "inertia double, silhouette double")
+    found = clustering.silhouette(scaled, [f"{c}_z" for c in _FEATURES])
+    return found.select(F.lit(clustering.inertia(model)).alias("inertia"), "silhouette")
+
+
+@query(
+    f"""WITH distances AS (
+          SELECT a.customer_id, a.segment AS own, b.segment AS other, sum({' + '.join(f'(a.{c} - b.{c}) ** 2' for c in _FEATURES)}) AS d,
+                 count(*) AS n
+          FROM v_scored a, v_scored b GROUP BY 1, 2, 3),
+        parts AS (
+          SELECT customer_id, max(CASE WHEN own = other THEN d / nullif(n - 1, 0) END) AS inside,
+                 min(CASE WHEN own <> other THEN d / n END) AS outside
+          FROM distances GROUP BY 1)
+        SELECT avg(CASE WHEN inside IS NULL OR outside IS NULL THEN 0
+                        ELSE coalesce((outside - inside) / nullif(greatest(outside, inside), 0), 0) END) AS silhouette FROM parts""",
+    approx=["silhouette"],
+)
+def silhouette(spark, folder):
+    return clustering.silhouette(retail.scored(spark, folder), _FEATURES)
+
+
+# Four groups of customers, far apart: 1000 in each measure against less than 10 inside a group.
+_GROUPED = """SELECT c_custkey AS customer_id, CAST(c_custkey % 4 * 1000 + c_custkey % 7 AS DOUBLE) AS recency,
+                     CAST(c_custkey % 4 * 1000 + c_custkey % 5 AS DOUBLE) AS frequency,
+                     CAST(c_custkey % 4 * 1000 + c_custkey % 3 AS DOUBLE) AS monetary FROM customer"""
+
+
+def _grouped(spark, folder):
+    key = F.col("c_custkey")
+    value = {c: (key % 4 * 1000 + key % n).cast("double") for c, n in zip(_FEATURES, (7, 5, 3))}
+    people = spark.read.parquet(f"{folder}/customer.parquet")
+    return people.select(key.alias("customer_id"), *[v.alias(c) for c, v in value.items()])
+
+
+@query(f"SELECT *, CAST(customer_id % 4 AS VARCHAR) AS segment FROM ({_GROUPED})")
+def kmeans_known_groups(spark, folder):
+    segmented, _ = clustering.kmeans_segments(_grouped(spark, folder), _FEATURES, k=4)
+    return segmented
+
+
+@query(
+    "SELECT CAST(customer_id % 4 AS VARCHAR) AS segment, "
+    + ", ".join(
+        f"avg({c}) AS {c}_mean, median({c}) AS {c}_median, stddev_samp({c}) AS {c}_std, count({c}) AS {c}_count, avg({c}) AS {c}_center"
+        for c in _FEATURES
+    )
+    + f" FROM ({_GROUPED}) GROUP BY 1",
+    approx=[f"{c}_{n}" for c in _FEATURES for n in ("mean", "std", "center")],
+)
+def segment_report(spark, folder):
+    return clustering.segment_and_report(_grouped(spark, folder), _FEATURES, k=4)[2]
+
+
+_SCALED = (
+    "SELECT segment, "
+    + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in _FEATURES)
+    + f" FROM (SELECT *, customer_id % 4 AS segment FROM ({_GROUPED}))"
+)
+
+
+@query(
+    f"""WITH scaled AS ({_SCALED}),
+        centres AS (SELECT segment, count(*) AS n, {', '.join(f'avg({c}) AS m_{c}' for c in _FEATURES)} FROM scaled GROUP BY 1)
+        SELECT count(*) AS rows, count(DISTINCT s.segment) AS clusters,
+               sum({' + '.join(f'(s.{c} - k.m_{c}) ** 2' for c in _FEATURES)}) AS inertia
+        FROM scaled s JOIN centres k ON s.segment = k.segment""",
+    approx=["inertia"],
+)
+def segment_report_quality(spark, folder):
+    return clustering.segment_and_report(_grouped(spark, folder), _FEATURES, k=4)[1].select("rows", "clusters", "inertia")
 
 
 _CENTRES = "SELECT segment, count(*) AS n, " + ", ".join(f"avg({c}) AS m_{c}" for c in _FEATURES) + " FROM v_scored GROUP BY 1"
@@ -1123,6 +1260,84 @@ def churn_risk_summary(spark, folder):
     return churn.churn_risk_summary(retail.churn_probabilities(spark, folder))
 
 
+# Churn that follows from one measure alone, with a gap around the threshold: models must find it for every customer.
+_SEPARABLE = """SELECT c_custkey AS customer_id, CAST(c_custkey * 7919 % 1000 + CASE WHEN c_custkey * 7919 % 1000 >= 600 THEN 500 ELSE 0 END AS DOUBLE) AS recency,
+                       CAST(c_custkey % 13 AS DOUBLE) AS frequency, CAST(c_custkey % 29 AS DOUBLE) AS monetary,
+                       CAST(c_custkey * 7919 % 1000 >= 600 AS INTEGER) AS churn FROM customer"""
+
+
+_FINE = {"max_bins": 512}  # quantiles close enough that one falls into the gap
+
+
+def _separable(spark, folder):
+    key, late = F.col("c_custkey"), F.col("c_custkey") * 7919 % 1000
+    return spark.read.parquet(f"{folder}/customer.parquet").select(
+        key.alias("customer_id"),
+        (late + F.when(late >= 600, 500).otherwise(0)).cast("double").alias("recency"),
+        (key % 13).cast("double").alias("frequency"),
+        (key % 29).cast("double").alias("monetary"),
+        (late >= 600).cast("int").alias("churn"),
+    )
+
+
+def _separable_input(spark, folder):
+    rows = stage(_separable(spark, folder), "separable")
+    return stage(churn.model_input(rows, _FEATURES), "separable-input")
+
+
+@query(f"SELECT customer_id, churn, churn AS predicted FROM ({_SEPARABLE})")
+def random_forest_known_labels(spark, folder):
+    rows = _separable_input(spark, folder)
+    return churn.score(churn.train_random_forest(rows, _FEATURES, **_FINE), rows).select("customer_id", "churn", "predicted")
+
+
+@query(f"SELECT customer_id, churn, churn AS predicted FROM ({_SEPARABLE})")
+def boosted_trees_known_labels(spark, folder):
+    """With the deeper trees and the faster rate of the second parameter set."""
+    rows = _separable_input(spark, folder)
+    model = churn.train_boosted_trees(rows, _FEATURES, trees=10, max_depth=6, rate=0.3, **_FINE)
+    return churn.score(model, rows).select("customer_id", "churn", "predicted")
+
+
+@query("SELECT 'recency' AS feature")
+def leading_feature(spark, folder):
+    rows = _separable_input(spark, folder)
+    return churn.feature_importance(churn.train_random_forest(rows, _FEATURES, **_FINE), rows, _FEATURES, top=1).select("feature")
+
+
+@query(f"SELECT customer_id, CASE WHEN churn = 1 THEN 'high' ELSE 'low' END AS churn_risk FROM ({_SEPARABLE})")
+def churn_scores_known_labels(spark, folder):
+    rows = _separable_input(spark, folder)
+    model = churn.train_boosted_trees(rows, _FEATURES, trees=10, **_FINE)
+    return churn.churn_scores(model, rows).select("customer_id", "churn_risk")
+
+
+_TEST_SHARE = f"""SELECT sum(CASE WHEN churn = 1 THEN n ELSE 0 END) AS churned, sum(n) AS n FROM (
+    SELECT churn, floor(fair) + CASE WHEN row_number() OVER (ORDER BY fair - floor(fair) DESC, churn) <= t - sum(floor(fair)) OVER () THEN 1 ELSE 0 END AS n
+    FROM (SELECT churn, count(*) * any_value(t) / any_value(s) AS fair, any_value(t) AS t FROM ({_SEPARABLE}),
+          (SELECT CAST(count(*) AS DOUBLE) AS s, ceil(count(*) * CAST(0.3 AS DOUBLE)) AS t FROM customer) GROUP BY churn))"""
+
+
+@query(
+    f"""SELECT model, CAST(n AS BIGINT) AS rows, CAST(1 AS DOUBLE) AS accuracy, CAST(1 AS DOUBLE) AS f1, CAST(1 AS DOUBLE) AS roc_auc
+        FROM (VALUES ('forest'), ('boosted')) m(model), ({_TEST_SHARE})""",
+    approx=["accuracy", "f1", "roc_auc"],
+)
+def train_and_compare(spark, folder):
+    rows = stage(_separable(spark, folder), "separable")
+    _, measured, _, _ = churn.train_and_compare(rows, _FEATURES, forest=_FINE, boosted={"trees": 10, **_FINE})
+    return measured.select("model", "rows", "accuracy", "f1", "roc_auc")
+
+
+@query(
+    f"""SELECT model, actual, predicted, CAST(CASE WHEN actual <> predicted THEN 0 WHEN actual = 1 THEN churned ELSE n - churned END AS BIGINT) AS count
+        FROM (VALUES ('forest'), ('boosted')) m(model), (VALUES (0), (1)) a(actual), (VALUES (0), (1)) p(predicted), ({_TEST_SHARE})"""
+)
+def compared_confusion(spark, folder):
+    rows = stage(_separable(spark, folder), "separable")
+    return churn.train_and_compare(rows, _FEATURES, forest=_FINE, boosted={"trees": 10, **_FINE})[2]
+
+
 _METRICS = ["accuracy", "precision", "recall", "f1", "weighted_precision", "weighted_recall", "weighted_f1"]
 
 

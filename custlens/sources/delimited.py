@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from custlens.functions.columns import require_columns
+from custlens.operators import quality
+from custlens.sources import headers
+
 # Separators that are considered, in the order that decides ties.
 SEPARATORS = {"comma": ",", "semicolon": ";", "tab": "\t"}
 
 _CORRUPT = "_corrupt_record"
 _END = "\u0001end\u0001"
+_NO_SEPARATOR = "\u0001"  # does not occur in text files: a line is one field
 
 
 def read_delimited(
@@ -23,11 +30,12 @@ def read_delimited(
     date_format: str = "d/M/yyyy",
     encoding: str = "UTF-8",
     header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Typed read with a given schema; values that do not fit become NULL.
 
     The header is checked against the schema, so a file with other or reordered columns fails
-    instead of filling the wrong columns.
+    instead of filling the wrong columns. Line breaks inside quotes need ``multi_line``; such files are not split.
     """
     reader = (
         spark.read.schema(schema)
@@ -35,6 +43,7 @@ def read_delimited(
         .option("header", header)
         .option("enforceSchema", not header)
         .option("dateFormat", date_format)
+        .option("multiLine", multi_line)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
     )
@@ -44,20 +53,46 @@ def read_delimited(
 def read_raw(
     spark: SparkSession,
     path: str | Sequence[str],
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     sep: str = ";",
     encoding: str = "UTF-8",
     header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Every column as text, plus ``malformed_line``: the text of a line with too many fields, else NULL.
 
-    Short lines are padded with NULL. Split the result with :func:`good_lines` and :func:`bad_lines`.
+    Without ``columns`` the names come from the header, which all files must share; with them a header that differs is an
+    error. Short lines are padded with NULL. Split the result with :func:`good_lines` and :func:`bad_lines`. Line
+    breaks inside quotes need ``multi_line``; such files are not split.
     """
+    if columns is None:
+        if not header:
+            raise ValueError("files without a header need column names")
+        found = [r.header for r in file_headers(spark, path, encoding).select("header").distinct().limit(2).collect()]
+        if len(found) != 1:
+            raise ValueError(f"the files have no common header: {found}")
+        return _read_raw(spark, path, header_fields(found[0], sep), sep, encoding, True, multi_line)
+    return _read_raw(spark, path, columns, sep, encoding, header, multi_line, check=header)
+
+
+def _read_raw(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Sequence[str],
+    sep: str,
+    encoding: str,
+    header: bool,
+    multi_line: bool,
+    check: bool = False,
+) -> DataFrame:
     text = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _CORRUPT]])
     lines = (
         spark.read.schema(text)
         .option("sep", sep)
         .option("header", header)
+        .option("enforceSchema", not check)
+        .option("multiLine", multi_line)
+        .option("escape", '"')
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
@@ -67,13 +102,68 @@ def read_raw(
     # A corrupt line has too few or too many fields. Read again with a marker behind its last field, the
     # marker shows up inside the known columns exactly when the line is short.
     again = F.from_csv(
-        F.concat(F.col(_CORRUPT), F.lit(sep + _END)), F.lit(", ".join(f"f{i} string" for i in range(len(columns)))), {"sep": sep}
+        F.concat(F.col(_CORRUPT), F.lit(sep + _END)), F.lit(", ".join(f"f{i} string" for i in range(len(columns)))), {"sep": sep, "escape": '"'}
     )
     short = F.exists(F.array(*[again[f"f{i}"] for i in range(len(columns))]), lambda f: f.eqNullSafe(F.lit(_END)))
     too_long = F.col(_CORRUPT).isNotNull() & (F.col(columns[-1]).isNotNull() | ~short)
     return lines.withColumn("malformed_line", F.when(too_long, F.col(_CORRUPT))).drop(_CORRUPT)
 
 
+def file_headers(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """(file_path, header): the first line of every file, without a byte order mark."""
+    lines = spark.read.schema("value string").option("sep", _NO_SEPARATOR).option("quote", "").option("encoding", encoding).csv(path)
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line")).alias("place"),
+        F.ltrim(F.col("value"), F.lit("\ufeff")).alias("value"),
+    )
+    return placed.groupBy("file_path").agg(F.min_by("value", "place").alias("header"))
+
+
+def header_fields(header: str, sep: str) -> list[str]:
+    return next(csv.reader([header], delimiter=sep))
+
+
+def load_files(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    expected: Sequence[str],
+    dates: Sequence[str] = (),
+    numbers: Sequence[str] = (),
+    required: Sequence[str] = (),
+    drop_missing: bool = False,
+    aliases: Mapping[str, Sequence[str]] | None = None,
+    multi_line: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Files of any separator, encoding and header as one typed table, and the lines that were left out.
+
+    Separator and encoding are found per file, names come from each file's header and are mapped to the ``expected``
+    ones, dates and numbers are converted, and absent ``required`` columns are an error; with ``drop_missing`` rows
+    that lack a required value go. The second result is ``file_path, malformed_line``. Only one row per file comes to
+    the driver, which has to list the files anyway.
+    """
+    by_format: dict[tuple[str, str], list[str]] = {}
+    for r in profile_files(spark, path).select("file_path", "separator", "encoding").collect():
+        by_format.setdefault((r.separator, r.encoding), []).append(r.file_path)
+    by_header: dict[tuple[str, str, str], list[str]] = {}
+    for (sep, encoding), files in sorted(by_format.items()):
+        for r in file_headers(spark, files, encoding).collect():
+            by_header.setdefault((sep, encoding, r.header), []).append(r.file_path)
+    frames, broken = [], []
+    for (sep, encoding, header), files in sorted(by_header.items()):
+        raw = _read_raw(spark, files, header_fields(header, sep), sep, encoding, True, multi_line)
+        broken.append(raw.filter(F.col("malformed_line").isNotNull()).select(F.col("_metadata.file_path").alias("file_path"), "malformed_line"))
+        frames.append(good_lines(raw))
+    if not frames:
+        raise ValueError(f"no files in {path}")
+    table = headers.union_by_canonical_name(frames, expected, aliases)
+    require_columns(table, required, "loaded files")
+    table = quality.coerce_numeric(quality.coerce_dates(table, dates, per_row=True), numbers)
+    if drop_missing and required:
+        table = quality.drop_incomplete(table, required)
+    return table, reduce(DataFrame.unionByName, broken)
+
+
 def good_lines(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("malformed_line").isNull()).drop("malformed_line")
 

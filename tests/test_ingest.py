@@ -125,3 +125,41 @@ def test_calendar_windows(spark, rows):
     assert cleaning.range_select(df, "d", "YTD").count() == 5 and cleaning.range_select(df, "d", "all").count() == 5
     with pytest.raises(ValueError):
         cleaning.range_select(df, "d", "2w")
+
+
+def test_raw_read_takes_names_from_the_header(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("b;a\n1;2\n")
+    raw = delimited.good_lines(delimited.read_raw(spark, str(tmp_path / "a.csv")))
+    assert raw.columns == ["b", "a"] and rows(raw) == [("1", "2")]
+    with pytest.raises(Exception):
+        delimited.read_raw(spark, str(tmp_path / "a.csv"), ["a", "b"]).collect()
+    with pytest.raises(ValueError):
+        delimited.read_raw(spark, str(tmp_path / "a.csv"), header=False)
+    (tmp_path / "c.csv").write_text("a;b\n1;2\n")
+    with pytest.raises(ValueError, match="no common header"):
+        delimited.read_raw(spark, str(tmp_path))
+
+
+def test_quoted_line_breaks(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('a;b\n1;"x\ny ""z"""\n2;w\n3;v;u\n')
+    raw = delimited.read_raw(spark, str(tmp_path / "a.csv"), multi_line=True)
+    assert rows(delimited.good_lines(raw)) == [("1", 'x\ny "z"'), ("2", "w")]
+    assert delimited.count_malformed(raw).first().asDict() == {"good_lines": 2, "malformed_lines": 1}
+
+
+def test_files_of_all_kinds_become_one_table(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_bytes("﻿client;Num Commande;Qte;date\nc1;o1;2,5;01/05/2025\nc2;o2;x;2025-05-02\nc3;o3;1;1/1/2025;9\n".encode())
+    (tmp_path / "b.csv").write_bytes('order_id,Quantité,date_commande,qty,customer_id\no4,"é\nè",3-5-2025,4,c4\no5,,,1,c5\n'.encode("latin-1"))
+    (tmp_path / "c.csv").write_bytes(b"order_id\tcustomer\n" + b"o6\tc6\n")
+    expected = ["order_id", "customer_id", "order_date", "quantity"]
+    options = {"dates": ["order_date"], "numbers": ["quantity"], "required": ["order_id", "order_date"], "multi_line": True}
+    table, broken = delimited.load_files(spark, str(tmp_path), expected, **options)
+    day = lambda d: dt.date(2025, 5, d)
+    found = sorted((tuple(r) for r in table.select(expected).collect()), key=str)
+    assert found == [
+        ("o1", "c1", day(1), 2.5), ("o2", "c2", day(2), None), ("o4", "c4", day(3), 4.0), ("o5", "c5", None, 1.0), ("o6", "c6", None, None)
+    ]
+    assert [(r.file_path[-5:], r.malformed_line) for r in broken.collect()] == [("a.csv", "c3;o3;1;1/1/2025;9")]
+    assert delimited.load_files(spark, str(tmp_path), expected, drop_missing=True, **options)[0].count() == 3
+    with pytest.raises(ValueError, match="price"):
+        delimited.load_files(spark, str(tmp_path), expected, required=["price"])

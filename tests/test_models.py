@@ -1,9 +1,10 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from custlens.operators import advice, churn, clustering, marketing, metrics
+from custlens.operators import advice, churn, clustering, enrich, marketing, metrics, rfm
 
 
 def test_split_is_exact_and_independent_of_partitioning(spark):
@@ -108,7 +109,7 @@ def test_cluster_indices(spark):
     one = df.filter("segment = 'a'")
     assert clustering.cluster_dispersion(one, ["x", "y"]).first().calinski_harabasz == 0.0
     assert clustering.davies_bouldin(one, ["x", "y"]).first().davies_bouldin == 0.0
-    assert clustering.silhouette(one, ["x", "y"]) == 0.0
+    assert clustering.silhouette(one, ["x", "y"]).first().silhouette == 0.0
     flat = clustering.standardise(spark.createDataFrame([(3.0,), (3.0,)], "x double"), ["x"])
     assert [r.x_z for r in flat.collect()] == [0.0, 0.0]
 
@@ -143,3 +144,50 @@ def test_playbook_leaves_unknown_segments_empty(spark):
     df = spark.createDataFrame([("0",), ("1",), ("x",)], "segment string")
     found = {r.segment: r.objective for r in advice.segment_playbook(df).collect()}
     assert found == {"0": None, "1": advice.PLAYBOOK[0][1], "x": None}
+
+
+def test_silhouette_against_all_distances(spark):
+    rng = np.random.default_rng(4)
+    points = [(str(rng.integers(3)), *map(float, rng.normal(size=2))) for _ in range(60)] + [("alone", 5.0, 5.0), (None, 0.0, 0.0)]
+    found = clustering.silhouette(spark.createDataFrame(points, "segment string, x double, y double"), ["x", "y"]).first().silhouette
+    known = [p for p in points if p[0]]
+    values = []
+    for name, *p in known:
+        by = {}
+        for other, *q in known:
+            by.setdefault(other, []).append(sum((a - b) ** 2 for a, b in zip(p, q)))
+        inside = sum(by[name]) / (len(by[name]) - 1) if len(by[name]) > 1 else None
+        outside = min(np.mean(v) for k, v in by.items() if k != name)
+        values.append(0 if inside is None else (outside - inside) / max(outside, inside))
+    assert found == pytest.approx(np.mean(values))
+
+
+def test_confusion_for_every_model(spark, rows):
+    data = spark.createDataFrame([("a", 1, 1), ("a", 0, 1), ("b", 0, 0)], "model string, label int, predicted int")
+    table = metrics.confusion_matrix(data, by="model")
+    assert rows(table, "model", "actual", "predicted", "count") == sorted(
+        (m, a, p, {("a", 1, 1): 1, ("a", 0, 1): 1, ("b", 0, 0): 1}.get((m, a, p), 0)) for m in "ab" for a in (0, 1) for p in (0, 1)
+    )
+    assert rows(metrics.churn_rates(table, by="model"), "model", "actual_rate", "predicted_rate") == [("a", 0.5, 1.0), ("b", 0.0, 0.0)]
+
+
+def test_mapping_with_repeated_keys(spark, rows):
+    facts = spark.createDataFrame([("x",), ("y",), ("z",)], "k string")
+    table = spark.createDataFrame([("x", 9, 1), ("x", 3, 2), ("y", 5, 1)], "k string, v int, version int")
+    assert rows(enrich.dictionary_map(facts, table, "k", "v", "to", ["version"]).fillna(-1)) == [("x", 3), ("y", 5), ("z", -1)]
+    with pytest.raises(Exception, match="more than once"):
+        enrich.dictionary_map(facts, table, "k", "v", "to").collect()
+
+
+def test_undated_orders_and_first_known_attributes(spark, rows):
+    day = dt.date(2025, 1, 2)
+    sales = spark.createDataFrame(
+        [(1, 1, 2, 5.0, day, None), (2, 1, 1, 1.0, None, "late"), (3, 1, 1, 1.0, day + dt.timedelta(3), "mail"), (4, 2, 1, 1.0, None, None)],
+        "order_id int, customer_id int, quantity int, amount double, order_date date, contact string",
+    )
+    assert rows(rfm.rfm(sales), "customer_id", "frequency") == [(1, 3), (2, 1)]
+    assert rows(rfm.rfm(sales, count="dates"), "customer_id", "frequency") == [(1, 2), (2, 0)]
+    people = spark.createDataFrame([(1, "Zoé")], "customer_id int, name string")
+    dated = sales.dropna(subset=["order_date"])
+    found = rfm.customer_aggregate(dated, first=["contact"], customers=people, attributes=["name"])
+    assert rows(found, "customer_id", "contact_first", "name_first", "order_date_count") == [(1, "mail", "Zoé", 2)]
