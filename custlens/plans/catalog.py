@@ -777,10 +777,9 @@ def campaign_totals(spark, folder):
     return marketing.campaign_totals(performance)
 
 
-def _segment_performance(spark, folder):
-    return marketing.segment_performance(
-        retail.sales(spark, folder), retail.assigned_segments(spark, folder), views.marketing(spark, folder), revenue="amount"
-    )
+def _segment_performance(spark, folder, spending=None):
+    spending = views.marketing(spark, folder) if spending is None else spending
+    return marketing.segment_performance(retail.sales(spark, folder), retail.assigned_segments(spark, folder), spending, revenue="amount")
 
 
 @query(
@@ -802,8 +801,9 @@ def daily_orders(spark, folder):
     return marketing.daily_orders(retail.sales(spark, folder), revenue="amount")
 
 
-def _daily(spark, folder):
-    return marketing.temporal_trends(views.marketing(spark, folder), retail.sales(spark, folder), revenue="amount")
+def _daily(spark, folder, spending=None):
+    spending = views.marketing(spark, folder) if spending is None else spending
+    return marketing.temporal_trends(spending, retail.sales(spark, folder), revenue="amount")
 
 
 @query(
@@ -1449,9 +1449,10 @@ _ENDS_SQL = """SELECT arg_max(segment, "ROI") AS best, max("ROI") AS high, arg_m
     approx=["value"],
 )
 def campaign_recommendations(spark, folder):
-    campaigns = stage(marketing.campaign_kpis(views.marketing(spark, folder)), "campaigns")
-    segments = stage(_segment_performance(spark, folder), "segment-performance")
-    return advice.campaign_recommendations(campaigns, segments, stage(_daily(spark, folder), "daily"))
+    spending = stage(views.marketing(spark, folder), "marketing")  # one row per campaign and day
+    campaigns = stage(marketing.campaign_kpis(spending), "campaigns")
+    segments = stage(_segment_performance(spark, folder, spending), "segment-performance")
+    return advice.campaign_recommendations(campaigns, segments, stage(_daily(spark, folder, spending), "daily"))
 
 
 @query(
