@@ -197,12 +197,13 @@ def modes(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     )
 
 
-def spread_join(df: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "left", parts: int = 32) -> DataFrame:
+def spread_join(df: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "left", parts: int | None = None) -> DataFrame:
     """Join ``table`` (few rows per key) to ``df`` when single keys of ``df`` may be very frequent.
 
-    Each key of ``df`` is split into ``parts`` by a hash of the ``spread`` columns and ``table`` is repeated
+    Each key of ``df`` is split into ``parts`` (default: the shuffle partitions) by a hash of the ``spread`` columns and ``table`` is repeated
     for each part, so one hot key is worked on by many tasks. Nothing is broadcast unless Spark finds it small.
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = F.pmod(F.xxhash64(*spread), F.lit(parts)).cast("int")
     repeated = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return df.withColumn("_part", part).join(repeated, [*on, "_part"], how).drop("_part")
