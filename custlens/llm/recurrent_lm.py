@@ -13,6 +13,7 @@ grows with the corpus.
 
 from __future__ import annotations
 
+import heapq
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.llm.arrow import table
+from custlens.llm.arrow import pieces, table
 from custlens.session import stage
 
 END = b""  # no word is empty
@@ -32,6 +33,8 @@ _LETTER[list(b".")] = 1
 _LETTER[list(b",")] = 2
 _LETTER[list(b"!?;:\"')]|*#%&$")] = 3
 SHAPES = 24
+_TOP = np.float32(60)  # states are bounded, so logits stay far below; exp must not overflow
+_TRAINING_TOKENS = 400_000  # that share the lanes of a batch
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -53,9 +56,9 @@ class Settings:
     classes: int = 40
     hidden: int = 24
     lookup: int = 50_000  # words whose counts are sent to every task; the others meet their counts in a join
-    share: float = 0.125  # of the training documents, for the weights
+    share: float = 0.1  # of the training documents, for the weights
     rounds: int = 2
-    batch: int = 64
+    batch: int = 48  # documents side by side
     window: int = 12
     rate: float = 0.01
 
@@ -155,8 +158,7 @@ class Network:
 
     def log_probability(self, states: np.ndarray, symbols: np.ndarray, gradient=None) -> np.ndarray:
         """Natural log probability of each symbol (of its class only, for shapes); adds gradients of the negated sum."""
-        logits = states @ self.wc + self.bc
-        logits -= logits.max(axis=1, keepdims=True)
+        logits = np.minimum(states @ self.wc + self.bc, _TOP)
         e = np.exp(logits)
         total = e.sum(axis=1)
         kind = self.class_of(symbols)
@@ -176,8 +178,7 @@ class Network:
             if not len(here):
                 continue
             own = states[here]
-            inner = own @ self.wo[c] + self.bo[c]
-            inner -= inner.max(axis=1, keepdims=True)
+            inner = np.minimum(own @ self.wo[c] + self.bo[c], _TOP)
             e = np.exp(inner)
             total = e.sum(axis=1)
             place = symbols[here] - c * self.size
@@ -191,7 +192,7 @@ class Network:
                 back[here] += e @ self.wo[c].T
         return out if gradient is None else (out, back)
 
-    def score(self, documents: list[np.ndarray], rows: int = 32_768) -> np.ndarray:
+    def score(self, documents: list[np.ndarray], rows: int = 16_384) -> np.ndarray:
         """Natural log probability of each document (an array of symbols)."""
         lengths = np.array([len(d) for d in documents], np.int64)
         order = np.argsort(-lengths, kind="stable")
@@ -222,28 +223,44 @@ class Network:
         return out
 
     def train(self, documents: list[np.ndarray], settings: Settings, moments: dict) -> None:
-        """One pass over a batch of documents, a window at a time; the state is carried on, gradients are not."""
-        documents = sorted(documents, key=len, reverse=True)
-        lengths = np.array([len(d) for d in documents])
-        h = np.zeros((len(documents), self.hidden), np.float32)
+        """One pass over documents, put one behind the other in lanes of about equal length, a window at a time.
+
+        The state is carried from window to window, gradients are not; a document starts with an empty state.
+        """
+        lanes: list[list[np.ndarray]] = [[] for _ in range(min(settings.batch, len(documents)))]
+        filled = [(0, i) for i in range(len(lanes))]
+        for document in sorted(documents, key=len, reverse=True):
+            size, i = heapq.heappop(filled)
+            lanes[i].append(document)
+            heapq.heappush(filled, (size + len(document), i))
+        lengths = np.array([sum(map(len, lane)) for lane in lanes])
+        lanes = [lanes[i] for i in np.argsort(-lengths, kind="stable")]
+        lengths = -np.sort(-lengths)
+        longest = int(lengths[0])
+        everything = np.zeros((longest, len(lanes)), np.int64)
+        starting = np.zeros((longest, len(lanes)), bool)
+        for i, lane in enumerate(lanes):
+            everything[: lengths[i], i] = np.concatenate(lane)
+            starting[np.cumsum([0, *map(len, lane[:-1])]), i] = True
+        h = np.zeros((len(lanes), self.hidden), np.float32)
         n = self.hidden
-        for low in range(0, int(lengths[0]), settings.window):
+        for low in range(0, longest, settings.window):
             active = int((lengths > low).sum())
-            steps = min(settings.window, int(lengths[0]) - low)
-            symbols = np.zeros((steps, active), np.int64)
+            steps = min(settings.window, longest - low)
+            here = slice(low, low + steps)
+            symbols, starts = everything[here, :active], starting[here, :active]
+            mask = np.arange(low, low + steps)[:, None] < lengths[None, :active]
             before = np.full((steps, active), -1)
-            mask = np.zeros((steps, active), bool)
-            for i in range(active):
-                part = documents[i][low : low + steps]
-                symbols[: len(part), i] = part
-                mask[: len(part), i] = True
-                earlier = documents[i][max(0, low - 1) : low + len(part) - 1]
-                before[len(part) - len(earlier) : len(part), i] = earlier
+            before[1:] = symbols[:-1]
+            if low:
+                before[0] = everything[low - 1, :active]
+            before[starts] = -1
             h = h[:active]
-            told = np.where((before >= 0)[:, :, None], self.embed[before], 0)
+            told = np.where((before >= 0)[:, :, None], self.embed[before], np.float32(0))
             gates = told @ self.wx + self.bias
             saved, states = [], []
             for t in range(steps):
+                h = np.where(starts[t][:, None], np.float32(0), h)
                 new_h, z, r, new, u = self.step(gates[t], h)
                 saved.append((h, z, r, new, u))
                 states.append(new_h)
@@ -265,7 +282,7 @@ class Network:
                 d_gates[t] = np.concatenate([d_z, d_r, d_new], axis=1)
                 d_u = np.concatenate([d_z, d_r, d_new * r], axis=1)
                 gradient["wh"] += h_in.T @ d_u
-                carry = d * z + d_u @ self.wh.T
+                carry = np.where(starts[t][:, None], np.float32(0), d * z + d_u @ self.wh.T)
             gradient["bias"] += d_gates.sum(axis=(0, 1))
             flat_gates = d_gates.reshape(-1, 3 * n)
             gradient["wx"] += told.reshape(-1, n).T @ flat_gates
@@ -351,20 +368,17 @@ def train_network(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col
             own.set_flat(now.value)
             moments: dict = {}
             held: list[np.ndarray] = []
-            n = 0
+            n = waiting = 0
             for batch in batches:
                 for text in batch.column(0):
                     codes, _ = words.value.encode(tokens((text.as_py() or "").encode()))
                     held.append(words.value.symbol[codes])
-                    n += len(codes)
-                    if len(held) == settings.batch * 8:  # documents of like length go together
-                        held.sort(key=len)
-                        for i in range(0, len(held), settings.batch):
-                            own.train(held[i : i + settings.batch], settings, moments)
-                        held = []
-            held.sort(key=len)
-            for i in range(0, len(held), settings.batch):
-                own.train(held[i : i + settings.batch], settings, moments)
+                    n, waiting = n + len(codes), waiting + len(codes)
+                    if waiting >= _TRAINING_TOKENS:
+                        own.train(held, settings, moments)
+                        held, waiting = [], 0
+            if held:
+                own.train(held, settings, moments)
             if n:
                 trained = own.flat().astype(np.float64) * n
                 parts = [trained[i : i + block] for i in range(0, len(trained), block)]
@@ -405,14 +419,16 @@ def score_documents(docs: DataFrame, settings: Settings | None = None, id_col: s
     shared = spark.sparkContext.broadcast((vocabulary, network))
     kind = docs.schema[id_col].dataType.simpleString()
     columns = f"_row long, _id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rest array<struct<word: binary, n: int>>"
-    pairs = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
 
     def run(batches):
         words, net = shared.value
         first = TaskContext.get().partitionId() << 33
         log_ten = np.log(10)
-        for batch in batches:
-            n_tokens, n_known, base, within, symbols, rest = [], [], [], [], [], []
+        for batch in (p for b in batches for p in pieces(b, "_text", 12_000_000)):
+            n_tokens, n_known, base, within, symbols = [], [], [], [], []
+            rare: list[bytes] = []
+            times: list[int] = []
+            ends = [0]
             for text in batch.column(2):
                 codes, unknown = words.encode(tokens((text.as_py() or "").encode()))
                 logs = words.log_count[codes]
@@ -423,14 +439,17 @@ def score_documents(docs: DataFrame, settings: Settings | None = None, id_col: s
                 base.append(float(logs.sum()) - len(codes) * words.base_norm)
                 within.append(float(logs[others].sum() - words.rest[chosen[others] - (words.symbols - SHAPES)].sum()))
                 symbols.append(chosen.astype(np.int32))
-                rest.append([{"word": w, "n": n} for w, n in unknown.items()])
-            score = net.score(symbols) / log_ten + np.array(within) if symbols else []
+                rare += unknown
+                times += unknown.values()
+                ends.append(len(rare))
+            score = net.score(symbols) / log_ten + np.array(within)
             rows = np.arange(first, first + batch.num_rows)
             first += batch.num_rows
+            entries = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(rows, pa.int64()), batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.array(rest, pairs),
+                    pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries),
                 ],
                 names=["_row", "_id", "held_out", "n_tokens", "n_known", "base", "score", "rest"],
             )
