@@ -130,7 +130,8 @@ def _decide(docs: DataFrame, id_col: str, text_col: str, carried: Column | None)
     numbered = rows.join(repeated, "_fp", "left_semi").withColumn("_row", F.monotonically_increasing_id())
     routed = stage(numbered, "routed", compression="zstd")
     best = F.max(F.struct(F.col("_id"), F.col("_row"))).alias("_best")
-    equal = routed.groupBy("_fp", "_text").agg(best, F.count("*").alias("group_size"))
+    # Written, so that the join shuffles both sides for itself and Spark can split the rows of a very frequent text.
+    equal = stage(routed.groupBy("_fp", "_text").agg(best, F.count("*").alias("group_size")), "equal", compression="zstd")
     together = routed.join(equal, ["_fp", "_text"]).select(
         "_id",
         F.col("_best._id").alias("keep_id"),
