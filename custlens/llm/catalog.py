@@ -61,14 +61,12 @@ def op3_prefix_target_chat(spark, folder):
     return chat.read_back(stage(chat.examples(turns.unionAll(extra)), "chat", compression="zstd"))
 
 
+@query()
 def op5_ring_shards(spark, folder):
     sharded = ring_shards.shard_rows(documents(spark, folder))
     return sharded.selectExpr("doc_id", "size", "text_crc32", "'rows' AS law", "shard", "slot", "CAST(NULL AS INT) AS grown_shard")
 
 
-QUERIES["op5_ring_shards"] = op5_ring_shards
-
-
 @query(
     """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -78,46 +76,36 @@ def op7_quotient_dedup(spark, folder):
     return exact_dedup.exact_groups(documents(spark, folder))
 
 
+@query()
 def op1_simhash_bktree(spark, folder):
     return simhash.simhash_components(documents(spark, folder))
 
 
+@query()
 def op4_winnowing(spark, folder):
     return decontamination.contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
-QUERIES["op1_simhash_bktree"] = op1_simhash_bktree
-QUERIES["op4_winnowing"] = op4_winnowing
-
-
+@query()
 def op2_elias_fano_tokens(spark, folder):
     return token_files.read_tokens(token_files.write_tokens(documents(spark, folder), public_tokenizer("byte_bpe_50k.json")))
 
 
+@query()
 def op6_nnls_packing(spark, folder):
     return packing.pack(documents(spark, folder), public_tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES["op2_elias_fano_tokens"] = op2_elias_fano_tokens
-QUERIES["op6_nnls_packing"] = op6_nnls_packing
-
-
+@query()
 def op8_bradley_terry(spark, folder):
     return quality.quality_scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
-QUERIES["op8_bradley_terry"] = op8_bradley_terry
-
-
+@query()
 def op10_grammar_secrets(spark, folder):
     return secret_scan.scan_secrets(documents(spark, folder))
 
 
-QUERIES["op10_grammar_secrets"] = op10_grammar_secrets
-
-
+@query()
 def op9_recurrent_lm(spark, folder):
     return recurrent_lm.score_documents(documents(spark, folder))
-
-
-QUERIES["op9_recurrent_lm"] = op9_recurrent_lm
