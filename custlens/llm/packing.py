@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from custlens.llm.arrow import pieces as cut_batch
 from custlens.llm.arrow import table
-from custlens.llm.tokens import ChunkEncoder, slices
+from custlens.llm.tokens import TEXT_BYTES, ChunkEncoder
 from custlens.session import stage
 
 _RANKS = 1 << 40  # more pieces of one length than this don't fit the combined key
@@ -150,9 +151,9 @@ def token_pieces(
         encoder = ChunkEncoder(tokenizer)
         counted = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            names = batch.column(0)
-            for first, texts in slices(batch.column(1).to_pylist()):
-                flat, edges = encoder.encode(texts)
+            for texts in cut_batch(batch, "_text", TEXT_BYTES):
+                names = texts.column(0)
+                flat, edges = encoder.encode(texts.column(1))
                 sizes = np.diff(edges) + 1
                 full = np.insert(flat, edges[1:], end_id).astype("<u4")
                 n = -(-sizes // capacity)
@@ -170,7 +171,7 @@ def token_pieces(
                 cuts = list(zip(at.tolist(), (at + length).tolist()))
                 more = {"ids": [full[a:b].astype(np.int32) for a, b in cuts]} if with_ids else {}
                 schema = pa.schema([("_id", names.type), *fields])
-                yield table(schema, _id=names.take(pa.array(row + first)), piece=piece, start=start, length=length, ids_crc32=[zlib.crc32(full[a:b]) for a, b in cuts], rank=rank, **more)
+                yield table(schema, _id=names.take(pa.array(row)), piece=piece, start=start, length=length, ids_crc32=[zlib.crc32(full[a:b]) for a, b in cuts], rank=rank, **more)
 
     columns = f"_id {kind}, piece int, start long, length long, ids_crc32 long, rank long" + (", ids array<int>" if with_ids else "")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))

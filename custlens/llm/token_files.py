@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custlens.llm.arrow import table
-from custlens.llm.tokens import ChunkEncoder, slices
+from custlens.llm.arrow import pieces, table
+from custlens.llm.tokens import TEXT_BYTES, ChunkEncoder
 from custlens.session import stage
 
 TOKENS_PER_FILE = 2_000_000
@@ -149,14 +149,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
         encoder = ChunkEncoder(tokenizer)
         kind = "<u2" if len(encoder.token_bytes) <= 1 << 16 else "<u4"
         for batch in batches:
-            doc_ids, ties = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for start, texts in slices(batch.column(2).to_pylist()):
-                ids, edges = encoder.encode(texts)
+            for rows in pieces(batch, "_text", TEXT_BYTES):
+                ids, edges = encoder.encode(rows.column(2))
                 ids = ids.astype(kind)
-                here = slice(start, start + len(texts))
-                part = [max(0, bisect_right(begins, (d is not None, d or 0, t)) - 1) for d, t in zip(doc_ids[here], ties[here])]
+                part = [max(0, bisect_right(begins, (d is not None, d or 0, t)) - 1) for d, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())]
                 blobs = [ids[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-                yield table(schema, part=part, _id=doc_ids[here], _tie=ties[here], ids=blobs)
+                yield table(schema, part=part, _id=rows.column(0), _tie=rows.column(1), ids=blobs)
 
     def write(batches):
         vocabulary = ChunkEncoder(tokenizer).token_bytes

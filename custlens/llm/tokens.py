@@ -9,17 +9,29 @@ the library, many in one call. Texts for which that reasoning doesn't hold go to
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+
+from custlens.llm.arrow import utf8
 
 CACHED_CHUNKS = 400_000
-LONGEST_CACHED = 48
+LONGEST_CACHED = 64  # bytes
+TEXT_BYTES = 6_000_000  # encoded at once
+
+_WHITE = b" \t\n\v\f\r"
+_SPACE = np.zeros(256, bool)
+_SPACE[list(_WHITE)] = True
+
 
-_CHUNKS = re.compile(r"\s*\S+|\s+")
-# Control characters that Python takes for white space and the tokenizer does not; the start of special tokens.
-_WHOLE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+def _beyond(data: np.ndarray) -> np.ndarray:
+    """Places of white space outside ASCII and of the start of special tokens; texts with them are encoded whole."""
+    first, second, third = data[:-2], data[1:-1], data[2:]
+    general = (second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF)) | (second == 0x81) & (third == 0x9F)
+    found = (first == 0xE2) & general | (first == 0xE1) & (second == 0x9A) | (first == 0xE3) & (second == 0x80) & (third == 0x80)
+    first, second = data[:-1], data[1:]
+    pair = (first == 0xC2) & ((second == 0x85) | (second == 0xA0)) | (first == ord("<")) & (second == ord("|"))
+    return np.concatenate([np.flatnonzero(found), np.flatnonzero(pair)])
 
 
 def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
@@ -45,7 +57,7 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)  # ids of chunk i: ids[ends[i]:ends[i + 1]]
         self.used = np.zeros(0, np.int64)
@@ -70,22 +82,22 @@ class ChunkEncoder:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[bytes]) -> None:
         """Ids of new chunks: joined, encoded in long stretches, cut again by the bytes of the tokens."""
         # A first word, and white space at the end of a text, would run into their neighbours.
-        apart = [not c[0].isspace() or c[-1].isspace() for c in chunks]
+        apart = [c[0] not in _WHITE or c[-1] in _WHITE for c in chunks]
         inner = [c for c, a in zip(chunks, apart) if not a]
         first = [c for c, a in zip(chunks, apart) if a]
         order, encoded, lengths = inner + first, [], []
         for a in range(0, len(inner), 2000):
             part = inner[a : a + 2000]
-            ids = np.array(self._library(["".join(part)])[0], np.uint32)
-            edges = np.cumsum([len(c.encode()) for c in part])
+            ids = np.array(self._library([b"".join(part).decode()])[0], np.uint32)
+            edges = np.cumsum(list(map(len, part)))
             cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), edges, side="left") + 1
             encoded.append(ids)
             lengths.append(np.diff(cuts, prepend=0))
         if first:
-            alone = self._library(first)
+            alone = self._library([c.decode() for c in first])
             encoded.append(np.array([i for x in alone for i in x], np.uint32))
             lengths.append(np.array([len(x) for x in alone], np.int64))
         self.known.update(zip(order, range(len(self.known), len(self.known) + len(order))))
@@ -93,50 +105,45 @@ class ChunkEncoder:
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(lengths))])
         self.used = np.concatenate([self.used, np.zeros(len(order), np.int64)])
 
-    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and where each text starts (one entry more than texts)."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and where each text starts (one entry more than texts). Null counts as empty."""
         if len(self.known) > self.cached:
             self._keep_repeated()
-        whole: list[int] = []
-        chunks: list[str] = []
-        edges = np.zeros(len(texts) + 1, np.int64)
-        for i, text in enumerate(texts):
-            found = [] if any(x in text for x in _WHOLE) else _CHUNKS.findall(text)
-            if not found or max(map(len, found)) > LONGEST_CACHED:
-                whole.append(i)
-            else:
-                chunks += found
-            edges[i + 1] = len(chunks)
+        data, offsets = utf8(texts)
+        begin = _SPACE[data]
+        begin[1:] &= ~begin[:-1]
+        begin[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        starts = np.flatnonzero(begin)
+        row = np.searchsorted(offsets, starts, side="right") - 1
+        is_whole = np.zeros(len(texts), bool)
+        is_whole[row[np.diff(starts, append=len(data)) > LONGEST_CACHED]] = True
+        is_whole[np.searchsorted(offsets, _beyond(data), side="right") - 1] = True
+        chunks = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(np.ascontiguousarray(data))]
+        )
+        if is_whole.any():
+            keep = ~is_whole[row]
+            chunks, row = chunks.filter(pa.array(keep)), row[keep]
+        coded = chunks.dictionary_encode()
+        words = coded.dictionary.to_pylist()
         find = self.known.get
-        run = np.array([find(c, -1) for c in chunks], np.int64)
-        missing = np.flatnonzero(run < 0)
+        place = np.array([find(w, -1) for w in words], np.int64)
+        missing = np.flatnonzero(place < 0)
         if len(missing):
-            new = [chunks[i] for i in missing.tolist()]
-            self._learn(list(dict.fromkeys(new)))
-            find = self.known.get
-            run[missing] = [find(c) for c in new]
+            new = [words[i] for i in missing.tolist()]
+            self._learn(new)
+            place[missing] = [self.known[w] for w in new]
+        run = place[coded.indices.to_numpy()]
         self.used += np.bincount(run, minlength=len(self.used))
         sizes = self.ends[run + 1] - self.ends[run]
         ids = self._expand(run, sizes)
-        starts = np.concatenate([[0], np.cumsum(sizes)])[edges]
-        if not whole:
-            return ids, starts
-        lengths, parts, at = np.diff(starts), [], 0
-        for i, alone in zip(whole, self._library([texts[i] for i in whole])):
-            parts += [ids[at : starts[i]], np.array(alone, np.uint32)]
-            at, lengths[i] = starts[i], len(alone)
+        edges = np.searchsorted(row, np.arange(len(texts) + 1))
+        bounds = np.concatenate([[0], np.cumsum(sizes)])[edges]
+        if not is_whole.any():
+            return ids, bounds
+        whole = np.flatnonzero(is_whole).tolist()
+        lengths, parts, at = np.diff(bounds), [], 0
+        for i, alone in zip(whole, self._library([texts[i].as_py() for i in whole])):
+            parts += [ids[at : bounds[i]], np.array(alone, np.uint32)]
+            at, lengths[i] = bounds[i], len(alone)
         return np.concatenate([*parts, ids[at:]]), np.concatenate([[0], np.cumsum(lengths)])
-
-
-def slices(texts: Sequence[str | None], characters: int = 2_000_000):
-    """Stretches of a batch with about so many characters each: (start, texts); null texts become empty."""
-    part: list[str] = []
-    start = size = 0
-    for i, text in enumerate(texts):
-        part.append(text or "")
-        size += len(part[-1])
-        if size >= characters:
-            yield start, part
-            start, part, size = i + 1, [], 0
-    if part:
-        yield start, part
