@@ -3,7 +3,9 @@
 At a similarity of 0.8 SimHash fingerprints differ in about ten of 64 bits, far too many to find by agreeing blocks
 of bits. Shards are therefore made from the smallest hashes of a text's shingles (bands of a few minima; texts that
 similar share one with near certainty). Each shard has a BK-tree over its fingerprints, a search follows the edges
-within the radius, and a pair found counts as a link only if its shingle sets really are as similar as asked.
+within the radius, and a pair found counts as a link only if its shingle sets really are as similar as asked. The
+radius only says which pairs come first: what it leaves apart in a shard is compared as well, except pairs that
+cannot be that similar by the sizes of their sets or the places of their rarest shingles.
 """
 
 from __future__ import annotations
@@ -24,27 +26,30 @@ _AT_ONCE_ROWS, _AT_ONCE_BYTES = 50_000, 32_000_000
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """Distinct shingle hashes, ascending; the similarity of texts is that of these sets."""
+    parts = list(shingle_hashes(text, shingle))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
 def sketch(text: bytes, shingle: int) -> tuple[int, np.ndarray]:
-    """SimHash fingerprint and one key per band; no keys without words."""
-    ones, n = np.zeros(64, np.int64), 0
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for hashes in shingle_hashes(text, shingle):
-        ones += _ones(hashes)
-        n += len(hashes)
-        mixed = hashes ^ (hashes >> np.uint64(32))
-        for i, factor in enumerate(_FACTORS):
-            least[i] = min(least[i], (mixed * factor).min())
-    if not n:
+    """SimHash fingerprint of the distinct shingles and one key per band; no keys without words."""
+    hashes = shingle_set(text, shingle)
+    if not len(hashes):
         return 0, np.zeros(0, np.uint64)
+    mixed = hashes ^ (hashes >> np.uint64(32))
+    least = np.array([(mixed * factor).min() for factor in _FACTORS], np.uint64)
     keys = np.zeros(BANDS, np.uint64)
     for row in least.reshape(BANDS, ROWS).T:
         keys = (keys ^ row) * np.uint64(0x9E3779B97F4A7C15)
         keys ^= keys >> np.uint64(29)
-    return _majority(ones, n), keys
+    return _majority(_ones(hashes), len(hashes)), keys
 
 
 def verified_links(shard: np.ndarray, fp: np.ndarray, in_tree: np.ndarray, asks: np.ndarray, texts: list[bytes], shingle: int, similarity: float, radius: int):
-    """Pairs of positions that connect all texts of a shard that are similar enough; pairs already connected are not compared."""
+    """Pairs of positions that connect all texts of a shard that are similar enough; pairs already connected are not compared.
+
+    Pairs within the radius come first, the closest of them before the others."""
     _, groups = np.unique(shard, return_inverse=True)
     tree, ask = np.flatnonzero(in_tree), np.flatnonzero(asks)
     forest = Forest(groups[tree], fp[tree])
@@ -61,8 +66,7 @@ def verified_links(shard: np.ndarray, fp: np.ndarray, in_tree: np.ndarray, asks:
         if i not in sets:
             if len(sets) > 2_000:
                 sets.clear()
-            parts = list(shingle_hashes(texts[i], shingle))
-            sets[i] = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+            sets[i] = shingle_set(texts[i], shingle)
         return sets[i]
 
     links = []
@@ -85,6 +89,66 @@ def verified_links(shard: np.ndarray, fp: np.ndarray, in_tree: np.ndarray, asks:
                     parent[root(j)] = root(i)
                     links.append((i, j))
         start = stop
+    by_shard = np.argsort(groups, kind="stable")
+    for here in np.split(by_shard, np.flatnonzero(np.diff(groups[by_shard])) + 1):
+        tags = np.array([root(i) for i in here.tolist()])
+        if (tags == tags[0]).all():
+            continue
+        for i, j in left_apart([shingles(i) for i in here.tolist()], tags, in_tree[here], asks[here], similarity):
+            links.append((int(here[i]), int(here[j])))
+    return links
+
+
+def left_apart(sets: list[np.ndarray], tags: np.ndarray, in_tree: np.ndarray, asks: np.ndarray, similarity: float):
+    """Links between sets of different tags that are similar enough; ``tags`` become equal where sets are linked.
+
+    Similar sets share one of their rarest members, and the place of the first that they share bounds how many they share.
+    """
+    sizes = np.array([len(s) for s in sets])
+    _, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    begins = np.cumsum(sizes) - sizes
+    place = np.arange(len(owner)) - begins[owner]
+    rarest = number[np.lexsort((number, times[number], owner))]
+    # Without these at least one of them would have to be shared for the similarity.
+    heads = place < (sizes - np.ceil(similarity * sizes - 1e-9) + 1)[owner]
+    member, who, at = rarest[heads], owner[heads], place[heads]
+    n = np.bincount(member, minlength=len(times))
+    shared = n[member] > 1
+    member, who, at = member[shared], who[shared], at[shared]
+    order = np.argsort(member, kind="stable")
+    listed, listed_at = who[order], at[order]
+    low, high = (np.searchsorted(member[order], member, side=s) for s in ("left", "right"))
+    edges = np.searchsorted(who, np.arange(len(sets) + 1))
+    values, amounts = np.unique(tags, return_counts=True)
+    largest = tags == values[amounts.argmax()]  # of two sets left apart one is outside the largest group
+    marked = np.zeros(len(times), bool)
+    links = []
+    for i in np.flatnonzero(~largest & (edges[1:] > edges[:-1])).tolist():
+        mine = range(edges[i], edges[i + 1])
+        near = np.concatenate([listed[low[k] : high[k]] for k in mine])
+        there = np.concatenate([listed_at[low[k] : high[k]] for k in mine])
+        ours = np.repeat(at[edges[i] : edges[i + 1]], high[edges[i] : edges[i + 1]] - low[edges[i] : edges[i + 1]])
+        near, first = np.unique(near, return_index=True)
+        most = np.minimum(sizes[i] - ours[first], sizes[near] - there[first])
+        near = near[
+            (tags[near] != tags[i])
+            & (largest[near] | (near > i))
+            & ((asks[i] & in_tree[near]) | (in_tree[i] & asks[near]))
+            & (most >= similarity * (sizes[i] + sizes[near] - most) - 1e-9)
+        ]
+        if not len(near):
+            continue
+        own = number[begins[i] : begins[i] + sizes[i]]
+        marked[own] = True
+        for j in near.tolist():
+            if tags[i] == tags[j]:
+                continue
+            both = int(np.count_nonzero(marked[number[begins[j] : begins[j] + sizes[j]]]))
+            if both >= similarity * (sizes[i] + sizes[j] - both):
+                tags[tags == tags[j]] = tags[i]
+                links.append((i, j))
+        marked[own] = False
     return links
 
 
@@ -158,7 +222,7 @@ def drop_near_duplicates(
     """``docs`` with one row of each group of near copies, the one with the least id; columns unchanged.
 
     Rows are linked when their sets of word shingles have at least the given Jaccard similarity, and groups are what
-    links connect. Null texts and texts without words are left alone. A null id is greater than any other. Of repeated rows one
+    links connect; ``radius`` orders the comparisons and leaves none out. Null texts and texts without words are left alone. A null id is greater than any other. Of repeated rows one
     stays. No rows give no rows.
     """
     numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered", compression="zstd")
