@@ -7,8 +7,8 @@ word is its count in the training documents plus one, over the class, so every c
 document is scored from its first token to its end: the state is carried across the windows in which it is worked on.
 
 Counts come from all training documents. The weights are trained in tasks, each on its own documents by truncated
-backpropagation, and averaged after every round; ``share`` of the training documents takes part, so training
-grows with the corpus.
+backpropagation, and averaged after every round; each training document takes part in one of the rounds (``share`` of
+them where that is set lower), so training grows with the corpus.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ class Settings:
     classes: int = 40
     hidden: int = 24
     lookup: int = 50_000  # words whose counts are sent to every task; the others meet their counts in a join
-    share: float = 0.125  # of the training documents, for the weights
+    share: float = 1.0  # of the training documents, for the weights
     rounds: int = 2
     batch: int = 48  # documents side by side
     window: int = 12
@@ -349,6 +349,12 @@ def vocabulary_of(counts: DataFrame, settings: Settings) -> Vocabulary:
     return Vocabulary(settings, words, numbers, total, distinct, np.log10(rest.sum(axis=1) + 1), rest[:, 0])
 
 
+def drawn(texts: DataFrame, settings: Settings, number: int) -> DataFrame:
+    """The texts of a round; rounds share none, and together they have ``share`` of all."""
+    low, high = (settings.share / settings.rounds * (number + i) * 1_000_000 for i in (0, 1))
+    return texts.filter((F.col("_draw") >= low) & (F.col("_draw") < high))
+
+
 def train_network(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col: str) -> Network:
     """Rounds of training in tasks; after each the weights are averaged by the number of tokens they were trained on."""
     spark = docs.sparkSession
@@ -360,7 +366,6 @@ def train_network(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col
     words = spark.sparkContext.broadcast(vocabulary)
     schema = pa.schema([("block", pa.int32()), ("n", pa.int64()), ("w", pa.list_(pa.float64()))])
     for number in range(settings.rounds):
-        low, high = (settings.share / settings.rounds * (number + i) * 1_000_000 for i in (0, 1))
         now = spark.sparkContext.broadcast(flat)
 
         def run(batches, now=now):
@@ -389,8 +394,7 @@ def train_network(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col
             mean = np.sum(np.stack([np.asarray(x) for x in group.column("w").to_pylist()]), axis=0) / n
             return pa.Table.from_batches([table(schema, block=[group.column("block")[0].as_py()], n=[n], w=[mean])])
 
-        drawn = texts.filter((F.col("_draw") >= low) & (F.col("_draw") < high)).select("_text")
-        averaged = drawn.mapInArrow(run, "block int, n long, w array<double>").groupBy("block").applyInArrow(add, "block int, n long, w array<double>")
+        averaged = drawn(texts, settings, number).select("_text").mapInArrow(run, "block int, n long, w array<double>").groupBy("block").applyInArrow(add, "block int, n long, w array<double>")
         parts = sorted((r.block, r.w) for r in averaged.collect())  # the size of the model
         if parts:
             flat = np.concatenate([np.asarray(w) for _, w in parts]).astype(np.float32)

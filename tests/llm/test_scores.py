@@ -218,3 +218,10 @@ def test_inferred_automata():
     data = np.frombuffer(b"".join(strings), np.uint8).astype(int)
     logs = secret_scan.walk(found.steps, found.logs, data, np.array([0, 0, 2]), np.array([0, 2, 8]))
     assert np.allclose(np.exp(logs), [0.3, 0.21, 0.3 * 0.7**3], rtol=0.15)
+
+
+def test_every_training_document_takes_part_in_one_round(spark):
+    settings = recurrent_lm.Settings()
+    texts = spark.range(2_000).selectExpr("id", "pmod(xxhash64(id), 1000000) AS _draw")
+    rounds = [{r.id for r in recurrent_lm.drawn(texts, settings, i).collect()} for i in range(settings.rounds)]
+    assert sum(map(len, rounds)) == 2_000 and set().union(*rounds) == set(range(2_000))
