@@ -1295,7 +1295,7 @@ def random_forest_known_labels(spark, folder):
 def boosted_trees_known_labels(spark, folder):
     """With the deeper trees and the faster rate of the second parameter set."""
     rows = _separable_input(spark, folder)
-    model = churn.train_boosted_trees(rows, _FEATURES, trees=10, max_depth=6, rate=0.3, **_FINE)
+    model = churn.train_boosted_trees(rows, _FEATURES, max_depth=6, rate=0.3, **_FINE)
     return churn.score(model, rows).select("customer_id", "churn", "predicted")
 
 
@@ -1308,7 +1308,7 @@ def leading_feature(spark, folder):
 @query(f"SELECT customer_id, CASE WHEN churn = 1 THEN 'high' ELSE 'low' END AS churn_risk FROM ({_SEPARABLE})")
 def churn_scores_known_labels(spark, folder):
     rows = _separable_input(spark, folder)
-    model = churn.train_boosted_trees(rows, _FEATURES, trees=10, **_FINE)
+    model = churn.train_boosted_trees(rows, _FEATURES, **_FINE)
     return churn.churn_scores(model, rows).select("customer_id", "churn_risk")
 
 
@@ -1325,7 +1325,7 @@ _TEST_SHARE = f"""SELECT sum(CASE WHEN churn = 1 THEN n ELSE 0 END) AS churned,
 )
 def train_and_compare(spark, folder):
     rows = stage(_separable(spark, folder), "separable")
-    _, measured, _, _ = churn.train_and_compare(rows, _FEATURES, forest=_FINE, boosted={"trees": 10, **_FINE})
+    _, measured, _, _ = churn.train_and_compare(rows, _FEATURES, forest=_FINE, boosted=_FINE)
     return measured.select("model", "rows", "accuracy", "f1", "roc_auc")
 
 
@@ -1335,7 +1335,7 @@ def train_and_compare(spark, folder):
 )
 def compared_confusion(spark, folder):
     rows = stage(_separable(spark, folder), "separable")
-    return churn.train_and_compare(rows, _FEATURES, forest=_FINE, boosted={"trees": 10, **_FINE})[2]
+    return churn.train_and_compare(rows, _FEATURES, forest=_FINE, boosted=_FINE)[2]
 
 
 _METRICS = ["accuracy", "precision", "recall", "f1", "weighted_precision", "weighted_recall", "weighted_f1"]

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from custlens.operators import advice, churn, clustering, enrich, marketing, metrics, rfm
+from custlens.plans import catalog
 
 
 def test_split_is_exact_and_independent_of_partitioning(spark):
@@ -191,3 +192,18 @@ def test_undated_orders_and_first_known_attributes(spark, rows):
     dated = sales.dropna(subset=["order_date"])
     found = rfm.customer_aggregate(dated, first=["contact"], customers=people, attributes=["name"])
     assert rows(found, "customer_id", "contact_first", "name_first", "order_date_count") == [(1, "mail", "Zoé", 2)]
+
+
+def test_registered_boosted_trees_keep_the_default_number(spark, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def note(*_, **more):
+        raise Asked(more)
+
+    monkeypatch.setattr(churn, "train_boosted_trees", note)
+    monkeypatch.setattr(churn, "train_random_forest", lambda *_, **__: None)
+    for name in ("boosted_trees_known_labels", "churn_scores_known_labels", "train_and_compare", "compared_confusion"):
+        with pytest.raises(Asked) as asked:
+            catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert "trees" not in asked.value.args[0]
