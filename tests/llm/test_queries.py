@@ -25,7 +25,7 @@ def pairs(spark):
 def test_all_queries_are_registered():
     names = set(entry_points.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_simhash(spark, pairs):
