@@ -58,18 +58,18 @@ def _majority(ones: np.ndarray, n: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """``docs`` with a column ``_fp`` (64 bits as a long); the text column itself is not carried on."""
-    kept = [f for f in docs.schema if f.name != text_col]
+def with_fingerprints(docs: DataFrame, text_col: str, shingle: int, name: str = "_fp", keep_text: bool = False) -> DataFrame:
+    """``docs`` with a column ``name`` (64 bits as a long); the text column is carried on only if asked for."""
+    kept = [f for f in docs.schema if keep_text or f.name != text_col]
 
     def add(batches):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             out = np.fromiter((fingerprint((t.as_py() or "").encode(), shingle) for t in texts), np.uint64, len(texts))
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out.view(np.int64), pa.int64())], names=[*[f.name for f in kept], "_fp"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out.view(np.int64), pa.int64())], names=[*[f.name for f in kept], name])
 
-    fields = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "_fp long"])
+    fields = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], f"`{name}` long"])
     return docs.mapInArrow(add, fields)
 
 
@@ -224,3 +224,21 @@ def simhash_components(
     found = _linked(prints, radius, blocks, F.col("_id"))
     digits = F.lower(F.lpad(F.hex("_fp"), 16, "0"))
     return prints.join(found, "_fp", "left").select(F.col("_id").alias(id_col), digits.alias("fingerprint"), F.col("_first").alias("component_id"))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = 3, radius: int = 2, blocks: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each component of ``simhash_components``: the one with the least id. Columns are unchanged.
+
+    Rows with a null id give way to others; of rows with equal ids, or with none, any one stays. Texts without words share
+    fingerprint 0, so one of them stays. No rows give no rows.
+    """
+    taken = set(docs.columns)
+    fp, row = (next(n for n in (f"_{name}{i}" for i in range(len(taken) + 1)) if n not in taken) for name in ("fp", "row"))
+    marked = stage(with_fingerprints(docs, text_col, shingle, fp, keep_text=True).withColumn(row, F.monotonically_increasing_id()), "fingerprints", compression="zstd")
+    place = F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    prints = marked.select(F.col(fp).alias("_fp"), place.alias("_place"))
+    first = _linked(prints, radius, blocks, F.col("_place")).select("_fp", F.col("_first.row").alias("_kept"))
+    dropped = stage(prints.join(first, "_fp").filter("_place.row <> _kept").select(F.col("_place.row").alias(row)), "near-copies", compression="zstd")
+    return marked.join(dropped, row, "left_anti").select(*docs.columns)
