@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import decontamination, exact_dedup, near_dedup, packing, quality
+from custlens.llm import decontamination, exact_dedup, packing, quality, simhash
 from custlens.llm.tokens import public_tokenizer
 from custlens.session import stage
 
@@ -24,8 +24,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose sets of five-word shingles have a similarity of 0.8 or more."""
-    return near_dedup.drop_near_duplicates(docs)
+    """One document of each group whose SimHash fingerprints (three-word shingles) are linked by two differing bits or fewer."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
