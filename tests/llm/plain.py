@@ -50,17 +50,6 @@ def simhash_groups(texts, size=3, radius=2):
     return prints, connected(len(texts), linked)
 
 
-def similar_groups(texts, size=5, similarity=0.8):
-    sets = [set(shingles(t, size)) for t in texts]
-    linked = []
-    for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
-            if a and b and len(a & b) >= similarity * len(a | b):
-                linked.append((i, j))
-    return connected(len(texts), linked)
-
-
 WORDS = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 

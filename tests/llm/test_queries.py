@@ -85,7 +85,7 @@ def test_pipeline(spark, pairs):
     for i, text in sorted(p for p in pairs if p[0] in good):
         kept[text or ""] = i  # the largest id stays
     rows = sorted((i, t) for t, i in kept.items())
-    groups = plain.similar_groups([t for _, t in rows])
+    groups = plain.simhash_groups([t for _, t in rows])[1]
     rows = [rows[g] for g in sorted(set(groups))]  # the least id stays
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     rows = [r for r, leak in zip(rows, plain.contamination([t for _, t in rows], items)) if not leak[-1]]
