@@ -172,6 +172,56 @@ def load_report(spark, folder):
     return broken.groupBy(F.regexp_extract("file_path", "format-([0-9])", 1).cast("int").alias("format")).agg(F.count("*").alias("malformed_lines"))
 
 
+@query(
+    r"""SELECT CAST(order_id AS VARCHAR) AS order_id,
+              CASE WHEN order_id % 3 = 0 THEN 'first; ' || order_id || chr(10) || 'say "yes"' || chr(10) || chr(10) || 'last'
+                   WHEN order_id % 5 = 0 THEN '"' || chr(10) ELSE 'plain' END AS note,
+              CAST(quantity AS VARCHAR) AS quantity
+       FROM v_orders WHERE order_id % 97 <> 0"""
+)
+def ingest_quoted_parallel(spark, folder):
+    """Notes with quotes and line breaks, read by as many tasks as the files have splits."""
+    orders = views.orders(spark, folder)
+    key = F.col("order_id").cast("string")
+    note = F.when(F.col("order_id") % 3 == 0, F.concat(F.lit('"first; '), key, F.lit('\nsay ""yes""\n\nlast"')))
+    note = note.when(F.col("order_id") % 5 == 0, F.lit('"""\n"')).otherwise(F.lit("plain"))
+    line = F.concat_ws(";", key, note, F.col("quantity").cast("string"))
+    line = F.when(F.col("order_id") % 97 == 0, F.concat(line, F.lit(";one;two"))).otherwise(line)
+    path = scratch_path(spark, "quoted")
+    orders.select(line.alias("value")).write.text(path)
+    return delimited.good_lines(delimited.read_raw(spark, path, ["order_id", "note", "quantity"], header=False, multi_line=True))
+
+
+_ENCODINGS = [  # encoding, separator, byte order mark
+    ("UTF-8", ";", True),
+    ("UTF-8", ",", False),
+    ("UTF-16LE", "\t", True),
+    ("UTF-16BE", ";", True),
+    ("ISO-8859-1", ",", False),
+]
+
+
+@query(
+    """SELECT customer_id, CASE WHEN customer_id % 5 < 4 THEN name || ' né à ' || city || chr(2565) || chr(256) ELSE name || ' né à ' || city END AS name,
+              signup_date FROM v_customers"""
+)
+def ingest_encodings(spark, folder):
+    """Customers in files of every encoding; the last two letters hold the bytes of a line break where there is UTF-16."""
+    customers = views.customers(spark, folder)
+    root = scratch_path(spark, "encodings")
+    for i, (encoding, sep, mark) in enumerate(_ENCODINGS):
+        letters = F.lit("\u0a05\u0100" if encoding != "ISO-8859-1" else "")
+        line = F.concat_ws(sep, F.col("customer_id").cast("string"), F.concat("name", F.lit(" né à "), "city", letters), F.date_format("signup_date", "dd/MM/yyyy"))
+        part = F.pmod(F.xxhash64("customer_id"), F.lit(3)).cast("int").alias("part")
+        lines = customers.filter(F.col("customer_id") % 5 == i).select(part, F.lit(1).alias("place"), F.encode(line, encoding).cast("string").alias("line"))
+        head = F.encode(F.lit(("\ufeff" if mark else "") + sep.join(["Customer", "Full Name", "Signup Date"])), encoding).cast("string")
+        files = lines.union(spark.range(3).select(F.col("id").cast("int"), F.lit(0), head)).repartitionById(3, "part").sortWithinPartitions("part", "place")
+        files.select("line").write.option("lineSep", {"UTF-16LE": "\n\0", "UTF-16BE": "\0\n"}.get(encoding, "\n")).text(f"{root}/encoding-{i}")
+    paths = [f"{root}/encoding-{i}" for i in range(len(_ENCODINGS))]
+    table, _ = delimited.load_files(spark, paths, ["customer_id", "name", "signup_date"], dates=["signup_date"], numbers=["customer_id"])
+    return table.select(F.col("customer_id").cast("long").alias("customer_id"), "name", "signup_date")
+
+
 @query("SELECT 'amount' AS column_name, 'revenue' AS blocks")
 def blocked_analyses(spark, folder):
     orders = views.orders(spark, folder)

@@ -40,18 +40,15 @@ def resolve_headers(
     return found
 
 
-def canonicalise_columns(
-    df: DataFrame,
-    expected: Sequence[str],
-    aliases: Mapping[str, Sequence[str]] | None = None,
-    on_conflict: str = "error",
-) -> DataFrame:
-    """Rename columns to their canonical names in one projection; other columns keep their tidied name.
+def canonical_names(
+    names: Sequence[str], expected: Sequence[str], aliases: Mapping[str, Sequence[str]] | None = None, on_conflict: str = "error"
+) -> list[str]:
+    """The names of columns after the mapping: canonical where something matches, else tidied.
 
-    When two names resolve to one column this is an error, or with ``on_conflict="last"`` the later
+    When two canonical names resolve to one column this is an error, or with ``on_conflict="last"`` the later
     name gets the column.
     """
-    tidy = [tidy_name(c) for c in df.columns]
+    tidy = [tidy_name(c) for c in names]
     if len(set(tidy)) != len(tidy):
         raise ValueError(f"headers are not unique after tidying: {tidy}")
     new_name: dict[str, str] = {}
@@ -59,7 +56,18 @@ def canonicalise_columns(
         if header in new_name and on_conflict == "error":
             raise ValueError(f"{header!r} matches both {new_name[header]!r} and {target!r}")
         new_name[header] = target
-    return df.select(*[F.col(f"`{old}`").alias(new_name.get(name, name)) for old, name in zip(df.columns, tidy)])
+    return [new_name.get(name, name) for name in tidy]
+
+
+def canonicalise_columns(
+    df: DataFrame,
+    expected: Sequence[str],
+    aliases: Mapping[str, Sequence[str]] | None = None,
+    on_conflict: str = "error",
+) -> DataFrame:
+    """Rename columns to their canonical names (see ``canonical_names``) in one projection."""
+    names = canonical_names(df.columns, expected, aliases, on_conflict)
+    return df.select(*[F.col(f"`{old}`").alias(new) for old, new in zip(df.columns, names)])
 
 
 def union_by_canonical_name(
