@@ -752,20 +752,20 @@ def segment_profile(spark, folder):
     return rfm.segment_profile(retail.staged_segments(spark, folder))
 
 
-_FEATURES = ["recency", "frequency", "monetary"]
+FEATURES = ["recency", "frequency", "monetary"]
 
 
 @query(
     "SELECT segment, "
     + ", ".join(
         f"avg({c}) AS {c}_mean, median(CAST({c} AS DOUBLE)) AS {c}_median, stddev_samp({c}) AS {c}_std, count({c}) AS {c}_count"
-        for c in _FEATURES
+        for c in FEATURES
     )
     + " FROM v_scored GROUP BY 1",
-    approx=[f"{c}_{name}" for c in _FEATURES for name in ("mean", "median", "std")],
+    approx=[f"{c}_{name}" for c in FEATURES for name in ("mean", "median", "std")],
 )
 def segment_stats(spark, folder):
-    return rfm.segment_stats(retail.scored(spark, folder), _FEATURES)
+    return rfm.segment_stats(retail.scored(spark, folder), FEATURES)
 
 
 @query(
@@ -1105,13 +1105,13 @@ def correlation_kendall(spark, folder):
 
 @query(
     "SELECT customer_id, "
-    + ", ".join(f"({c} - (SELECT avg({c}) FROM v_rfm)) / (SELECT stddev_pop({c}) FROM v_rfm) AS {c}_z" for c in _FEATURES)
+    + ", ".join(f"({c} - (SELECT avg({c}) FROM v_rfm)) / (SELECT stddev_pop({c}) FROM v_rfm) AS {c}_z" for c in FEATURES)
     + " FROM v_rfm",
-    approx=[f"{c}_z" for c in _FEATURES],
+    approx=[f"{c}_z" for c in FEATURES],
 )
 def standardise(spark, folder):
-    scaled = clustering.standardise(retail.staged_rfm(spark, folder), _FEATURES)
-    return scaled.select("customer_id", *[f"{c}_z" for c in _FEATURES])
+    scaled = clustering.standardise(retail.staged_rfm(spark, folder), FEATURES)
+    return scaled.select("customer_id", *[f"{c}_z" for c in FEATURES])
 
 
 @query()
@@ -1124,14 +1124,14 @@ def kmeans_segments(spark, folder):
 def kmeans_quality(spark, folder):
     """One row: inertia of the best start and silhouette."""
     segmented, model = clustering.kmeans_segments(retail.staged_rfm(spark, folder), k=4)
-    scaled = clustering.standardise(segmented, _FEATURES)
-    found = clustering.silhouette(scaled, [f"{c}_z" for c in _FEATURES])
+    scaled = clustering.standardise(segmented, FEATURES)
+    found = clustering.silhouette(scaled, [f"{c}_z" for c in FEATURES])
     return found.select(F.lit(clustering.inertia(model)).alias("inertia"), "silhouette")
 
 
 @query(
     f"""WITH distances AS (
-          SELECT a.customer_id, a.segment AS own, b.segment AS other, sum({' + '.join(f'(a.{c} - b.{c}) ** 2' for c in _FEATURES)}) AS d,
+          SELECT a.customer_id, a.segment AS own, b.segment AS other, sum({' + '.join(f'(a.{c} - b.{c}) ** 2' for c in FEATURES)}) AS d,
                  count(*) AS n
           FROM v_scored a, v_scored b GROUP BY 1, 2, 3),
         parts AS (
@@ -1143,7 +1143,7 @@ def kmeans_quality(spark, folder):
     approx=["silhouette"],
 )
 def silhouette(spark, folder):
-    return clustering.silhouette(retail.scored(spark, folder), _FEATURES)
+    return clustering.silhouette(retail.scored(spark, folder), FEATURES)
 
 
 # Four groups of customers, far apart: 1000 in each measure against less than 10 inside a group.
@@ -1154,14 +1154,14 @@ _GROUPED = """SELECT c_custkey AS customer_id, CAST(c_custkey % 4 * 1000 + c_cus
 
 def _grouped(spark, folder):
     key = F.col("c_custkey")
-    value = {c: (key % 4 * 1000 + key % n).cast("double") for c, n in zip(_FEATURES, (7, 5, 3))}
+    value = {c: (key % 4 * 1000 + key % n).cast("double") for c, n in zip(FEATURES, (7, 5, 3))}
     people = spark.read.parquet(f"{folder}/customer.parquet")
     return people.select(key.alias("customer_id"), *[v.alias(c) for c, v in value.items()])
 
 
 @query(f"SELECT *, CAST(customer_id % 4 AS VARCHAR) AS segment FROM ({_GROUPED})")
 def kmeans_known_groups(spark, folder):
-    segmented, _ = clustering.kmeans_segments(_grouped(spark, folder), _FEATURES, k=4)
+    segmented, _ = clustering.kmeans_segments(_grouped(spark, folder), FEATURES, k=4)
     return segmented
 
 
@@ -1169,71 +1169,71 @@ def kmeans_known_groups(spark, folder):
     "SELECT CAST(customer_id % 4 AS VARCHAR) AS segment, "
     + ", ".join(
         f"avg({c}) AS {c}_mean, median({c}) AS {c}_median, stddev_samp({c}) AS {c}_std, count({c}) AS {c}_count, avg({c}) AS {c}_center"
-        for c in _FEATURES
+        for c in FEATURES
     )
     + f" FROM ({_GROUPED}) GROUP BY 1",
-    approx=[f"{c}_{n}" for c in _FEATURES for n in ("mean", "std", "center")],
+    approx=[f"{c}_{n}" for c in FEATURES for n in ("mean", "std", "center")],
 )
 def segment_report(spark, folder):
-    return clustering.segment_and_report(_grouped(spark, folder), _FEATURES, k=4)[2]
+    return clustering.segment_and_report(_grouped(spark, folder), FEATURES, k=4)[2]
 
 
 _SCALED = (
     "SELECT segment, "
-    + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in _FEATURES)
+    + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in FEATURES)
     + f" FROM (SELECT *, customer_id % 4 AS segment FROM ({_GROUPED}))"
 )
 
 
 @query(
     f"""WITH scaled AS ({_SCALED}),
-        centres AS (SELECT segment, count(*) AS n, {', '.join(f'avg({c}) AS m_{c}' for c in _FEATURES)} FROM scaled GROUP BY 1)
+        centres AS (SELECT segment, count(*) AS n, {', '.join(f'avg({c}) AS m_{c}' for c in FEATURES)} FROM scaled GROUP BY 1)
         SELECT count(*) AS rows, count(DISTINCT s.segment) AS clusters,
-               sum({' + '.join(f'(s.{c} - k.m_{c}) ** 2' for c in _FEATURES)}) AS inertia
+               sum({' + '.join(f'(s.{c} - k.m_{c}) ** 2' for c in FEATURES)}) AS inertia
         FROM scaled s JOIN centres k ON s.segment = k.segment""",
     approx=["inertia"],
 )
 def segment_report_quality(spark, folder):
-    return clustering.segment_and_report(_grouped(spark, folder), _FEATURES, k=4)[1].select("rows", "clusters", "inertia")
+    return clustering.segment_and_report(_grouped(spark, folder), FEATURES, k=4)[1].select("rows", "clusters", "inertia")
 
 
-_CENTRES = "SELECT segment, count(*) AS n, " + ", ".join(f"avg({c}) AS m_{c}" for c in _FEATURES) + " FROM v_scored GROUP BY 1"
+_CENTRES = "SELECT segment, count(*) AS n, " + ", ".join(f"avg({c}) AS m_{c}" for c in FEATURES) + " FROM v_scored GROUP BY 1"
 
 
 @query(
     f"""SELECT rows, clusters, inertia, between_ * (rows - clusters) / (inertia * (clusters - 1)) AS calinski_harabasz FROM (
           SELECT count(*) AS rows, count(DISTINCT s.segment) AS clusters,
-                 sum({' + '.join(f'(s.{c} - k.m_{c}) ** 2' for c in _FEATURES)}) AS inertia,
-                 sum({' + '.join(f'(k.m_{c} - (SELECT avg({c}) FROM v_scored)) ** 2' for c in _FEATURES)}) AS between_
+                 sum({' + '.join(f'(s.{c} - k.m_{c}) ** 2' for c in FEATURES)}) AS inertia,
+                 sum({' + '.join(f'(k.m_{c} - (SELECT avg({c}) FROM v_scored)) ** 2' for c in FEATURES)}) AS between_
           FROM v_scored s JOIN ({_CENTRES}) k ON s.segment = k.segment)""",
     digits=3,
     approx=["inertia", "calinski_harabasz"],
 )
 def cluster_dispersion(spark, folder):
-    found = clustering.cluster_dispersion(retail.scored(spark, folder), _FEATURES)
+    found = clustering.cluster_dispersion(retail.scored(spark, folder), FEATURES)
     return found
 
 
 @query(
     f"""WITH centres AS ({_CENTRES}), spreads AS (
-          SELECT s.segment, avg(sqrt({' + '.join(f'(s.{c} - k.m_{c}) ** 2' for c in _FEATURES)})) AS spread
+          SELECT s.segment, avg(sqrt({' + '.join(f'(s.{c} - k.m_{c}) ** 2' for c in FEATURES)})) AS spread
           FROM v_scored s JOIN centres k ON s.segment = k.segment GROUP BY 1)
         SELECT avg(worst) AS davies_bouldin FROM (
-          SELECT a.segment, max((x.spread + y.spread) / sqrt({' + '.join(f'(a.m_{c} - b.m_{c}) ** 2' for c in _FEATURES)})) AS worst
+          SELECT a.segment, max((x.spread + y.spread) / sqrt({' + '.join(f'(a.m_{c} - b.m_{c}) ** 2' for c in FEATURES)})) AS worst
           FROM centres a JOIN centres b ON a.segment <> b.segment JOIN spreads x ON x.segment = a.segment
           JOIN spreads y ON y.segment = b.segment GROUP BY 1)""",
     approx=["davies_bouldin"],
 )
 def davies_bouldin(spark, folder):
-    return clustering.davies_bouldin(retail.scored(spark, folder), _FEATURES)
+    return clustering.davies_bouldin(retail.scored(spark, folder), FEATURES)
 
 
 @query(
-    "SELECT segment, " + ", ".join(f"avg({c}) AS {c}_center" for c in _FEATURES) + " FROM v_scored GROUP BY 1",
-    approx=[f"{c}_center" for c in _FEATURES],
+    "SELECT segment, " + ", ".join(f"avg({c}) AS {c}_center" for c in FEATURES) + " FROM v_scored GROUP BY 1",
+    approx=[f"{c}_center" for c in FEATURES],
 )
 def cluster_centers(spark, folder):
-    return clustering.cluster_centers(retail.scored(spark, folder), _FEATURES)
+    return clustering.cluster_centers(retail.scored(spark, folder), FEATURES)
 
 
 @query("SELECT * FROM v_churn_rows", digits=2, approx=["monetary"])
@@ -1316,10 +1316,10 @@ _SEPARABLE = """SELECT c_custkey AS customer_id, CAST(c_custkey * 7919 % 1000 +
                        CAST(c_custkey * 7919 % 1000 >= 600 AS INTEGER) AS churn FROM customer"""
 
 
-_FINE = {"max_bins": 512}  # quantiles close enough that one falls into the gap
+FINE = {"max_bins": 512}  # quantiles close enough that one falls into the gap
 
 
-def _separable(spark, folder):
+def separable(spark, folder):
     key, late = F.col("c_custkey"), F.col("c_custkey") * 7919 % 1000
     return spark.read.parquet(f"{folder}/customer.parquet").select(
         key.alias("customer_id"),
@@ -1331,34 +1331,34 @@ def _separable(spark, folder):
 
 
 def _separable_input(spark, folder):
-    rows = stage(_separable(spark, folder), "separable")
-    return stage(churn.model_input(rows, _FEATURES), "separable-input")
+    rows = stage(separable(spark, folder), "separable")
+    return stage(churn.model_input(rows, FEATURES), "separable-input")
 
 
 @query(f"SELECT customer_id, churn, churn AS predicted FROM ({_SEPARABLE})")
 def random_forest_known_labels(spark, folder):
     rows = _separable_input(spark, folder)
-    return churn.score(churn.train_random_forest(rows, _FEATURES, **_FINE), rows).select("customer_id", "churn", "predicted")
+    return churn.score(churn.train_random_forest(rows, FEATURES, **FINE), rows).select("customer_id", "churn", "predicted")
 
 
 @query(f"SELECT customer_id, churn, churn AS predicted FROM ({_SEPARABLE})")
 def boosted_trees_known_labels(spark, folder):
     """With the deeper trees and the faster rate of the second parameter set."""
     rows = _separable_input(spark, folder)
-    model = churn.train_boosted_trees(rows, _FEATURES, max_depth=6, rate=0.3, **_FINE)
+    model = churn.train_boosted_trees(rows, FEATURES, max_depth=6, rate=0.3, **FINE)
     return churn.score(model, rows).select("customer_id", "churn", "predicted")
 
 
 @query("SELECT 'recency' AS feature")
 def leading_feature(spark, folder):
     rows = _separable_input(spark, folder)
-    return churn.feature_importance(churn.train_random_forest(rows, _FEATURES, **_FINE), rows, _FEATURES, top=1).select("feature")
+    return churn.feature_importance(churn.train_random_forest(rows, FEATURES, **FINE), rows, FEATURES, top=1).select("feature")
 
 
 @query(f"SELECT customer_id, CASE WHEN churn = 1 THEN 'high' ELSE 'low' END AS churn_risk FROM ({_SEPARABLE})")
 def churn_scores_known_labels(spark, folder):
     rows = _separable_input(spark, folder)
-    model = churn.train_boosted_trees(rows, _FEATURES, **_FINE)
+    model = churn.train_boosted_trees(rows, FEATURES, **FINE)
     return churn.churn_scores(model, rows).select("customer_id", "churn_risk")
 
 
@@ -1374,8 +1374,8 @@ _TEST_SHARE = f"""SELECT sum(CASE WHEN churn = 1 THEN n ELSE 0 END) AS churned,
     approx=["accuracy", "f1", "roc_auc"],
 )
 def train_and_compare(spark, folder):
-    rows = stage(_separable(spark, folder), "separable")
-    _, measured, _, _ = churn.train_and_compare(rows, _FEATURES, forest=_FINE, boosted=_FINE)
+    rows = stage(separable(spark, folder), "separable")
+    _, measured, _, _ = churn.train_and_compare(rows, FEATURES, forest=FINE, boosted=FINE)
     return measured.select("model", "rows", "accuracy", "f1", "roc_auc")
 
 
@@ -1384,8 +1384,8 @@ def train_and_compare(spark, folder):
         FROM (VALUES ('forest'), ('boosted')) m(model), (VALUES (0), (1)) a(actual), (VALUES (0), (1)) p(predicted), ({_TEST_SHARE})"""
 )
 def compared_confusion(spark, folder):
-    rows = stage(_separable(spark, folder), "separable")
-    return churn.train_and_compare(rows, _FEATURES, forest=_FINE, boosted=_FINE)[2]
+    rows = stage(separable(spark, folder), "separable")
+    return churn.train_and_compare(rows, FEATURES, forest=FINE, boosted=FINE)[2]
 
 
 _METRICS = ["accuracy", "precision", "recall", "f1", "weighted_precision", "weighted_recall", "weighted_f1"]

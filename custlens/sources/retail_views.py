@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -58,20 +58,20 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def event_counters() -> list[Column]:
+    """Marketing counters of a group of events."""
+    kind, value = F.col("event_type"), F.col("value")
+    return [
+        F.count_if(kind == "view").alias("impressions"),
+        F.count_if(kind == "click").alias("clicks"),
+        F.count_if(kind == "purchase").alias("conversions"),
+        F.sum(F.when(kind != "purchase", value).otherwise(0.0)).alias("spend"),
+        F.sum(F.when(kind == "purchase", value).otherwise(0.0)).alias("revenue"),
+    ]
+
+
 def marketing(spark: SparkSession, folder: str) -> DataFrame:
     """Twenty campaigns, one row per campaign and day."""
-    kind, value = F.col("event_type"), F.col("value")
-    return (
-        _table(spark, folder, "events")
-        .groupBy(
-            (F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 20).alias("campaign_id"),
-            F.col("ts").cast("date").alias("date"),
-        )
-        .agg(
-            F.count_if(kind == "view").alias("impressions"),
-            F.count_if(kind == "click").alias("clicks"),
-            F.count_if(kind == "purchase").alias("conversions"),
-            F.sum(F.when(kind != "purchase", value).otherwise(0.0)).alias("spend"),
-            F.sum(F.when(kind == "purchase", value).otherwise(0.0)).alias("revenue"),
-        )
-    )
+    campaign = F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 20
+    days = _table(spark, folder, "events").groupBy(campaign.alias("campaign_id"), F.col("ts").cast("date").alias("date"))
+    return days.agg(*event_counters())
