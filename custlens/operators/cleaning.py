@@ -154,31 +154,24 @@ def quantile_scores(
     )
 
 
-CATEGORY_RANGES = 256
+CATEGORY_VALUES = 100_000  # distinct values that one task ranks, about
 
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
     """(value, code): dense codes from 0 in sorted order of the distinct values; NULL counts as the text 'nan'.
 
-    Values are ranked inside ranges between sampled values, so no task sees the whole vocabulary, whatever the
-    values have in common. The distinct values are staged, as the sample and the ranking read them.
+    Values are ranked inside ranges; their number follows from that of the distinct values, so a task ranks about
+    ``CATEGORY_VALUES`` of them at every size, whatever the values have in common. The distinct values are staged, as counting,
+    ranging and ranking read them.
     """
     value = F.coalesce(F.col(column).cast("string"), F.lit("nan"))
-    distinct = stage(df.select(value.alias("value")).distinct(), "categories").withColumn("one", F.lit(1).cast("long"))
-    ranked = running_totals(attach(distinct, "_bounds", _sampled_bounds(distinct)), ["value"], ["one"], slot=_range_of("value"))
+    distinct = stage(df.select(value.alias("value")).distinct(), "categories")
+    ranges = max(1, -(-distinct.count() // CATEGORY_VALUES))
+    ranged = distinct.repartitionByRange(ranges, "value").withColumn("_range", F.spark_partition_id()).withColumn("one", F.lit(1).cast("long"))
+    ranked = running_totals(stage(ranged, "category-ranges"), ["value"], ["one"], slot=F.col("_range"))
     return ranked.select("value", F.col("one_before").cast("int").alias("code"))
 
 
-def _sampled_bounds(distinct: DataFrame) -> Column:
-    """Sorted bounds of ranges of about equal size: the values with the smallest hashes."""
-    sampled = distinct.select("value").orderBy(F.xxhash64("value"), "value").limit(CATEGORY_RANGES)
-    return sampled.agg(F.array_sort(F.collect_list("value"))).scalar()
-
-
-def _range_of(value: str) -> Column:
-    return F.size(F.filter("_bounds", lambda bound: bound <= F.col(value)))
-
-
 def encode_categories(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
     """Replace category columns by their codes, or with ``suffix`` add the codes as further columns."""
     result = df

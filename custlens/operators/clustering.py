@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
-from operator import add
+from operator import add, and_
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custlens.functions.columns import attach, one_row, require_columns
-from custlens.functions.order_stats import spread_join
 from custlens.operators.rfm import segment_stats
 from custlens.session import stage
 
@@ -32,10 +32,99 @@ def standardise(df: DataFrame, cols: Sequence[str], stats_from: DataFrame | None
     return attach(df, "_stats", found).withColumns({f"{c}{suffix}": scaled(c) for c in cols}).drop("_stats")
 
 
-def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    scaled = standardise(df, features)
-    names = [f"{c}_z" for c in features]
-    return VectorAssembler(inputCols=names, outputCol="features").transform(scaled).drop(*names)
+@dataclass
+class KMeansFit:
+    """Centres in the space they were fitted in, and the sum of squared distances of all rows to them."""
+
+    centres: list[list[float]]
+    cost: float
+    iterations: int = 0
+
+    def clusterCenters(self) -> list[list[float]]:
+        return self.centres
+
+
+def _literal(sets: Sequence[Sequence[Sequence[float]]]) -> Column:
+    """Sets of points as one constant: an array of arrays of arrays of doubles."""
+    return F.from_json(F.lit(json.dumps([[[float(x) for x in p] for p in points] for points in sets])), "array<array<array<double>>>")
+
+
+def _nearest(points: Sequence[str], sets: Sequence[Sequence[Sequence[float]]]) -> Column:
+    """For every set, the squared distance ``d`` to its nearest point and that point's number ``i`` (the least on ties)."""
+
+    def distance(c: Column, i: Column) -> Column:
+        return F.struct(reduce(add, [F.pow(F.col(p) - c[k], 2) for k, p in enumerate(points)]).alias("d"), i.alias("i"))
+
+    return F.transform(_literal(sets), lambda one: F.array_min(F.transform(one, distance)))
+
+
+def _spread_starts(rows: DataFrame, points: Sequence[str], k: int, seed: int, starts: int, rounds: int = 2) -> list[list[list[float]]]:
+    """Initial centres of all starts at once: k-means||.
+
+    Each round draws rows with a chance that grows with their squared distance to what the start has drawn so far (about
+    2 k of them a start), counts how many rows lie nearest to each, and k-means++ on these weighted candidates gives the
+    centres. Draws depend on the row's values and the seed alone, so equal rows are drawn together and counted once.
+    """
+    draw = lambda s, r: F.pmod(F.xxhash64(*points, F.lit(seed), F.lit(s), F.lit(r)), F.lit(1 << 40)) / float(1 << 40)
+    values = F.array(*points)
+    first = rows.agg(*[F.min_by(values, draw(s, 0)).alias(f"p{s}") for s in range(starts)]).first()
+    chosen = [[list(first[s])] for s in range(starts)]
+    for r in range(1, rounds + 1):
+        near = rows.withColumn("_near", _nearest(points, chosen))
+        costs = near.agg(*[F.sum(F.col("_near")[s]["d"]).alias(f"c{s}") for s in range(starts)]).first()
+        wanted = [draw(s, r) * float(costs[s] or 0) < F.col("_near")[s]["d"] * (2 * k) for s in range(starts)]
+        hits = F.filter(F.array(*[F.when(w, F.lit(s)) for s, w in enumerate(wanted)]), lambda x: x.isNotNull())
+        for row in near.select(F.explode(hits).alias("s"), values.alias("p")).distinct().collect():  # about 2 k a start
+            chosen[row.s].append(list(row.p))
+    counted = rows.select(F.posexplode(F.transform(_nearest(points, chosen), lambda x: x["i"])).alias("s", "i")).groupBy("s", "i").agg(F.count("*").alias("n"))
+    weights = {(r.s, r.i): r.n for r in counted.collect()}
+    out = []
+    for s, candidates in enumerate(chosen):
+        random = np.random.default_rng([seed, s])
+        p, w = np.array(candidates, float), np.array([weights.get((s, i), 0) for i in range(len(candidates))], float)
+        picked = [int(random.choice(len(p), p=w / w.sum()))]
+        while len(picked) < min(k, len(p)):
+            d = ((p[:, None, :] - p[None, picked, :]) ** 2).sum(axis=2).min(axis=1) * w
+            if not d.sum() > 0:
+                break  # fewer different points than clusters
+            picked.append(int(random.choice(len(p), p=d / d.sum())))
+        out.append(p[picked].tolist())
+    return out
+
+
+def fit_kmeans(
+    rows: DataFrame, points: Sequence[str], k: int, seed: int = 42, starts: int = 10, iterations: int = 20, tolerance: float = 1e-4
+) -> KMeansFit:
+    """The best of several k-means runs on the columns ``points``, all of which move on in the same scans.
+
+    An iteration is one scan and one aggregation by (start, cluster), added up in the tasks first; starts whose centres have
+    come to rest drop out. Rows with a null are left out. With fewer different points than ``k`` there are fewer clusters.
+    """
+    rows = rows.select(*[F.col(p).cast("double").alias(p) for p in points]).dropna()
+    if rows.isEmpty():
+        raise ValueError("no rows to cluster")
+    centres = _spread_starts(rows, points, k, seed, starts)
+    moving, costs, n = list(range(starts)), [float("inf")] * starts, 0
+    for n in range(1, iterations + 2):  # the last one measures
+        near = rows.select(*points, F.posexplode(_nearest(points, [centres[s] for s in moving])).alias("s", "near"))
+        sums = near.groupBy("s", F.col("near.i").alias("i")).agg(F.count("*").alias("n"), F.sum("near.d").alias("d"), *[F.sum(p).alias(p) for p in points])
+        found = sums.collect()  # one row per start and cluster
+        still = []
+        for place, s in enumerate(moving):
+            own = [r for r in found if r.s == place]
+            costs[s] = sum(r.d for r in own)
+            new = [list(c) for c in centres[s]]
+            for r in own:
+                new[r.i] = [r[p] / r.n for p in points]
+            shift = max(sum((x - y) ** 2 for x, y in zip(a, b)) for a, b in zip(new, centres[s]))
+            if shift > tolerance**2 and n <= iterations:
+                centres[s] = new
+                still.append(s)
+        moving = still
+        if not moving:
+            break
+    best = min(range(starts), key=lambda s: (costs[s], s))
+    return KMeansFit(centres[best], costs[best], n)
 
 
 def kmeans_segments(
@@ -45,28 +134,26 @@ def kmeans_segments(
     seed: int = 42,
     starts: int = 10,
     method: str = "kmeans",
-) -> tuple[DataFrame, KMeansModel]:
-    """(df with a text column ``segment``, the best model of ``starts`` runs) on standardised features.
+) -> tuple[DataFrame, KMeansFit]:
+    """(df with a text column ``segment``, the best of ``starts`` runs) on standardised features.
 
-    Segments are numbered by rising centre of the last feature, so that numbers mean the same in every run.
+    Segments are numbered by rising centre of the last feature, so that numbers mean the same in every run. Rows with a missing
+    feature have no segment.
     """
     if method != "kmeans":
         raise ValueError(f"unsupported method {method!r}")
     require_columns(df, features)
-    points = _vectors(df, features).persist()
-    try:
-        models = [KMeans(k=k, seed=seed + i).fit(points) for i in range(starts)]
-    finally:
-        points.unpersist()
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    by_value = sorted(range(len(best.clusterCenters())), key=lambda i: best.clusterCenters()[i][-1])
-    number = F.create_map(*[F.lit(x) for rank, i in enumerate(by_value) for x in (i, str(rank))])
-    assigned = best.transform(_vectors(df, features)).withColumn("segment", number[F.col("prediction")])
-    return assigned.drop("features", "prediction"), best
+    names = [f"{c}_z" for c in features]
+    scaled = standardise(df, features)
+    best = fit_kmeans(stage(scaled.select(*names), "kmeans-points"), names, k, seed, starts)
+    best.centres.sort(key=lambda c: c[::-1])
+    whole = reduce(and_, [F.col(n).isNotNull() for n in names])
+    number = F.when(whole, _nearest(names, [best.centres])[0]["i"].cast("string"))
+    return scaled.withColumn("segment", number).drop(*names), best
 
 
-def inertia(model: KMeansModel) -> float:
-    return model.summary.trainingCost
+def inertia(model: KMeansFit) -> float:
+    return model.cost
 
 
 def silhouette(df: DataFrame, features: Sequence[str], segment: str = "segment") -> DataFrame:
@@ -135,11 +222,14 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], segment: str = "segme
     """One row: davies_bouldin, the mean over clusters of the worst (spread + spread) / distance of centres."""
     known = df.dropna(subset=[segment])
     centres = cluster_centers(known, features, segment)
-    squares = [F.pow(F.col(c) - F.col(f"{c}_center"), 2) for c in features]
+    centre = F.struct(F.col(segment).alias("name"), *[F.col(f"{c}_center").alias(c) for c in features])
+    rows = attach(known.select(segment, *features), "_centres", centres.agg(F.collect_list(centre)).scalar())  # one entry per cluster
+    own = F.filter("_centres", lambda c: c["name"] == F.col(segment))[0]
+    squares = [F.pow(F.col(c) - F.col("_own")[c], 2) for c in features]
     spreads = (
-        spread_join(known.select(segment, *features), centres, [segment], features)
+        rows.withColumn("_own", own)
         .groupBy(segment)
-        .agg(F.avg(F.sqrt(reduce(add, squares))).alias("spread"), *[F.first(f"{c}_center").alias(c) for c in features])
+        .agg(F.avg(F.sqrt(reduce(add, squares))).alias("spread"), *[F.first(F.col("_own")[c]).alias(c) for c in features])
     )
     # One entry per cluster; the comparison of clusters happens inside each cluster's row.
     entry = F.struct(F.col(segment).alias("name"), "spread", *features)
