@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from custlens.llm.arrow import pieces as cut_batch
 from custlens.llm.arrow import table
-from custlens.llm.tokens import TEXT_BYTES, ChunkEncoder
+from custlens.llm.tokens import TEXT_BYTES, worker_encoder
 from custlens.session import stage
 
 _RANKS = 1 << 40  # more pieces of one length than this don't fit the combined key
@@ -148,7 +148,7 @@ def token_pieces(
     fields += [("ids", pa.list_(pa.int32()))] if with_ids else []
 
     def cut(batches):
-        encoder = ChunkEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         counted = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for texts in cut_batch(batch, "_text", TEXT_BYTES):

@@ -41,8 +41,25 @@ def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_encoders: dict[str, ChunkEncoder] = {}
+
+
+def worker_encoder(path: str) -> ChunkEncoder:
+    """The encoder of this process. The library never gives back all the memory of a tokenizer, and worker processes run
+    very many tasks, so a process makes one and keeps it, with the chunks it has met."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = ChunkEncoder(path)
+    return _encoders[path]
+
+
+def vocabulary_size(path: str) -> int:
+    """One more than the largest id, read once on the driver."""
+    return len(worker_encoder(path).token_bytes)
+
+
 class ChunkEncoder:
-    """``tokenizers`` ids of many texts. One object per task; memory is bounded by ``cached`` chunks."""
+    """``tokenizers`` ids of many texts. Memory is bounded by ``cached`` chunks of at most LONGEST_CACHED bytes."""
 
     def __init__(self, path: str, cached: int = CACHED_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

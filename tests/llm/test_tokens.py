@@ -117,3 +117,24 @@ def test_repeats_solve_the_least_squares():
     matrix = np.array([[p.count(x) for p in patterns] for x in range(13)], float)
     pull = matrix.T @ (histogram - matrix @ np.array(times))  # optimal: no pull where used, no upward pull anywhere
     assert all(abs(g) < 1e-3 if t > 0 else g < 1e-3 for g, t in zip(pull, times))
+
+
+def test_a_process_keeps_one_encoder():
+    """Two hundred tasks in a worker process leave its memory as it was."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = f"""
+import resource
+import pyarrow as pa
+from custlens.llm.tokens import vocabulary_size, worker_encoder
+def task(k):
+    worker_encoder({PATH!r}).encode(pa.array(["some words of a text", "more words %d" % k]))
+    return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+first = task(0)
+print(max(task(k) for k in range(200)) - first, vocabulary_size({PATH!r}))
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[2], timeout=120)
+    grown, size = out.stdout.split()
+    assert float(grown) < 20 and int(size) > 50_000
