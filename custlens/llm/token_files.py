@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custlens.llm.arrow import pieces, table
-from custlens.llm.tokens import TEXT_BYTES, ChunkEncoder
+from custlens.llm.tokens import TEXT_BYTES, vocabulary_size, worker_encoder
 from custlens.session import stage
 
 TOKENS_PER_FILE = 2_000_000
@@ -144,10 +144,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
     begins = order.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(F.col("_id").isNotNull(), F.coalesce("_id", F.lit(0)), "_tie"))).collect()
     begins = sorted(tuple(r[1]) for r in begins)  # one per part
     schema = pa.schema([("part", pa.int32()), ("_id", pa.int64()), ("_tie", pa.int64()), ("ids", pa.binary())])
+    size = vocabulary_size(tokenizer)
+    width = 2 if max(size, end_id + 1) <= 1 << 16 else 4
+    kind = "<u2" if size <= 1 << 16 else "<u4"
 
     def encode(batches):
-        encoder = ChunkEncoder(tokenizer)
-        kind = "<u2" if len(encoder.token_bytes) <= 1 << 16 else "<u4"
+        encoder = worker_encoder(tokenizer)
         for batch in batches:
             for rows in pieces(batch, "_text", TEXT_BYTES):
                 ids, edges = encoder.encode(rows.column(2))
@@ -157,9 +159,6 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
                 yield table(schema, part=part, _id=rows.column(0), _tie=rows.column(1), ids=blobs)
 
     def write(batches):
-        vocabulary = ChunkEncoder(tokenizer).token_bytes
-        width = 2 if max(len(vocabulary), end_id + 1) <= 1 << 16 else 4
-        kind = "<u2" if len(vocabulary) <= 1 << 16 else "<u4"
         out = pa.schema([("part", pa.int32()), ("file", pa.int32()), ("first_token", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("blob", pa.binary())])
         part, file, first = None, 0, 0
         held: list[np.ndarray] = []
