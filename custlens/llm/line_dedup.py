@@ -203,7 +203,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
                 names=["_id", "kept_text", "n_lines", "n_dropped"],
             )
 
-    joined = texts.join(bitmaps, ["doc", "text_hash"], "left").select("_id", "_text", "keep", "n_dropped")
+    # Texts meet their bitmaps by a shuffle at every size. Of what meets in a task, bitmaps are a small part by construction.
+    joined = texts.join(bitmaps.hint("shuffle_hash"), ["doc", "text_hash"], "left").select("_id", "_text", "keep", "n_dropped")
     return joined.mapInArrow(run, f"_id {kind}, kept_text string, n_lines long, n_dropped long").withColumnRenamed("_id", name)
 
 
