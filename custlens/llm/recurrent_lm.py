@@ -229,7 +229,9 @@ class Network:
         """
         lanes: list[list[np.ndarray]] = [[] for _ in range(min(settings.batch, len(documents)))]
         filled = [(0, i) for i in range(len(lanes))]
-        for document in sorted(documents, key=len, reverse=True):
+        # In a drawn order: lanes that end in short documents alone would leave the weights fitted to those.
+        for i in np.random.default_rng(3).permutation(len(documents)).tolist():
+            document = documents[i]
             size, i = heapq.heappop(filled)
             lanes[i].append(document)
             heapq.heappush(filled, (size + len(document), i))
@@ -325,10 +327,28 @@ def word_counts(docs: DataFrame, text_col: str = "text", most: int = 300_000) ->
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(counts: DataFrame, settings: Settings) -> list:
+    """At most ``lookup`` rows of the most frequent words, most frequent first.
+
+    A histogram of the counts (32 classes to a doubling) gives the least count that fits, so that no more rows than these come
+    to the driver. The words of the model itself are complete in any case.
+    """
+    octave = F.floor(F.log2("c") * 32).cast("int")
+    least, held = None, 0
+    for r in sorted(counts.groupBy(octave.alias("k")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r.k):
+        if held + r.n > settings.lookup:
+            break
+        least, held = r.k, held + r.n
+    needed = min(settings.lookup, settings.classes * settings.words_per_class)
+    if held >= needed:
+        return sorted(counts.filter(octave >= least).collect(), key=lambda r: (-r.c, bytes(r.word)))
+    return counts.orderBy(F.desc("c"), "word").limit(needed).collect()
+
+
 def vocabulary_of(counts: DataFrame, settings: Settings) -> Vocabulary:
     """The most frequent words (a bounded number) and the totals of all others by shape."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(settings.lookup).collect()
+    top = frequent_words(counts, settings)
     words, numbers = [bytes(r.word) for r in top], [r.c for r in top]
     frequent = set(words[: settings.classes * settings.words_per_class])
     schema = pa.schema([("shape", pa.int32()), ("c", pa.int64()), ("n", pa.int64())])
