@@ -2,9 +2,10 @@
 
 The base patterns find credentials whose surroundings or prefix give them away. They are the labelled examples of a
 grammar: for each kind a prefix tree of their character classes is built and states with statistically compatible
-futures are merged (Hoeffding bound on the share of each outgoing class and of ending), which leaves a small probabilistic
-automaton of the format. Every other run of credential characters in every text is then scored by its likelihood in the
-automata against a first-order model of all such runs, and runs that look like a known format are added.
+futures are merged (bounds on the share of each outgoing class, of ending, and on the distribution of what is left to
+come), which leaves a small probabilistic automaton of the format. Every other run of credential characters in every text
+is then scored by its likelihood in the automata against a first-order model of all such runs, and runs that are far
+likelier in a known format are added.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens.llm.arrow import pieces, table, utf8
@@ -29,13 +30,17 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 ADDED = "format"
 
-TRAINING_VALUES = 2_000
-SHORTEST = 12  # characters of a candidate
+TRAINING_VALUES = 2_000  # class strings of a kind that an automaton is inferred from
+TRAINING_LENGTH = 256  # characters of the longest of them
+SHORTEST = min(LEAST.values())  # characters of a candidate
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 
-# Character classes: digits, a-f, g-z, A-F, G-Z, the signs of base64 and names; 6 means no credential character.
-_CLASS = np.full(256, 6, np.int64)
-for _group, _characters in enumerate((b"0123456789", b"abcdef", b"ghijklmnopqrstuvwxyz", b"ABCDEF", b"GHIJKLMNOPQRSTUVWXYZ", b"+/_=-")):
+# Character classes: digits, letters of hex numbers and others by vowel, consonant and case, signs of base64 and names, the dot.
+_GROUPS = (b"0123456789", b"ae", b"bcdf", b"iou", b"ghjklmnpqrstvwxyz", b"ABCDEF", b"GHIJKLMNOPQRSTUVWXYZ", b"+/_=-", b".")
+CLASSES = len(_GROUPS)  # as a class: no credential character
+DOT = CLASSES - 1
+_CLASS = np.full(256, CLASSES, np.int64)
+for _group, _characters in enumerate(_GROUPS):
     _CLASS[list(_characters)] = _group
 _HEX = np.zeros(256, bool)
 _HEX[list(b"0123456789abcdef")] = True
@@ -64,53 +69,93 @@ def _runs(inside: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarr
     return starts[long], ends[long]
 
 
+def _inside(classes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bytes of candidates: credential characters, and dots with such a character on both sides in the same text."""
+    inside = classes < DOT
+    dots = np.flatnonzero(classes == DOT)
+    filled = offsets[:-1] < offsets[1:]
+    dots = dots[~np.isin(dots, np.concatenate([offsets[:-1][filled], offsets[1:][filled] - 1]))]
+    inside[dots[inside[dots - 1] & inside[dots + 1]]] = True
+    return inside
+
+
 @dataclass
 class Automaton:
-    """Transitions (-1: none) and log probabilities by state and class; the last column is the end."""
+    """Transitions and log probabilities by state and class; the last column is the end, the last state lies beyond the format."""
 
     steps: np.ndarray
     logs: np.ndarray
 
 
-def infer(counts: dict[bytes, int], alpha: float = 0.05, classes: int = 6) -> Automaton:
-    """Merge compatible states of the prefix tree of class strings (each byte a class, with its number of occurrences)."""
+def infer(counts: dict[bytes, int], alpha: float = 0.05, classes: int = CLASSES) -> Automaton:
+    """Merge compatible states of the prefix tree of class strings (each byte a class, with its number of occurrences).
+
+    Two states are compatible if the Hoeffding bound allows equal shares of every class and of ending, there and in what
+    follows, and the bound of Dvoretzky, Kiefer and Wolfowitz equal distributions of the number of characters to come.
+    Of several settled states that a new one is compatible with, it joins the one whose distribution is nearest. States are
+    taken in order of depth, frequent ones first, so that few examples are pooled before the next depth is looked at.
+    """
     children: list[dict[int, int]] = [{}]
     passed: list[list[int]] = [[0] * classes]
     ended = [0]
+    depth = [0]
+    left: list[dict[int, int]] = [defaultdict(int)]
     for string in sorted(counts):
         n, state = counts[string], 0
-        for c in string:
+        left[0][len(string)] += n
+        for i, c in enumerate(string, 1):
             passed[state][c] += n
             if c not in children[state]:
                 children[state][c] = len(children)
                 children.append({})
                 passed.append([0] * classes)
                 ended.append(0)
+                depth.append(i)
+                left.append(defaultdict(int))
             state = children[state][c]
+            left[state][len(string) - i] += n
         ended[state] += n
     margin = (0.5 * np.log(2 / alpha)) ** 0.5
 
+    def seen(a: int) -> int:
+        return ended[a] + sum(passed[a])
+
     def differ(f1: int, n1: int, f2: int, n2: int) -> bool:
         return abs(f1 / n1 - f2 / n2) > margin * (n1**-0.5 + n2**-0.5)
 
+    def apart(a: int, b: int) -> float:
+        """Largest difference of the shares of strings with at most so many characters to come."""
+        n1, n2, f1, f2, most = seen(a), seen(b), 0, 0, 0.0
+        for length in sorted(left[a].keys() | left[b].keys()):
+            f1 += left[a].get(length, 0)
+            f2 += left[b].get(length, 0)
+            most = max(most, abs(f1 / n1 - f2 / n2))
+        return most
+
     def compatible(a: int, b: int) -> bool:
         pairs = [(a, b)]
         while pairs:
             a, b = pairs.pop()
-            n1, n2 = ended[a] + sum(passed[a]), ended[b] + sum(passed[b])
-            if not n1 or not n2:
-                continue
+            n1, n2 = seen(a), seen(b)
             if differ(ended[a], n1, ended[b], n2) or any(differ(x, n1, y, n2) for x, y in zip(passed[a], passed[b])):
                 return False
             pairs += [(children[a][c], children[b][c]) for c in children[a].keys() & children[b].keys()]
         return True
 
+    def nearest(state: int) -> int | None:
+        """The settled state that this one joins."""
+        limits = [margin * (seen(state) ** -0.5 + seen(s) ** -0.5) for s in settled]
+        near = sorted((d, i) for i, d in enumerate(apart(s, state) for s in settled) if d <= limits[i])
+        return next((settled[i] for _, i in near if compatible(settled[i], state)), None)
+
     def fold(a: int, b: int) -> None:
         """Add the tree below b to the automaton at a."""
         pairs = [(a, b)]
         while pairs:
             a, b = pairs.pop()
             ended[a] += ended[b]
+            for length, n in left[b].items():
+                left[a][length] += n
             for c in range(classes):
                 passed[a][c] += passed[b][c]
             for c, child in children[b].items():
@@ -125,24 +170,25 @@ def infer(counts: dict[bytes, int], alpha: float = 0.05, classes: int = 6) -> Au
         fringe = [(s, c, t) for s in settled for c, t in sorted(children[s].items()) if t not in known]
         if not fringe:
             break
-        source, c, state = max(fringe, key=lambda x: (ended[x[2]] + sum(passed[x[2]]), -x[2]))
-        for other in settled:
-            if compatible(other, state):
-                children[source][c] = other
-                fold(other, state)
-                break
-        else:
+        source, c, state = max(fringe, key=lambda x: (-depth[x[2]], seen(x[2]), -x[2]))
+        other = nearest(state)
+        if other is None:
             settled.append(state)
+        else:
+            children[source][c] = other
+            fold(other, state)
+    # A class that a state never met leads on where most of its strings go, or beyond the format, where all is equally likely.
     number = {s: i for i, s in enumerate(settled)}
-    steps = np.full((len(settled) + 1, classes), len(settled), np.int64)
-    logs = np.full((len(settled) + 1, classes + 1), -9.0)
+    beyond = len(settled)
+    steps = np.full((beyond + 1, classes), beyond, np.int64)
+    logs = np.full((beyond + 1, classes + 1), -np.log(classes + 1))
     for s, i in number.items():
-        n = ended[s] + sum(passed[s])
-        for c in range(classes):
-            logs[i, c] = np.log((passed[s][c] + 0.01) / (n + 0.01 * (classes + 1)))
-            if c in children[s]:
-                steps[i, c] = number[children[s][c]]
-        logs[i, classes] = np.log((ended[s] + 0.01) / (n + 0.01 * (classes + 1)))
+        shares = np.array([*passed[s], ended[s]]) + 0.5
+        logs[i] = np.log(shares / shares.sum())
+        if children[s]:
+            steps[i] = number[children[s][max(children[s], key=lambda c: passed[s][c])]]
+        for c, child in children[s].items():
+            steps[i, c] = number[child]
     return Automaton(steps, logs)
 
 
@@ -166,16 +212,16 @@ def walk(steps: np.ndarray, logs: np.ndarray, data: np.ndarray, starts: np.ndarr
 
 @dataclass
 class Grammar:
-    """Automata by kind, the model of ordinary runs, and the least log ratio per character of each kind."""
+    """Automata by kind, the model of ordinary runs, and the log likelihood ratio that a run must reach for each kind."""
 
     automata: dict[str, Automaton]
     ordinary: np.ndarray
     least: dict[str, float]
 
     def ratios(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
-        steps = np.tile(np.arange(1, 7), (7, 1))  # the state is the class before
+        steps = np.tile(np.arange(1, CLASSES + 1), (CLASSES + 1, 1))  # the state is the class before
         usual = walk(steps, self.ordinary, data, starts, ends)
-        return {k: (walk(a.steps, a.logs, data, starts, ends) - usual) / np.maximum(ends - starts, 1) for k, a in self.automata.items()}
+        return {k: walk(a.steps, a.logs, data, starts, ends) - usual for k, a in self.automata.items()}
 
     def accepts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = np.zeros(len(starts), bool)
@@ -201,7 +247,7 @@ def _scan(column: pa.Array):
     wanted[np.searchsorted(offsets, starts, side="right") - 1] = True
     spans: list[list[tuple[str, int, int, str]]] = [[] for _ in range(n)]
     classes = _CLASS[data]
-    starts, ends = _runs(classes < 6, offsets, SHORTEST)
+    starts, ends = _runs(_inside(classes, offsets), offsets, SHORTEST)
     rows = np.searchsorted(offsets, starts, side="right") - 1
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     free = np.ones(len(starts), bool)
@@ -216,53 +262,56 @@ def _scan(column: pa.Array):
     return spans, classes, starts[free], ends[free], rows[free], first[free], last[free]
 
 
-def learn(docs: DataFrame, text_col: str = "text", values: int = TRAINING_VALUES, miss: float = 0.02) -> Grammar:
-    """Infer the formats from base findings in ``docs``: at most ``values`` distinct class strings of each kind (those with
-    the smallest hash), while the model of ordinary runs counts all of them."""
+def learn(docs: DataFrame, text_col: str = "text", values: int = TRAINING_VALUES, false: float = 0.02) -> Grammar:
+    """Infer the formats from base findings in ``docs``.
+
+    States are merged on at most ``values`` distinct class strings of each kind, the most frequent ones (then those with
+    the smallest hash) of up to ``TRAINING_LENGTH`` characters; the model of ordinary runs and the number of findings count
+    all texts. By chance, at most exp(-t) of N ordinary runs reach a log likelihood ratio of t, so the ratio that a kind
+    with n findings asks for is log(N / (``false`` * n)): for each kind at most that share of its findings is false.
+    """
     schema = pa.schema([("kind", pa.string()), ("value", pa.binary()), ("n", pa.int64())])
+    size = CLASSES + 1
 
     def gather(batches):
-        pairs = np.zeros((7, 7), np.int64)
+        pairs = np.zeros((size, size), np.int64)
         for batch in batches:
             for part in pieces(batch, "_text"):
                 spans, classes, starts, ends, _, _, _ = _scan(part.column(0))
                 found: dict[tuple[str, bytes], int] = defaultdict(int)
                 for kind, _, _, value in (s for row in spans for s in row):
-                    found[kind, bytes(min(int(c), 5) for c in _CLASS[list(value.encode())])] += 1
+                    found[kind, _CLASS[list(value.rstrip(".").encode())].astype(np.uint8).tobytes()] += 1
                 if found:
                     yield table(schema, kind=[k for k, _ in found], value=[v for _, v in found], n=list(found.values()))
                 if len(starts):
-                    np.add.at(pairs, (np.zeros(len(starts), np.int64), classes[starts]), 1)
-                    inside = np.zeros(len(classes) + 1, np.int64)
-                    np.add.at(inside, starts, 1)
-                    np.add.at(inside, ends - 1, -1)
-                    step = np.flatnonzero(np.cumsum(inside[:-1]) > 0)  # all but the last character of each run
-                    np.add.at(pairs, (classes[step] + 1, classes[step + 1]), 1)
-                    np.add.at(pairs, (classes[ends - 1] + 1, np.full(len(ends), 6)), 1)
+                    pairs[0] += np.bincount(classes[starts], minlength=size)
+                    inside = np.zeros(len(classes) + 1, np.int8)
+                    inside[starts] += 1
+                    inside[ends - 1] -= 1
+                    step = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))  # all but the last character of each run
+                    follow = np.bincount(classes[step] * size + classes[step + 1], minlength=CLASSES * size)
+                    pairs[1:] += follow.reshape(CLASSES, size)
+                    pairs[1:, CLASSES] += np.bincount(classes[ends - 1], minlength=CLASSES)
         a, b = np.nonzero(pairs)
         if len(a):
             yield table(schema, kind=["ordinary"] * len(a), value=[bytes(p) for p in zip(a.tolist(), b.tolist())], n=pairs[a, b])
 
     counted = docs.select(F.col(text_col).cast("string").alias("_text")).mapInArrow(gather, "kind string, value binary, n long")
     counted = stage(counted.groupBy("kind", "value").agg(F.sum("n").alias("n")), "formats")
-    ordinary = np.full((7, 7), 0.5)
-    for r in counted.filter("kind = 'ordinary'").collect():  # at most 49 rows
+    ordinary = np.zeros((size, size))
+    for r in counted.filter("kind = 'ordinary'").collect():  # at most one row for each pair of classes
         ordinary[r.value[0], r.value[1]] += r.n
-    ordinary = np.log(ordinary / ordinary.sum(axis=1, keepdims=True))
-    automata, least = {}, {}
-    for kind in KINDS:
-        rows = counted.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(values).collect()
-        strings = {bytes(r.value): r.n for r in rows}
-        if not strings:
-            continue
-        automata[kind] = infer(strings)
-        data = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64)
-        ends = np.cumsum([len(s) for s in strings])
-        starts = np.concatenate([[0], ends[:-1]])
-        ratios = Grammar({kind: automata[kind]}, ordinary, {}).ratios(data, starts, ends)[kind]
-        # Most of the examples must pass, and a run must be clearly likelier as a credential than as anything else.
-        least[kind] = max(float(np.quantile(ratios, miss)), 0.25)
-    return Grammar(automata, ordinary, least)
+    runs = max(1.0, ordinary[0].sum())
+    ordinary = np.log((ordinary + 0.5) / (ordinary + 0.5).sum(axis=1, keepdims=True))
+    findings = counted.filter("kind <> 'ordinary'")
+    totals = {r.kind: r.n for r in findings.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    # Ranked by a window: a task hands on its own best only, and nothing but the wanted strings reaches the driver.
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), F.xxhash64("value"), "value"))
+    examples: dict[str, dict[bytes, int]] = defaultdict(dict)
+    for r in findings.filter(F.length("value").between(1, TRAINING_LENGTH)).withColumn("place", place).filter(F.col("place") <= values).collect():
+        examples[r.kind][bytes(r.value)] = r.n
+    automata = {kind: infer(examples[kind]) for kind in KINDS if kind in examples}
+    return Grammar(automata, ordinary, {kind: float(np.log(runs / (false * totals[kind]))) for kind in automata})
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

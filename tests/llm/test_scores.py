@@ -202,6 +202,84 @@ def test_secrets_of_odd_rows(odd, nothing):
     assert secret_scan.scan_secrets(nothing).count() == 0
 
 
+def plain_format_spans(text, grammar):
+    """Added spans of one text, run by run and character by character."""
+    taken = [(int(a), int(b)) for _, a, b in (s.split(":") for s in base(text))]
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*", text, re.ASCII):
+        if len(m.group()) < 6 or any(m.start() < b and a < m.end() for a, b in taken):
+            continue
+        classes = [next(i for i, group in enumerate(secret_scan._GROUPS) if ord(c) in group) for c in m.group()]
+        usual, before = 0.0, 0
+        for c in classes:
+            usual += grammar.ordinary[before, c]
+            before = c + 1
+        usual += grammar.ordinary[before, len(secret_scan._GROUPS)]
+        for kind, automaton in grammar.automata.items():
+            state, total = 0, 0.0
+            for c in classes:
+                total += automaton.logs[state, c]
+                state = automaton.steps[state, c]
+            if total + automaton.logs[state, -1] - usual >= grammar.least[kind]:
+                found.append(f"format:{m.start()}:{m.end()}")
+                break
+    return found
+
+
+def added(rows):
+    return {r.doc_id: [s for s in r.spans.split(",") if s.startswith("format")] for r in rows}
+
+
+def test_added_spans_are_those_of_a_plain_scorer(docs):
+    rows, key, upper = secret_rows()
+    rows += [(3000, f"x {key(18)}. y {key(18)}.{key(6)} .{key(8)}"), (3001, key(18) + "."), (3002, "." + key(20)), (3003, "a.b" * 30), (3004, None), (3005, "")]
+    rows += [(4000 + i, f"{key(n)} {key(n, upper)}") for i, n in enumerate(range(4, 60))]
+    frame = docs(rows)
+    grammar = secret_scan.learn(frame)
+    got = added(secret_scan.scan_secrets(frame).collect())
+    want = {i: plain_format_spans(t or "", grammar) for i, t in rows}
+    assert got == want and sum(map(len, want.values())) > 10
+
+
+def test_planted_credentials_are_found_by_their_format(spark):
+    """Documents of the given tables with 60 labelled credentials of three formats and 60 bare ones of each."""
+    draw = random.Random(5)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef"
+    base64 = upper + "abcdefghijklmnopqrstuvwxyz+/"
+    key = lambda n, alphabet: "".join(draw.choice(alphabet) for _ in range(n))
+    texts = [(r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    rows, wanted = [], {}
+    for n, (i, text) in enumerate(texts):
+        at = text.find(" ", len(text) // 2) + 1
+        form = n % 3
+        if n < 180:
+            put = [f"secret={key(24, base64)}", f"AKIA{key(16, upper)}", f"password={key(18, lower)}"][form]
+        elif n < 360:
+            put = [key(24, base64), f"ASIA{key(16, upper)}", key(18, lower)][form]
+            wanted[i] = (form, f"format:{at}:{at + len(put)}")
+        else:
+            put = ""
+        rows.append((i, text[:at] + put + (" " if put else "") + text[at:]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    grammar = secret_scan.learn(frame)
+    assert all(len(a.steps) > 2 for a in grammar.automata.values()) and set(grammar.automata) == {"assign", "access", "hex"}
+    got = added(secret_scan.scan_secrets(frame).collect())
+    for form in range(3):
+        planted = [(i, s) for i, (f, s) in wanted.items() if f == form]
+        recall = sum(s in got[i] for i, s in planted) / len(planted)
+        print("form", form, "recall", recall)
+        assert recall >= 0.9
+    false = sum(len(s) - (wanted.get(i, (0, ""))[1] in s) for i, s in got.items())
+    print("false", false)
+    assert false <= 3
+
+
+def test_automata_of_the_given_tables_keep_states(spark):
+    for size in ("sf0.01", "sf0.1"):
+        grammar = secret_scan.learn(spark.read.parquet(f"/root/testdata/{size}/documents.parquet"))
+        assert {k: len(a.steps) - 1 > 1 for k, a in grammar.automata.items()} == {"assign": True, "hex": True}
+
+
 def test_inferred_automata():
     """Strings (01)* ending with a certain chance: two states suffice, and probabilities add up to one."""
     draw = random.Random(3)
