@@ -10,6 +10,7 @@ by byte.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from custlens.session import stage
 
 FINGERPRINTS_PER_SHARD = 2_000_000
+WAITING = 1 << 16  # fingerprints that wait at least before they are counted
 _HEAD = struct.Struct("<BBIQ")
 
 
@@ -83,16 +85,33 @@ def merge_filters(blobs: list[bytes], bits: int) -> bytes:
     return build_filter(*_sum_by(np.concatenate([f for f, _ in read]), np.concatenate([c for _, c in read])), bits)
 
 
+def count_fingerprints(arrays: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct fingerprints and their counts. New ones wait until they are as many as those held, so that each
+    is sorted again only when their number has doubled."""
+    values, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    waiting: list[np.ndarray] = []
+    n = 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        return _sum_by(np.concatenate([values, *waiting]), np.append(counts, np.ones(n, np.int64)))
+
+    for new in arrays:
+        waiting.append(new)
+        n += len(new)
+        if n >= max(len(values), WAITING):
+            values, counts = merged()
+            waiting, n = [], 0
+    return merged()
+
+
 def repeated_fingerprints(rows: DataFrame, column: str, shards: int) -> DataFrame:
     """Distinct values of a long column that occur more than once, by merged counting quotient filters."""
     shard_bits = max(0, (shards - 1).bit_length())
     bits = 64 - shard_bits
 
     def count(batches):
-        values, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for batch in batches:
-            new = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            values, counts = _sum_by(np.append(values, new), np.append(counts, np.ones(len(new), np.int64)))
+        columns = (batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64) for batch in batches)
+        values, counts = count_fingerprints(c.view(np.uint64) for c in columns)
         shard = (values >> np.uint64(bits)).astype(np.int64) if shard_bits else np.zeros(len(values), np.int64)
         edges = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])[: len(shard)]), len(shard))
         inside = values & np.uint64((1 << bits) - 1)

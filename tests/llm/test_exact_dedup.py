@@ -45,3 +45,18 @@ def test_rows_that_stay_keep_their_columns(odd, nothing):
 def test_one_text_in_most_rows(docs):
     got = e.exact_groups(docs([(i, "same" if i % 3 else f"own {i}") for i in range(600)])).toPandas()
     assert got[got.kept].shape[0] == 201 and set(got[got.group_size > 1].keep_id) == {599}
+
+
+def test_counting_sorts_a_few_times_what_it_counts(monkeypatch):
+    draw = np.random.default_rng(4)
+    rows = draw.integers(0, 1 << 63, 400_000, dtype=np.uint64)
+    rows[::3] = rows[0]
+    worked = []
+    plain_sum = e._sum_by
+    monkeypatch.setattr(e, "_sum_by", lambda f, c: worked.append(len(f)) or plain_sum(f, c))
+    monkeypatch.setattr(e, "WAITING", 1 << 12)
+    values, counts = e.count_fingerprints(rows[i : i + 1_000] for i in range(0, len(rows), 1_000))
+    want = np.unique(rows, return_counts=True)
+    assert np.array_equal(values, want[0]) and np.array_equal(counts, want[1])
+    assert sum(worked) < 4 * len(rows)
+    assert len(e.count_fingerprints([])[0]) == 0
