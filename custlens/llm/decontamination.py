@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,9 +221,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     state = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).selectExpr("*", *nothing)
     empty = Windows(pa.table({"window": pa.array([], pa.string()), "n": pa.array([], pa.int32()), "item": pa.array([], pa.string())}))
 
-    def marked(state: DataFrame, windows: Windows) -> DataFrame:
-        shared = spark.sparkContext.broadcast(windows)
-
+    def marked(state: DataFrame, shared: Broadcast) -> DataFrame:
         def mark(batches):
             for batch in batches:
                 for part in pieces(batch, "_text"):
@@ -241,12 +240,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         return state.mapInArrow(mark, columns)
 
-    done = 0
+    shared = None
     for windows in _slices(benchmark):
-        state = marked(stage(state, "hits", compression="zstd") if done else state, windows)
-        done += 1
-    if not done:
-        state = marked(state, empty)
+        if shared is not None:
+            state = stage(state, "hits", compression="zstd")
+            shared.destroy()  # written: nothing reads this slice again
+        shared = spark.sparkContext.broadcast(windows)
+        state = marked(state, shared)
+    if shared is None:
+        state = marked(state, spark.sparkContext.broadcast(empty))
     return state.select(
         F.col("_id").alias(id_col),
         "n_words",
@@ -269,9 +271,17 @@ def _union(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that share no window with the benchmark, columns unchanged."""
+    """The rows of ``docs`` that share no window with the benchmark, columns unchanged.
+
+    What is left after a slice of the benchmark is written before the next slice is broadcast, so that one slice is held
+    at a time. Null and empty texts stay; an empty benchmark leaves all rows.
+    """
     spark = docs.sparkSession
+    shared = None
     for windows in _slices(benchmark):
+        if shared is not None:
+            docs = stage(docs, "clean", compression="zstd")
+            shared.destroy()  # written: nothing reads this slice again
         shared = spark.sparkContext.broadcast(windows)
 
         def clean(batches, shared=shared):

@@ -70,3 +70,26 @@ def test_odd_rows(spark, odd, nothing):
     assert not any(r.contaminated for r in d.contamination(odd, empty).collect())
     assert d.drop_contaminated(odd, empty).count() == len(ODD)
     assert d.contamination(nothing, benchmark).count() == 0 == d.drop_contaminated(nothing, benchmark).count()
+
+
+def test_one_slice_of_the_benchmark_is_held_at_a_time(spark, docs, monkeypatch):
+    texts, items = texts_and_items(3)
+    monkeypatch.setattr(d, "BYTES_PER_SLICE", 6_500)
+    held, most = set(), []
+    broadcast = spark.sparkContext.broadcast
+
+    def counted(value):
+        shared = broadcast(value)
+        if isinstance(value, d.Windows):
+            held.add(id(shared))
+            most.append(len(held))
+            destroy = shared.destroy
+            shared.destroy = lambda blocking=False: (held.discard(id(shared)), destroy(blocking))
+        return shared
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
+    rows, clean = run(spark, docs, texts, items)
+    want = plain.contamination(texts, items)
+    assert {r.doc_id: r.contaminated for r in rows} == {i: w[-1] for i, w in enumerate(want)}
+    assert {r.doc_id for r in clean.collect()} == {i for i, w in enumerate(want) if not w[-1]}
+    assert len(most) >= 10 and max(most) <= 2  # the last one of each function stays
