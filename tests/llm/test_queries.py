@@ -1,10 +1,13 @@
 """The registered queries and the pipeline on the smallest tables, against plain versions."""
 
+import zlib
 from pathlib import Path
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
+import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 import test_scores
 import test_tokens
@@ -73,6 +76,36 @@ def test_language_model(spark, pairs):
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
 
 
+def test_quality_as_by_a_plain_fit(spark):
+    """The query at sf0.01 against gradient descent over all preference pairs, and against the labels it never saw."""
+    folder = "/root/testdata/sf0.01"
+    got = QUERIES["op8_bradley_terry"](spark, folder).toPandas().set_index("doc_id")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert set(got.index) == set(texts) and got.score.between(0, 1).all()
+    assert (got.predicted == (got.score >= 0.3)).all()
+    assert (got.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in got.index]).all()
+
+    x = {i: quality.features(pa.array([t], pa.string()))[0] for i, t in texts.items()}
+    learnt = [i for i, q in labels.items() if i in x and q in (0, 1) and zlib.crc32(str(i).encode()) % 5]
+    seen = np.array([x[i] for i in learnt])
+    mean, scale = seen.mean(axis=0), seen.std(axis=0) + 1e-6
+    z = {i: np.clip((v - mean) / scale, -8, 8) for i, v in x.items()}
+    pairs = np.array([z[a] - z[b] for a in learnt if labels[a] for b in learnt if not labels[b]])
+    weights = np.zeros(pairs.shape[1])
+    for _ in range(3000):
+        weights -= 0.5 * (1e-3 * weights - pairs.T @ (1 / (1 + np.exp(np.clip(pairs @ weights, -30, 30)))) / len(pairs))
+    raw = {i: v @ weights for i, v in z.items()}
+    cut = np.quantile([raw[i] for i in learnt], np.mean([not labels[i] for i in learnt]))
+    plain_good = np.array([raw[i] >= cut for i in got.index])
+    assert (plain_good == (got.predicted == 1)).mean() > 0.97
+    ranks = np.argsort(np.argsort([raw[i] for i in got.index])), np.argsort(np.argsort(got.score.to_numpy()))
+    assert np.corrcoef(*ranks)[0, 1] > 0.95
+
+    unseen = [i for i, q in labels.items() if i in x and q in (0, 1) and got.held_out[i]]
+    assert np.mean([got.predicted[i] == labels[i] for i in unseen]) > 0.95
+
+
 def test_secrets(spark, pairs):
     test_scores.check_secrets(QUERIES["op10_grammar_secrets"](spark, FOLDER).collect(), pairs)
 
