@@ -13,7 +13,6 @@ them where that is set lower), so training grows with the corpus.
 
 from __future__ import annotations
 
-import heapq
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -58,9 +57,9 @@ class Settings:
     lookup: int = 50_000  # words whose counts are sent to every task; the others meet their counts in a join
     share: float = 1.0  # of the training documents, for the weights
     rounds: int = 2
-    batch: int = 48  # documents side by side
-    window: int = 12
-    rate: float = 0.01
+    batch: int = 256  # lanes side by side
+    window: int = 16
+    rate: float = 0.03
 
 
 @dataclass
@@ -171,25 +170,31 @@ class Network:
             gradient["wc"] += states.T @ e
             gradient["bc"] += e.sum(axis=0)
             back = e @ self.wc.T
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            here = order[edges[c] : edges[c + 1]]
-            if not len(here):
-                continue
-            own = states[here]
-            inner = np.minimum(own @ self.wo[c] + self.bo[c], _TOP)
-            e = np.exp(inner)
-            total = e.sum(axis=1)
-            place = symbols[here] - c * self.size
-            k = np.arange(len(here))
-            out[here] += inner[k, place] - np.log(total)
-            if gradient is not None:
-                e /= total[:, None]
-                e[k, place] -= 1
-                gradient["wo"][c] += own.T @ e
-                gradient["bo"][c] += e.sum(axis=0)
-                back[here] += e @ self.wo[c].T
+        # Words inside their classes: rows in order of class, so that a class is one product and the rest is done for all at once.
+        order = np.argsort(kind.astype(np.int16 if self.classes < 1 << 14 else np.int64), kind="stable")
+        edges = np.searchsorted(kind[order], np.arange(self.classes + 1)).tolist()
+        order = order[: edges[-1]]
+        own = states[order]
+        spans = [(c, slice(*edges[c : c + 2])) for c in range(self.classes) if edges[c] < edges[c + 1]]
+        inner = np.empty((len(order), self.size), np.float32)
+        for c, here in spans:
+            np.matmul(own[here], self.wo[c], out=inner[here])
+        inner += self.bo[kind[order]]
+        np.minimum(inner, _TOP, out=inner)
+        rows, place = np.arange(len(order)), symbols[order] - kind[order] * self.size
+        chosen = inner[rows, place].astype(np.float64)
+        e = np.exp(inner, out=inner)
+        total = e.sum(axis=1)
+        out[order] += chosen - np.log(total)
+        if gradient is not None:
+            e /= total[:, None]
+            e[rows, place] -= 1
+            below = np.empty_like(own)
+            for c, here in spans:
+                gradient["wo"][c] += own[here].T @ e[here]
+                gradient["bo"][c] += e[here].sum(axis=0)
+                np.matmul(e[here], self.wo[c].T, out=below[here])
+            back[order] += below
         return out if gradient is None else (out, back)
 
     def score(self, documents: list[np.ndarray], rows: int = 16_384) -> np.ndarray:
@@ -223,88 +228,99 @@ class Network:
         return out
 
     def train(self, documents: list[np.ndarray], settings: Settings, moments: dict) -> None:
-        """One pass over documents, put one behind the other in lanes of about equal length, a window at a time.
+        """One pass over documents, put one behind the other and cut into lanes of equal length, a window at a time.
 
-        The state is carried from window to window, gradients are not; a document starts with an empty state.
+        The state is carried from window to window, gradients are not; a document starts with an empty state. Where the
+        cut between two lanes goes through a document, the second one knows the token before it and no state. Lanes are
+        at least 16 windows long, so that few documents still give that many steps.
         """
-        lanes: list[list[np.ndarray]] = [[] for _ in range(min(settings.batch, len(documents)))]
-        filled = [(0, i) for i in range(len(lanes))]
         # In a drawn order: lanes that end in short documents alone would leave the weights fitted to those.
-        for i in np.random.default_rng(3).permutation(len(documents)).tolist():
-            document = documents[i]
-            size, i = heapq.heappop(filled)
-            lanes[i].append(document)
-            heapq.heappush(filled, (size + len(document), i))
-        lengths = np.array([sum(map(len, lane)) for lane in lanes])
-        lanes = [lanes[i] for i in np.argsort(-lengths, kind="stable")]
-        lengths = -np.sort(-lengths)
-        longest = int(lengths[0])
-        everything = np.zeros((longest, len(lanes)), np.int64)
-        starting = np.zeros((longest, len(lanes)), bool)
-        for i, lane in enumerate(lanes):
-            everything[: lengths[i], i] = np.concatenate(lane)
-            starting[np.cumsum([0, *map(len, lane[:-1])]), i] = True
-        h = np.zeros((len(lanes), self.hidden), np.float32)
-        n = self.hidden
+        order = np.random.default_rng(3).permutation(len(documents))
+        stream = np.concatenate([documents[i] for i in order])
+        ends = np.cumsum([len(documents[i]) for i in order])
+        told = np.concatenate([[-1], stream[:-1]])  # the token before, if it is of the same document
+        told[ends[:-1]] = -1
+        lanes = min(settings.batch, max(1, len(stream) // (16 * settings.window)))
+        longest = -(-len(stream) // lanes)
+        blank = lanes * longest - len(stream)
+        everything = np.concatenate([stream, np.full(blank, -1)]).reshape(lanes, longest).T
+        before = np.concatenate([told, np.full(blank, -1)]).reshape(lanes, longest).T
+        h = np.zeros((lanes, self.hidden), np.float32)
         for low in range(0, longest, settings.window):
-            active = int((lengths > low).sum())
-            steps = min(settings.window, longest - low)
-            here = slice(low, low + steps)
-            symbols, starts = everything[here, :active], starting[here, :active]
-            mask = np.arange(low, low + steps)[:, None] < lengths[None, :active]
-            before = np.full((steps, active), -1)
-            before[1:] = symbols[:-1]
-            if low:
-                before[0] = everything[low - 1, :active]
-            before[starts] = -1
-            h = h[:active]
-            told = np.where((before >= 0)[:, :, None], self.embed[before], np.float32(0))
-            gates = told @ self.wx + self.bias
-            saved, states = [], []
-            for t in range(steps):
-                h = np.where(starts[t][:, None], np.float32(0), h)
-                new_h, z, r, new, u = self.step(gates[t], h)
-                saved.append((h, z, r, new, u))
-                states.append(new_h)
-                h = new_h
-            gradient = {name: np.zeros_like(getattr(self, name)) for name in self.NAMES}
-            seen = np.flatnonzero(mask.ravel())
-            _, back = self.log_probability(np.concatenate(states)[seen], symbols.ravel()[seen], gradient)
-            d_states = np.zeros((steps * active, n), np.float32)
-            d_states[seen] = back
-            d_states = d_states.reshape(steps, active, n)
-            d_gates = np.zeros((steps, active, 3 * n), np.float32)
-            carry = np.zeros((active, n), np.float32)
-            for t in reversed(range(steps)):
-                h_in, z, r, new, u = saved[t]
-                d = d_states[t] + carry
-                d_new = d * (1 - z) * (1 - new * new)
-                d_z = d * (h_in - new) * z * (1 - z)
-                d_r = d_new * u * r * (1 - r)
-                d_gates[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-                d_u = np.concatenate([d_z, d_r, d_new * r], axis=1)
-                gradient["wh"] += h_in.T @ d_u
-                carry = np.where(starts[t][:, None], np.float32(0), d * z + d_u @ self.wh.T)
-            gradient["bias"] += d_gates.sum(axis=(0, 1))
-            flat_gates = d_gates.reshape(-1, 3 * n)
-            gradient["wx"] += told.reshape(-1, n).T @ flat_gates
-            fed = np.flatnonzero(before.ravel() >= 0)
-            np.add.at(gradient["embed"], before.ravel()[fed], (flat_gates @ self.wx.T)[fed])
-            self._update(gradient, len(seen), settings.rate, moments)
+            h = self._window(everything[low : low + settings.window], before[low : low + settings.window], h, settings.rate, moments)
+
+    def _window(self, symbols: np.ndarray, before: np.ndarray, h: np.ndarray, rate: float, moments: dict) -> np.ndarray:
+        """Fit one window (steps, lanes), with -1 for what is not there; the state behind it."""
+        steps, lanes = symbols.shape
+        n = self.hidden
+        going_on = (before >= 0).astype(np.float32)[:, :, None]
+        told = self.embed[before] * going_on
+        gates = (told.reshape(-1, n) @ self.wx + self.bias).reshape(steps, lanes, 3 * n)
+        saved = []
+        states = np.empty((steps, lanes, n), np.float32)
+        for t in range(steps):
+            h = h * going_on[t]
+            new_h, z, r, new, u = self.step(gates[t], h)
+            saved.append((h, z, r, new, u))
+            states[t] = h = new_h
+        gradient = {name: np.zeros_like(getattr(self, name)) for name in ("wc", "bc", "wo", "bo")}
+        seen = np.flatnonzero(symbols.ravel() >= 0)
+        _, back = self.log_probability(states.reshape(-1, n)[seen], symbols.ravel()[seen], gradient)
+        d_states = np.zeros((steps * lanes, n), np.float32)
+        d_states[seen] = back
+        d_states = d_states.reshape(steps, lanes, n)
+        d_gates = np.empty((steps, lanes, 3 * n), np.float32)
+        d_inner = np.empty((steps, lanes, 3 * n), np.float32)
+        carry = np.zeros((lanes, n), np.float32)
+        back_weights = self.wh.T.copy()
+        for t in reversed(range(steps)):
+            h_in, z, r, new, u = saved[t]
+            d = d_states[t] + carry
+            d_z = d * z  # the state's own part, then the gate's
+            d_new = (d - d_z) * (1 - new * new)
+            out, inner = d_gates[t], d_inner[t]
+            out[:, :n] = d_z * (h_in - new) * (1 - z)
+            out[:, n : 2 * n] = d_new * u * r * (1 - r)
+            out[:, 2 * n :] = d_new
+            inner[:] = out
+            inner[:, 2 * n :] *= r
+            carry = (d_z + inner @ back_weights) * going_on[t]
+        flat_gates = d_gates.reshape(-1, 3 * n)
+        gradient["wh"] = np.concatenate([h_in for h_in, *_ in saved]).T @ d_inner.reshape(-1, 3 * n)
+        gradient["bias"] = flat_gates.sum(axis=0)
+        gradient["wx"] = told.reshape(-1, n).T @ flat_gates
+        # Sums over runs of equal symbols; the entry before all others stands for no symbol.
+        by_row = np.argsort(before.ravel().astype(np.int16 if len(self.embed) < 1 << 15 else np.int64), kind="stable")
+        rows, firsts = np.unique(before.ravel()[by_row], return_index=True)
+        sums = np.add.reduceat((flat_gates @ self.wx.T)[by_row], firsts, axis=0)
+        gradient["embed"] = np.zeros_like(self.embed)
+        gradient["embed"][rows[rows >= 0]] = sums[rows >= 0]
+        self._update(gradient, len(seen), rate, moments)
+        return h
 
     def _update(self, gradient: dict, n: int, rate: float, moments: dict) -> None:
+        """A step of Adam. Words that did not occur in the window keep their embedding and its moments."""
         moments["step"] = step = moments.get("step", 0) + 1
+        scale = np.float32(rate / (1 - 0.9**step))
+        spread = np.float32(1 / (1 - 0.99**step))
         for name in self.NAMES:
-            g = gradient[name] / max(n, 1)
+            weights = getattr(self, name)
             if name not in moments:
-                moments[name] = (np.zeros_like(g), np.zeros_like(g))
-            m, v = moments[name]
-            m *= 0.9
-            m += 0.1 * g
-            v *= 0.99
-            v += 0.01 * g * g
-            change = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-            setattr(self, name, getattr(self, name) - change.astype(np.float32))
+                moments[name] = (np.zeros_like(weights), np.zeros_like(weights))
+            m_all, v_all = moments[name]
+            g = gradient[name]
+            place = np.flatnonzero(g.any(axis=1)) if name == "embed" else slice(None)
+            g = g[place] / np.float32(max(n, 1))
+            m, v = m_all[place], v_all[place]
+            m = m + np.float32(0.1) * (g - m)
+            g *= g
+            v = v + np.float32(0.01) * (g - v)
+            m_all[place], v_all[place] = m, v
+            root = np.sqrt(v * spread)
+            root += np.float32(1e-6)
+            m *= scale
+            m /= root
+            weights[place] -= m
 
 
 def word_counts(docs: DataFrame, text_col: str = "text", most: int = 300_000) -> DataFrame:
