@@ -95,8 +95,8 @@ class Vocabulary:
         self.symbol[self.symbols :] = first + np.array([shape(w) for w in extra], np.int64)
         self.base_norm = np.log10(self.total + self.distinct + 1)
 
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, dict[bytes, int]]:
-        """Codes of a document and its end; words outside the lookup with their numbers."""
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+        """Codes of a document and its end; its words outside the lookup."""
         find = self.code.get
         codes = [find(w, -1) for w in words]
         codes.append(find(END, -1))
@@ -105,7 +105,7 @@ class Vocabulary:
         first = self.symbols - SHAPES
         unknown = [words[i] if i < len(words) else END for i in missing.tolist()]
         out[missing] = [first + shape(w) for w in unknown]
-        return out, Counter(unknown)
+        return out, unknown
 
 
 class Network:
@@ -147,28 +147,41 @@ class Network:
         return np.where(symbols < first, symbols // self.size, self.classes + symbols - first)
 
     def step(self, gates: np.ndarray, h: np.ndarray):
-        """Next state from the input's gates (bias included) and the state."""
+        """Next state from the input's gates (bias included) and the state. Fastest where columns are contiguous."""
         n = self.hidden
-        u = h @ self.wh
-        zr = 1 / (1 + np.exp(-(gates[:, : 2 * n] + u[:, : 2 * n])))
+        u = (self.wh.T @ h.T).T
+        zr = gates[:, : 2 * n] + u[:, : 2 * n]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += np.float32(1)
+        np.reciprocal(zr, out=zr)
         z, r = zr[:, :n], zr[:, n:]
-        new = np.tanh(gates[:, 2 * n :] + r * u[:, 2 * n :])
-        return new + z * (h - new), z, r, new, u[:, 2 * n :]
+        new = r * u[:, 2 * n :]
+        new += gates[:, 2 * n :]
+        np.tanh(new, out=new)
+        out = h - new
+        out *= z
+        out += new
+        return out, z, r, new, u[:, 2 * n :]
 
     def log_probability(self, states: np.ndarray, symbols: np.ndarray, gradient=None) -> np.ndarray:
         """Natural log probability of each symbol (of its class only, for shapes); adds gradients of the negated sum."""
-        logits = np.minimum(states @ self.wc + self.bc, _TOP)
+        states = np.ascontiguousarray(states)
+        logits = states @ self.wc
+        logits += self.bc
+        np.minimum(logits, _TOP, out=logits)
         e = np.exp(logits)
-        total = e.sum(axis=1)
+        total = e @ np.ones(e.shape[1], np.float32)  # a product is the faster sum over short rows
         kind = self.class_of(symbols)
         rows = np.arange(len(symbols))
         out = logits[rows, kind].astype(np.float64) - np.log(total)
+        del logits
         back = None
         if gradient is not None:
             e /= total[:, None]
             e[rows, kind] -= 1
             gradient["wc"] += states.T @ e
-            gradient["bc"] += e.sum(axis=0)
+            gradient["bc"] += np.ones(len(e), np.float32) @ e
             back = e @ self.wc.T
         # Words inside their classes: rows in order of class, so that a class is one product and the rest is done for all at once.
         order = np.argsort(kind.astype(np.int16 if self.classes < 1 << 14 else np.int64), kind="stable")
@@ -184,7 +197,7 @@ class Network:
         rows, place = np.arange(len(order)), symbols[order] - kind[order] * self.size
         chosen = inner[rows, place].astype(np.float64)
         e = np.exp(inner, out=inner)
-        total = e.sum(axis=1)
+        total = e @ np.ones(self.size, np.float32)
         out[order] += chosen - np.log(total)
         if gradient is not None:
             e /= total[:, None]
@@ -205,20 +218,20 @@ class Network:
         flat = np.concatenate([documents[i] for i in order]) if len(order) else np.zeros(0, np.int64)
         starts = np.cumsum(sorted_lengths) - sorted_lengths
         inputs = self.embed @ self.wx + self.bias
-        first = np.repeat(self.bias[None, :], 1, axis=0)
-        h = np.zeros((len(order), self.hidden), np.float32)
+        h = np.zeros((self.hidden, len(order)), np.float32).T
         total = np.zeros(len(order))
         at, longest = 0, int(sorted_lengths[0]) if len(order) else 0
+        every, actives = np.arange(len(order)), np.searchsorted(-sorted_lengths, -np.arange(longest), side="left").tolist()
         while at < longest:
             held, targets, owners, kept = [], [], [], 0
             while at < longest and kept < rows:
-                active = int(np.searchsorted(-sorted_lengths, -at, side="left"))
+                active = actives[at]
                 place = starts[:active] + at
-                gates = inputs[flat[place - 1]] if at else np.broadcast_to(first, (active, first.shape[1]))
+                gates = np.asfortranarray(inputs.take(flat[place - 1], axis=0)) if at else np.broadcast_to(self.bias, (active, len(self.bias)))
                 h = self.step(gates, h[:active])[0]
                 held.append(h)
                 targets.append(flat[place])
-                owners.append(np.arange(active))
+                owners.append(every[:active])
                 kept += active
                 at += 1
             found = self.log_probability(np.concatenate(held), np.concatenate(targets))
@@ -253,50 +266,54 @@ class Network:
         """Fit one window (steps, lanes), with -1 for what is not there; the state behind it."""
         steps, lanes = symbols.shape
         n = self.hidden
-        going_on = (before >= 0).astype(np.float32)[:, :, None]
-        told = self.embed[before] * going_on
-        gates = (told.reshape(-1, n) @ self.wx + self.bias).reshape(steps, lanes, 3 * n)
-        saved = []
-        states = np.empty((steps, lanes, n), np.float32)
+        going_on = (before >= 0).astype(np.float32)
+        told = np.concatenate([self.embed, np.zeros((1, n), np.float32)])[before]
+        # (step, feature, lane): what a step works on is contiguous.
+        gates = self.wx.T @ told.transpose(0, 2, 1)
+        gates += self.bias[:, None]
+        states, saved = np.empty((steps, n, lanes), np.float32), []
+        inputs = np.empty((steps, n, lanes), np.float32)
+        h = h.T
         for t in range(steps):
-            h = h * going_on[t]
-            new_h, z, r, new, u = self.step(gates[t], h)
-            saved.append((h, z, r, new, u))
-            states[t] = h = new_h
+            h = np.multiply(h, going_on[t], out=inputs[t])
+            new_h, z, r, new, u = self.step(gates[t].T, h.T)
+            saved.append((z.T, r.T, new.T, u.T))
+            states[t] = h = new_h.T
         gradient = {name: np.zeros_like(getattr(self, name)) for name in ("wc", "bc", "wo", "bo")}
         seen = np.flatnonzero(symbols.ravel() >= 0)
-        _, back = self.log_probability(states.reshape(-1, n)[seen], symbols.ravel()[seen], gradient)
+        _, back = self.log_probability(states.transpose(0, 2, 1).reshape(-1, n)[seen], symbols.ravel()[seen], gradient)
         d_states = np.zeros((steps * lanes, n), np.float32)
         d_states[seen] = back
-        d_states = d_states.reshape(steps, lanes, n)
-        d_gates = np.empty((steps, lanes, 3 * n), np.float32)
-        d_inner = np.empty((steps, lanes, 3 * n), np.float32)
-        carry = np.zeros((lanes, n), np.float32)
-        back_weights = self.wh.T.copy()
+        d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, n).transpose(0, 2, 1))
+        d_gates = np.empty((steps, 3 * n, lanes), np.float32)
+        d_inner = np.empty((steps, 3 * n, lanes), np.float32)
+        carry = np.zeros((n, lanes), np.float32)
         for t in reversed(range(steps)):
-            h_in, z, r, new, u = saved[t]
-            d = d_states[t] + carry
+            z, r, new, u = saved[t]
+            d = np.add(d_states[t], carry, out=carry)
             d_z = d * z  # the state's own part, then the gate's
             d_new = (d - d_z) * (1 - new * new)
             out, inner = d_gates[t], d_inner[t]
-            out[:, :n] = d_z * (h_in - new) * (1 - z)
-            out[:, n : 2 * n] = d_new * u * r * (1 - r)
-            out[:, 2 * n :] = d_new
-            inner[:] = out
-            inner[:, 2 * n :] *= r
-            carry = (d_z + inner @ back_weights) * going_on[t]
-        flat_gates = d_gates.reshape(-1, 3 * n)
-        gradient["wh"] = np.concatenate([h_in for h_in, *_ in saved]).T @ d_inner.reshape(-1, 3 * n)
-        gradient["bias"] = flat_gates.sum(axis=0)
-        gradient["wx"] = told.reshape(-1, n).T @ flat_gates
+            out[:n] = d_z * (inputs[t] - new) * (1 - z)
+            out[n : 2 * n] = d_new * u * r * (1 - r)
+            out[2 * n :] = d_new
+            inner[: 2 * n] = out[: 2 * n]
+            np.multiply(d_new, r, out=inner[2 * n :])
+            carry = self.wh @ inner
+            carry += d_z
+            carry *= going_on[t]
+        gradient["wh"] = (inputs @ d_inner.transpose(0, 2, 1)).sum(axis=0)
+        gradient["bias"] = (d_gates @ np.ones(lanes, np.float32)).sum(axis=0)
+        gradient["wx"] = (told.transpose(0, 2, 1) @ d_gates.transpose(0, 2, 1)).sum(axis=0)
+        d_told = (self.wx @ d_gates).transpose(0, 2, 1).reshape(-1, n)
         # Sums over runs of equal symbols; the entry before all others stands for no symbol.
         by_row = np.argsort(before.ravel().astype(np.int16 if len(self.embed) < 1 << 15 else np.int64), kind="stable")
         rows, firsts = np.unique(before.ravel()[by_row], return_index=True)
-        sums = np.add.reduceat((flat_gates @ self.wx.T)[by_row], firsts, axis=0)
+        sums = np.add.reduceat(d_told[by_row], firsts, axis=0)
         gradient["embed"] = np.zeros_like(self.embed)
         gradient["embed"][rows[rows >= 0]] = sums[rows >= 0]
         self._update(gradient, len(seen), rate, moments)
-        return h
+        return h.T
 
     def _update(self, gradient: dict, n: int, rate: float, moments: dict) -> None:
         """A step of Adam. Words that did not occur in the window keep their embedding and its moments."""
@@ -464,7 +481,7 @@ def score_documents(docs: DataFrame, settings: Settings | None = None, id_col: s
         words, net = shared.value
         first = TaskContext.get().partitionId() << 33
         log_ten = np.log(10)
-        for batch in (p for b in batches for p in pieces(b, "_text", 12_000_000)):
+        for batch in (p for b in batches for p in pieces(b, "_text", 24_000_000)):
             n_tokens, n_known, base, within, symbols = [], [], [], [], []
             rare: list[bytes] = []
             times: list[int] = []
@@ -479,6 +496,7 @@ def score_documents(docs: DataFrame, settings: Settings | None = None, id_col: s
                 base.append(float(logs.sum()) - len(codes) * words.base_norm)
                 within.append(float(logs[others].sum() - words.rest[chosen[others] - (words.symbols - SHAPES)].sum()))
                 symbols.append(chosen.astype(np.int32))
+                unknown = Counter(unknown)
                 rare += unknown
                 times += unknown.values()
                 ends.append(len(rare))
