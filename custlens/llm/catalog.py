@@ -71,7 +71,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op3_prefix_target_chat(spark, folder):
     quoted = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", quoted), (-1, 1, "assistant", quoted)], "conv_id long, turn long, role string, text string")
+    extra = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{quoted}'), (-1L, 1L, 'assistant', '{quoted}') AS t(conv_id, turn, role, text)")
     turns = spark.read.parquet(f"{folder}/conversations.parquet").select(*extra.columns)
     return chat.read_back(stage(chat.examples(turns.unionAll(extra)), "chat", compression="zstd"))
 
@@ -177,7 +177,8 @@ _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
     rf"""WITH pieces AS (
           SELECT coalesce(lang, 'und') AS lang,
                  unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
           FROM documents),
         lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda w: w <> '') AS words FROM pieces),
         grams AS (
