@@ -87,14 +87,27 @@ class EliasFano:
             value |= (int(self.low[place >> 3]) >> (place & 7) & 1) << k
         return (self.select(i) - i) << self.low_bits | value
 
-    def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        values = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
+    def between(self, first: int, last: int) -> np.ndarray:
+        """Entries ``first`` to ``last - 1`` by one select of the sample before them; only their stretch of the list is read."""
+        if first >= last:
+            return np.zeros(0, np.int64)
+        sample, after = first // _SAMPLE, -(-last // _SAMPLE)
+        start = int(self.samples[sample])
+        end = int(self.samples[after]) if after < len(self.samples) else 8 * len(self.high)
+        unary = np.unpackbits(self.high[start >> 3 : (end + 7) >> 3], bitorder="little")
+        unary[: start & 7] = 0
+        ones = np.flatnonzero(unary)[first - sample * _SAMPLE : last - sample * _SAMPLE] + (start & ~7)
+        values = (ones - np.arange(first, last)).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
-            bits = np.unpackbits(self.low, bitorder="little", count=self.n * self.low_bits).reshape(self.n, self.low_bits).astype(np.uint64)
+            start, end = first * self.low_bits, last * self.low_bits
+            bits = np.unpackbits(self.low[start >> 3 : (end + 7) >> 3], bitorder="little")[start & 7 :][: end - start]
+            bits = bits.reshape(-1, self.low_bits).astype(np.uint64)
             values |= (bits << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
         return values.astype(np.int64)
 
+    def all(self) -> np.ndarray:
+        return self.between(0, self.n)
+
 
 def write_file(ids: np.ndarray, starts: np.ndarray, doc_ids: list[int | None], width: int) -> bytes:
     """``starts`` of the documents in ``ids``; null document ids come first."""
@@ -120,6 +133,16 @@ class TokenFile:
     def doc_ids(self) -> list[int | None]:
         return [None] * self._nulls + (self._names.all() + self._least).tolist()
 
+    def stretches(self, size: int = 4096):
+        """``(document ids, starts, ends)`` of ``size`` documents at a time, so that no table of all offsets is made."""
+        for first in range(0, self.n_docs, size):
+            last = min(first + size, self.n_docs)
+            edges = self.starts.between(first, min(last + 1, self.n_docs))
+            if last == self.n_docs:
+                edges = np.append(edges, self.n_tokens)
+            names = self._names.between(max(first - self._nulls, 0), max(last - self._nulls, 0)) + self._least
+            yield [None] * (last - first - len(names)) + names.tolist(), edges[:-1], edges[1:]
+
     def __len__(self) -> int:
         return self.n_docs
 
@@ -193,23 +216,25 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
     return stage(ordered.mapInArrow(write, "part int, file int, first_token long, n_docs long, n_tokens long, blob binary"), "token-files", compression="zstd")
 
 
-def read_tokens(files: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every document, read from the files of ``write_tokens``."""
+def read_tokens(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The id, ``start``, ``n_tokens``, ``ids_crc32`` of every document, read from the files of ``write_tokens``.
+
+    Offsets come from the Elias-Fano boundaries by select, a few thousand documents at a time.
+    """
     totals = sorted(tuple(r) for r in files.groupBy("part").agg(F.sum("n_tokens")).collect())  # one per part
     before, total = {}, 0
     for part, n in totals:
         before[part] = total
         total += n
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    schema = pa.schema([(id_col, pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def read(batches):
         for batch in batches:
             for part, first, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 file = TokenFile(blob.as_buffer())
-                starts = file.starts.all()
-                ids = file.ids.astype("<u4")
-                ends = np.append(starts[1:], file.n_tokens)
-                crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-                yield table(schema, doc_id=file.doc_ids(), start=starts + (before[part] + first), n_tokens=ends - starts, ids_crc32=crc)
+                for names, starts, ends in file.stretches():
+                    crc = [zlib.crc32(file.ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist())]
+                    columns = {id_col: names, "start": starts + (before[part] + first), "n_tokens": ends - starts, "ids_crc32": crc}
+                    yield table(schema, **columns)
 
-    return files.select("part", "first_token", "blob").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.select("part", "first_token", "blob").mapInArrow(read, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long")

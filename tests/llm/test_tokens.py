@@ -39,6 +39,30 @@ def test_elias_fano_lists(values):
         back[len(values)]
 
 
+def test_stretches_of_a_list():
+    draw = np.random.default_rng(8)
+    for most in (1, 3, 2000, 2**33):
+        values = np.cumsum(draw.integers(0, most, 3000))
+        whole = token_files.EliasFano.of(values)
+        for first, last in [(0, 0), (0, 1), (255, 257), (256, 512), (511, 3000), (2999, 3000), *np.sort(draw.integers(0, 3001, (20, 2)), axis=1)]:
+            assert whole.between(first, last).tolist() == values[first:last].tolist()
+
+
+@pytest.mark.parametrize("size", [1, 7, 300, 4096])
+def test_documents_of_a_file_in_stretches(size):
+    draw = np.random.default_rng(5)
+    lengths = draw.integers(1, 40, 900)
+    starts = np.cumsum(lengths) - lengths
+    names = [None] * 20 + np.sort(draw.integers(-(2**40), 2**40, 880)).tolist()
+    file = token_files.TokenFile(token_files.write_file(np.arange(lengths.sum()) % 50_000, starts, names, 2))
+    parts = list(file.stretches(size))
+    assert max(len(p[0]) for p in parts) <= size
+    assert [n for p in parts for n in p[0]] == names == file.doc_ids()
+    assert np.concatenate([p[1] for p in parts]).tolist() == starts.tolist()
+    assert np.concatenate([p[2] for p in parts]).tolist() == (starts + lengths).tolist()
+    assert list(token_files.TokenFile(token_files.write_file(np.zeros(0), np.zeros(0), [], 2)).stretches(size)) == []
+
+
 def test_boundaries_take_little_space():
     starts = np.cumsum(np.random.default_rng(6).integers(1, 2000, 10_000))
     assert len(token_files.EliasFano.of(starts).to_bytes()) < 10_000 * 13 / 8 * 1.1
