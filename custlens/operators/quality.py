@@ -93,11 +93,23 @@ def validate_required(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return _long(counts, entries, ["is_present", "null_count", "null_pct"])
 
 
-def blocked_analyses(df: DataFrame, expected: Sequence[str], blocks: Mapping[str, str] | None = None) -> DataFrame:
-    """column_name, blocks: absent columns and the analysis each would be needed for."""
+def blocked_analyses(
+    df: DataFrame, expected: Sequence[str], blocks: Mapping[str, str] | None = None, empty_too: bool = False
+) -> DataFrame:
+    """column_name, blocks: absent columns and the analysis each would be needed for.
+
+    With ``empty_too`` a column without a single value counts as absent; all columns are counted in one pass.
+    """
     blocks = BLOCKED_BY if blocks is None else blocks
-    absent = [(c, why) for c, why in blocks.items() if c in expected and c not in df.columns]
-    return df.sparkSession.createDataFrame(absent, "column_name string, blocks string")
+    wanted = {c: why for c, why in blocks.items() if c in expected}
+    absent = [(c, why) for c, why in wanted.items() if c not in df.columns]
+    missing = df.sparkSession.createDataFrame(absent, "column_name string, blocks string")
+    present = {c: why for c, why in wanted.items() if c in df.columns}
+    if not (empty_too and present):
+        return missing
+    counts = df.agg(*[F.count(c).alias(c) for c in present])
+    lines = [F.struct(F.lit(c).alias("column_name"), F.lit(why).alias("blocks"), F.col(c).alias("n")) for c, why in present.items()]
+    return missing.unionAll(counts.select(F.inline(F.array(*lines))).filter("n = 0").select("column_name", "blocks"))
 
 
 def drop_incomplete(df: DataFrame, required: Sequence[str]) -> DataFrame:

@@ -222,10 +222,17 @@ def ingest_encodings(spark, folder):
     return table.select(F.col("customer_id").cast("long").alias("customer_id"), "name", "signup_date")
 
 
-@query("SELECT 'amount' AS column_name, 'revenue' AS blocks")
+@query(
+    """SELECT 'amount' AS column_name, 'revenue' AS blocks
+       UNION ALL SELECT column_name, 'revenue when amount is absent' FROM (
+           SELECT UNNEST([{'column_name': 'price', 'n': COUNT(CASE WHEN price < 0 THEN price END)},
+                          {'column_name': 'quantity', 'n': COUNT(quantity)}], recursive := true) FROM v_orders) WHERE n = 0
+       UNION ALL SELECT 'order_date', 'time analyses' FROM v_orders HAVING COUNT(order_date) = 0"""
+)
 def blocked_analyses(spark, folder):
     orders = views.orders(spark, folder)
-    return quality.blocked_analyses(orders, ["order_date", "amount", "price", "quantity"])
+    unpriced = orders.withColumn("price", F.when(F.col("price") < 0, F.col("price")))
+    return quality.blocked_analyses(unpriced, ["order_date", "amount", "price", "quantity"], empty_too=True)
 
 
 @query("SELECT * FROM v_orders")

@@ -96,6 +96,9 @@ def test_required_columns(spark, rows):
     assert rows(quality.drop_incomplete(df, ["price"])) == [(2, 3.0)]
     assert quality.incomplete_report(df, ["price"]).first().asDict() == {"removed_rows": 1, "remaining_rows": 1}
     assert rows(quality.blocked_analyses(df, ["amount", "price"]), "column_name") == [("amount",)]
+    unpriced = df.withColumn("price", F.lit(None).cast("double"))
+    assert rows(quality.blocked_analyses(unpriced, ["amount", "price"], empty_too=True), "column_name") == [("amount",), ("price",)]
+    assert rows(quality.blocked_analyses(df, ["amount", "price"], empty_too=True), "column_name") == [("amount",)]
     assert quality.missing_tables({"orders": df}, ["orders", "customers"]) == ["customers"]
     with pytest.raises(ValueError):
         quality.drop_incomplete(df, ["nothing"])
