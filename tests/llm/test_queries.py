@@ -76,6 +76,14 @@ def test_language_model(spark, pairs):
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_language_model_beats_word_counts_on_unseen_documents(spark, size):
+    rows = [r for r in QUERIES["op9_recurrent_lm"](spark, f"/root/testdata/{size}").collect() if r.held_out]
+    gain = sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
+    better = sum(r.score > r.base_score for r in rows) / len(rows)
+    assert gain > 0.15 and better > 0.85
+
+
 def test_quality_as_by_a_plain_fit(spark):
     """The query at sf0.01 against gradient descent over all preference pairs, and against the labels it never saw."""
     folder = "/root/testdata/sf0.01"
