@@ -3,8 +3,9 @@
 Fingerprints that differ in at most ``radius`` bits agree in all but ``radius`` of ``blocks`` blocks of bits. Each
 choice of agreeing blocks gives a key, and all fingerprints with a key form a shard with a BK-tree of its own: the
 children of a node are keyed by their Hamming distance to it, and a search follows only the edges within the radius.
-Shard trees would not fit a broadcast (together they hold every fingerprint), so trees and queries of a shard meet
-by a shuffle on the key; a shard with very many fingerprints is split into several trees.
+Only fingerprints that share a shard with another one are in trees. The trees are broadcast and every fingerprint is
+searched where it lies, as long as they hold at most ``FOREST_ROWS`` rows, which is counted first. Beyond that, trees and
+queries of a shard meet by a shuffle on the key, and a shard with very many fingerprints is split into several trees.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from custlens.llm.components import components
 from custlens.session import stage
 
 TREE_SIZE = 20_000
+FOREST_ROWS = 200_000  # rows of shards up to which trees are broadcast: about 50 bytes for each choice of blocks
 _AT_ONCE = 200_000
 
 
@@ -139,30 +141,92 @@ def link_shards(group: np.ndarray, fp: np.ndarray, in_tree: np.ndarray, asks: np
     ask = np.flatnonzero(asks)
     forest = Forest(groups[tree], fp[tree])
     label = np.arange(len(fp))
-    # As many questions at once as could give a bounded number of answers.
-    most = np.cumsum(np.bincount(groups[tree], minlength=groups.max() + 1)[groups[ask]])
-    start = 0
-    while start < len(ask):
-        before = most[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(most, before + 4_000_000, side="right")))
-        for query, node in forest.within(groups[ask[start:stop]], fp[ask[start:stop]], radius):
-            _join_sets(label, ask[start:stop][query], tree[node])
-        start = stop
+    for part in _bounded(np.bincount(groups[tree], minlength=groups.max() + 1)[groups[ask]]):
+        for query, node in forest.within(groups[ask[part]], fp[ask[part]], radius):
+            _join_sets(label, ask[part][query], tree[node])
     hung = np.flatnonzero(label != np.arange(len(fp)))
     return fp[hung], fp[label[hung]]
 
 
-def fingerprint_links(nodes: DataFrame, radius: int, blocks: int) -> DataFrame:
-    """Links ``(a, b)`` that connect all of ``nodes(_fp)`` (distinct) within the radius; not every pair is given."""
+class ShardTrees:
+    """The BK-trees of all shards of ``fingerprints`` (distinct, ascending), a forest for each choice of blocks."""
+
+    def __init__(self, masks: list[int], fingerprints: np.ndarray):
+        self.fingerprints = fingerprints
+        self.forests = []
+        for mask in np.array(masks, np.int64).view(np.uint64):
+            order = np.argsort(fingerprints & mask, kind="stable")
+            groups = (fingerprints & mask)[order]
+            size = np.unique(groups, return_counts=True)[1]
+            self.forests.append((mask, order, Forest(groups, fingerprints[order]), size))
+
+    def join(self, label: np.ndarray, asked: np.ndarray, radius: int) -> None:
+        """Bring together, in ``label`` (one entry per fingerprint), what is within the radius of those asked for."""
+        place = np.minimum(np.searchsorted(self.fingerprints, asked), len(self.fingerprints) - 1)
+        place = place[self.fingerprints[place] == asked]  # others are alone in all of their shards
+        for mask, order, forest, size in self.forests:
+            groups = self.fingerprints[place] & mask
+            for part in _bounded(size[np.searchsorted(forest.groups, groups)]):
+                for query, node in forest.within(groups[part], self.fingerprints[place[part]], radius):
+                    _join_sets(label, place[part][query], order[node])
+
+
+def _bounded(answers: np.ndarray, most: int = 4_000_000):
+    """Slices of questions that could give at most so many answers together (or one question alone)."""
+    answers = np.cumsum(answers)
+    start = 0
+    while start < len(answers):
+        before = answers[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(answers, before + most, side="right")))
+        yield slice(start, stop)
+        start = stop
+
+
+def _masks(radius: int, blocks: int) -> list[int]:
+    """One mask (signed, 64 bits) for each choice of blocks that agree."""
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     masks = []
     for chosen in combinations(range(blocks), blocks - radius):
         mask = sum(((1 << (edges[b + 1] - edges[b])) - 1) << edges[b] for b in chosen)
         masks.append(mask - (1 << 64) if mask >= 1 << 63 else mask)
+    return masks
+
+
+def fingerprint_links(nodes: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """Links ``(a, b)`` that connect all of ``nodes(_fp)`` (distinct) within the radius; not every pair is given."""
+    masks = _masks(radius, blocks)
     keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("_fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks)])
     keyed = nodes.select("_fp", F.inline(keys))
-    sizes = keyed.groupBy("choice", "bits").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = stage(keyed.groupBy("choice", "bits").agg(F.count("*").alias("n")).filter("n > 1"), "shards", compression="zstd")
     shared = keyed.join(sizes, ["choice", "bits"])
+    if sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] <= FOREST_ROWS:
+        return _links_by_broadcast(nodes, shared, masks, radius)
+    return _links_by_shuffle(shared, radius)
+
+
+def _links_by_broadcast(nodes: DataFrame, shared: DataFrame, masks: list[int], radius: int) -> DataFrame:
+    """All ``nodes`` go past the broadcast trees; a task hands back a star for each set that its nodes brought together."""
+    found = shared.select("_fp").distinct().toArrow().column(0).to_numpy()  # at most FOREST_ROWS
+    if not len(found):
+        return nodes.select(F.col("_fp").alias("a"), F.col("_fp").alias("b")).limit(0)
+    trees = nodes.sparkSession.sparkContext.broadcast(ShardTrees(masks, np.sort(found.view(np.uint64))))
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def link(batches):
+        every = trees.value.fingerprints
+        label = np.arange(len(every))
+        for batch in batches:
+            trees.value.join(label, batch.column(0).to_numpy().view(np.uint64), radius)
+        hung = np.flatnonzero(label != np.arange(len(every)))
+        yield table(out, a=every[hung].view(np.int64), b=every[label[hung]].view(np.int64))
+
+    links = stage(nodes.select("_fp").mapInArrow(link, "a long, b long").distinct(), "links")
+    trees.destroy()
+    return links
+
+
+def _links_by_shuffle(shared: DataFrame, radius: int) -> DataFrame:
+    """Trees and questions of a shard meet in one task; crowded shards are several trees, each pair of which is asked once."""
     trees = F.ceil(F.col("n") / TREE_SIZE).cast("int")
     mine = F.pmod(F.xxhash64("_fp"), trees).cast("int")
     placed = shared.select("choice", "bits", "_fp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), trees - 1)).alias("other")).select(

@@ -39,13 +39,35 @@ def test_trees_find_all_within_the_radius():
 
 def test_components_as_by_brute_force(docs, monkeypatch):
     texts = edited(1)
-    for size in (20_000, 7):  # small trees: crowded shards are split
+    for size, rows in ((20_000, 200_000), (20_000, 0), (7, 0)):  # trees broadcast; met by a shuffle; crowded shards split
         monkeypatch.setattr(simhash, "TREE_SIZE", size)
+        monkeypatch.setattr(simhash, "FOREST_ROWS", rows)
         got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.simhash_components(docs(enumerate(texts))).collect()}
         prints, groups = plain.simhash_groups(texts)
         assert got == {i: (f"{int(p):016x}", g) for i, (p, g) in enumerate(zip(prints, groups))}
 
 
+def test_both_ways_link_crowded_shards_alike(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    near = draw.integers(0, 1 << 63, 30, dtype=np.uint64)
+    flips = np.uint64(1) << draw.integers(0, 64, (30, 40), dtype=np.uint64)
+    steps = np.bitwise_xor.accumulate(np.concatenate([near[:, None], flips], axis=1), axis=1)  # chains, one bit a step
+    fps = np.unique(np.concatenate([steps.ravel(), draw.integers(0, 1 << 63, 500, dtype=np.uint64)]))
+    nodes = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "_fp long").repartition(5)
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2
+    label = np.arange(len(fps))
+    while not np.array_equal(label, least := np.where(near, label[None, :], len(fps)).min(axis=1)):
+        label = least
+    want = {(int(a), int(b)) for i, a in enumerate(fps.view(np.int64)) for j, b in enumerate(fps.view(np.int64)) if i != j and label[i] == label[j]}
+    for rows in (200_000, 0):
+        monkeypatch.setattr(simhash, "FOREST_ROWS", rows)
+        hung = components(simhash.fingerprint_links(nodes, 2, 4)).collect()
+        sets = {}
+        for r in hung:
+            sets.setdefault(r.component, {r.component}).add(r.node)
+        assert {(a, b) for s in sets.values() for a in s for b in s if a != b} == want
+
+
 def test_odd_rows(odd, nothing):
     got = simhash.simhash_components(odd).toPandas()
     assert len(got) == len(ODD)
