@@ -6,15 +6,17 @@ state. All other words fall into classes by their shape (length, last character,
 word is its count in the training documents plus one, over the class, so every corpus count enters the score. A
 document is scored from its first token to its end: the state is carried across the windows in which it is worked on.
 
-Counts come from all training documents. The weights are trained in tasks, each on its own documents by truncated
-backpropagation, and averaged after every round; each training document takes part in one of the rounds (``share`` of
-them where that is set lower), so training grows with the corpus.
+Counts come from all training documents. Every document is then encoded once; training and scoring read the written
+symbols. The weights are trained in tasks, each on its own documents by truncated backpropagation, and averaged after
+every round; each training document takes part in one of the rounds (``share`` of them where that is set lower), so
+training grows with the corpus.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -97,10 +99,7 @@ class Vocabulary:
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         """Codes of a document and its end; its words outside the lookup."""
-        find = self.code.get
-        codes = [find(w, -1) for w in words]
-        codes.append(find(END, -1))
-        out = np.array(codes, np.int64)
+        out = np.fromiter(map(self.code.get, chain(words, (END,)), repeat(-1)), np.int64, len(words) + 1)
         missing = np.flatnonzero(out < 0)
         first = self.symbols - SHAPES
         unknown = [words[i] if i < len(words) else END for i in missing.tolist()]
@@ -408,14 +407,66 @@ def drawn(texts: DataFrame, settings: Settings, number: int) -> DataFrame:
     return texts.filter((F.col("_draw") >= low) & (F.col("_draw") < high))
 
 
-def train_network(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col: str) -> Network:
-    """Rounds of training in tasks; after each the weights are averaged by the number of tokens they were trained on."""
-    spark = docs.sparkSession
+def encoded_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col: str) -> DataFrame:
+    """All documents as symbols (32-bit integers, in bytes), with what does not depend on the state; written once.
+
+    ``_draw`` places a training document in a round. ``rest`` holds the words outside the lookup and how often they occur.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = docs.schema[id_col].dataType.simpleString()
+    columns = (
+        f"_row long, _id {kind}, held_out boolean, _draw long, n_tokens long, n_known long, base double, within double, symbols binary, "
+        "rest array<struct<word: binary, n: int>>"
+    )
+
+    def run(batches):
+        words = shared.value
+        first = TaskContext.get().partitionId() << 33
+        for batch in (p for b in batches for p in pieces(b, "_text", 24_000_000)):
+            n_tokens, n_known, base, within, symbols = [], [], [], [], []
+            rare: list[bytes] = []
+            times: list[int] = []
+            ends = [0]
+            for text in batch.column(3):
+                codes, unknown = words.encode(tokens((text.as_py() or "").encode()))
+                logs = words.log_count[codes]
+                chosen = words.symbol[codes]
+                others = chosen >= words.symbols - SHAPES
+                n_tokens.append(len(codes))
+                n_known.append(int(words.is_known[codes].sum()))
+                base.append(float(logs.sum()) - len(codes) * words.base_norm)
+                within.append(float(logs[others].sum() - words.rest[chosen[others] - (words.symbols - SHAPES)].sum()))
+                symbols.append(chosen.astype(np.int32).tobytes())
+                unknown = Counter(unknown)
+                rare += unknown
+                times += unknown.values()
+                ends.append(len(rare))
+            rows = np.arange(first, first + batch.num_rows)
+            first += batch.num_rows
+            entries = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(rows, pa.int64()), batch.column(0), batch.column(1), batch.column(2), pa.array(n_tokens, pa.int64()),
+                    pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(within, pa.float64()),
+                    pa.array(symbols, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries),
+                ],
+                names=["_row", "_id", "held_out", "_draw", "n_tokens", "n_known", "base", "within", "symbols", "rest"],
+            )
+
+    draw = F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_000))
+    rows = docs.select(F.col(id_col).alias("_id"), held_out(id_col).alias("held_out"), draw.alias("_draw"), F.col(text_col).cast("string").alias("_text"))
+    encoded = stage(rows.mapInArrow(run, columns), "encoded", compression="zstd")
+    shared.destroy()
+    return encoded
+
+
+def train_network(documents: DataFrame, vocabulary: Vocabulary) -> Network:
+    """Rounds of training in tasks on ``(symbols, _draw)``; after each the weights are averaged by the number of tokens."""
+    spark = documents.sparkSession
     settings = vocabulary.settings
     network = Network(vocabulary)
     flat = network.flat()
     block = 1024
-    texts = docs.select(F.col(text_col).cast("string").alias("_text"), F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_000)).alias("_draw"))
     words = spark.sparkContext.broadcast(vocabulary)
     schema = pa.schema([("block", pa.int32()), ("n", pa.int64()), ("w", pa.list_(pa.float64()))])
     for number in range(settings.rounds):
@@ -428,10 +479,9 @@ def train_network(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col
             held: list[np.ndarray] = []
             n = waiting = 0
             for batch in batches:
-                for text in batch.column(0):
-                    codes, _ = words.value.encode(tokens((text.as_py() or "").encode()))
-                    held.append(words.value.symbol[codes])
-                    n, waiting = n + len(codes), waiting + len(codes)
+                for symbols in batch.column(0):
+                    held.append(np.frombuffer(symbols.as_py(), np.int32))
+                    n, waiting = n + len(held[-1]), waiting + len(held[-1])
                     if waiting >= _TRAINING_TOKENS:
                         own.train(held, settings, moments)
                         held, waiting = [], 0
@@ -447,7 +497,7 @@ def train_network(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col
             mean = np.sum(np.stack([np.asarray(x) for x in group.column("w").to_pylist()]), axis=0) / n
             return pa.Table.from_batches([table(schema, block=[group.column("block")[0].as_py()], n=[n], w=[mean])])
 
-        averaged = drawn(texts, settings, number).select("_text").mapInArrow(run, "block int, n long, w array<double>").groupBy("block").applyInArrow(add, "block int, n long, w array<double>")
+        averaged = drawn(documents, settings, number).select("symbols").mapInArrow(run, "block int, n long, w array<double>").groupBy("block").applyInArrow(add, "block int, n long, w array<double>")
         parts = sorted((r.block, r.w) for r in averaged.collect())  # the size of the model
         if parts:
             flat = np.concatenate([np.asarray(w) for _, w in parts]).astype(np.float32)
@@ -472,53 +522,27 @@ def score_documents(docs: DataFrame, settings: Settings | None = None, id_col: s
     learnt = docs.filter(~held_out(id_col))
     counts = stage(word_counts(learnt, text_col), "word-counts", compression="zstd")
     vocabulary = vocabulary_of(counts, settings)
-    network = train_network(learnt, vocabulary, id_col, text_col)
-    shared = spark.sparkContext.broadcast((vocabulary, network))
+    encoded = encoded_documents(docs, vocabulary, id_col, text_col)
+    network = train_network(encoded.filter(~F.col("held_out")), vocabulary)
+    shared = spark.sparkContext.broadcast(network)
     kind = docs.schema[id_col].dataType.simpleString()
-    columns = f"_row long, _id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rest array<struct<word: binary, n: int>>"
 
     def run(batches):
-        words, net = shared.value
-        first = TaskContext.get().partitionId() << 33
-        log_ten = np.log(10)
-        for batch in (p for b in batches for p in pieces(b, "_text", 24_000_000)):
-            n_tokens, n_known, base, within, symbols = [], [], [], [], []
-            rare: list[bytes] = []
-            times: list[int] = []
-            ends = [0]
-            for text in batch.column(2):
-                codes, unknown = words.encode(tokens((text.as_py() or "").encode()))
-                logs = words.log_count[codes]
-                chosen = words.symbol[codes]
-                others = chosen >= words.symbols - SHAPES
-                n_tokens.append(len(codes))
-                n_known.append(int(words.is_known[codes].sum()))
-                base.append(float(logs.sum()) - len(codes) * words.base_norm)
-                within.append(float(logs[others].sum() - words.rest[chosen[others] - (words.symbols - SHAPES)].sum()))
-                symbols.append(chosen.astype(np.int32))
-                unknown = Counter(unknown)
-                rare += unknown
-                times += unknown.values()
-                ends.append(len(rare))
-            score = net.score(symbols) / log_ten + np.array(within)
-            rows = np.arange(first, first + batch.num_rows)
-            first += batch.num_rows
-            entries = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows, pa.int64()), batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries),
-                ],
-                names=["_row", "_id", "held_out", "n_tokens", "n_known", "base", "score", "rest"],
-            )
-
-    rows = docs.select(F.col(id_col).alias("_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("_text"))
-    scored = stage(rows.mapInArrow(run, columns), "scored", compression="zstd")
+        net = shared.value
+        for batch in (p for b in batches for p in pieces(b, "symbols", 16_000_000)):
+            symbols = [np.frombuffer(x.as_py(), np.int32) for x in batch.column(batch.num_columns - 1)]
+            score = net.score(symbols) / np.log(10) + batch.column(batch.num_columns - 2).to_numpy()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(score, pa.float64())], names=[*batch.schema.names[:-2], "score"])
+
+    columns = f"_row long, _id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double"
+    carried = encoded.select("_row", "_id", "held_out", "n_tokens", "n_known", "base", "within", "symbols")
+    scored = stage(carried.mapInArrow(run, columns), "scored", compression="zstd")
+    shared.destroy()
     # What is missing of words outside the lookup is the log of their counts plus one: nothing for a count of zero.
-    rare = scored.select("_row", F.inline("rest")).join(counts, "word")
+    rare = encoded.select("_row", F.inline("rest")).join(counts, "word")
     found = rare.groupBy("_row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("_more"), F.sum("n").alias("_known"))
     more, known = F.coalesce("_more", F.lit(0.0)), F.coalesce("_known", F.lit(0))
-    return scored.drop("rest").join(found, "_row", "left").select(
+    return scored.join(found, "_row", "left").select(
         F.col("_id").alias(id_col),
         "held_out",
         "n_tokens",
