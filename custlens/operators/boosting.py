@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custlens.functions.columns import require_columns
-from custlens.session import stage
+from custlens.session import spread_rows, stage
 
+TASK_ROWS = 100_000  # rows that one task scans for a level, about
 _STAGED_TREES = 8  # trees whose margins are added as expressions before they are written
 
 
@@ -132,7 +133,8 @@ def train(
     edges = [sorted(set(found[f"q{j}"] or [])) for j in range(len(features))]
     n_bins = max(map(len, edges)) + 1
     bins = [_bin(f, e).alias(f"b{j}") for j, (f, e) in enumerate(zip(features, edges))]
-    state = stage(known.select(F.col(label).cast("double").alias("y"), *bins, F.lit(0.0).alias("m")), "boosting")
+    binned = known.select(F.col(label).cast("double").alias("y"), *bins, F.lit(0.0).alias("m"))
+    state = stage(spread_rows(binned, TASK_ROWS, known.count()), "boosting")
     model = BoostedModel(list(features))
     recent: list[Node] = []
 
