@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -25,8 +26,21 @@ BLOCKED_BY = {
 }
 
 
+def _shape(fmt: str) -> str | None:
+    """An expression that every text in ``fmt`` matches; None for formats of other letters than d, M and yyyy."""
+    tokens = re.findall(r"[A-Za-z]+|[^A-Za-z]+", fmt)
+    if not all(t in ("d", "dd", "M", "MM", "yyyy") or re.fullmatch(r"[-/. ]+", t) for t in tokens):
+        return None
+    parts = [r"[+-]?[0-9]{4,}" if t == "yyyy" else r"[+-]?[0-9]+" if t.isalpha() else re.escape(t) for t in tokens]
+    return f"^{''.join(parts)}$"
+
+
 def _parsed(column: str, fmt: str) -> Column:
-    return F.try_to_date(F.col(column).cast("string"), fmt)
+    """The date, or NULL. A text that cannot be in the format is never parsed, as a failed attempt costs far more."""
+    text = F.col(column).cast("string")
+    shape = _shape(fmt)
+    found = F.try_to_date(text, fmt)
+    return found if shape is None else F.when(text.rlike(shape), found)
 
 
 def coerce_dates(
