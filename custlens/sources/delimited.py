@@ -208,15 +208,16 @@ def _fields(records: DataFrame, separators: Mapping[str, str], width: int, separ
 
     A marker behind the last field tells how many there are; where it isn't found there are more than ``width`` + 1.
     """
-    names = [f"f{i}" for i in range(width + 2)]
+    names = [f"_f{i}" for i in range(width + 2)]
     ddl = F.lit(", ".join(f"{n} string" for n in names))
-    split = F.lit(None).cast("array<string>")
+    parsed = F.lit(None).cast(T.StructType([T.StructField(n, T.StringType()) for n in names]))
     for sep in separators.values():
-        parsed = F.from_csv(F.concat("value", F.lit(sep + _END)), ddl, {"sep": sep, "escape": '"'})
-        split = F.when(separator == sep, F.array(*[parsed[n] for n in names])).otherwise(split)
+        fields = F.from_csv(F.concat("value", F.lit(sep + _END)), ddl, {"sep": sep, "escape": '"'})
+        parsed = F.when(separator == sep, fields).otherwise(parsed)
     end = F.array_position("fields", _END)
     n_fields = F.when(end > 0, end - 1).otherwise(F.lit(width + 2))
-    split = records.withColumn("fields", split).withColumn("n_fields", n_fields)
+    # A generator's columns are computed once a record, however many expressions and filters read them.
+    split = records.select("*", F.inline(F.array(parsed))).withColumn("fields", F.array(*names)).drop(*names).withColumn("n_fields", n_fields)
     return split.withColumn("fields", F.slice("fields", F.lit(1), F.least(F.col("n_fields"), F.lit(width + 1)).cast("int")))
 
 
@@ -325,7 +326,7 @@ def profile_files(spark: SparkSession, path: str | Sequence[str], with_header: b
     per_file = lines.groupBy("file_path").agg(
         F.min_by("bytes", "place").alias("head"),
         F.bool_and(F.is_valid_utf8("value")).alias("all_utf8"),
-        F.count_if(F.hex("bytes") != "00").alias("line_count"),  # the second half of a last line break is no line
+        F.count_if(F.col("bytes") != F.lit(b"\0")).alias("line_count"),  # the second half of a last line break is no line
     )
     mark = F.hex(F.substring("head", 1, 3))
     encoding = (
