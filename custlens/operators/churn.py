@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,12 +19,14 @@ from custlens.operators import metrics
 from custlens.operators.cleaning import encode_categories
 from custlens.operators.clustering import standardise
 from custlens.operators.enrich import enrich
-from custlens.session import stage
+from custlens.session import spread_rows, stage
 
 # Features in the order models see them, and those that are categories.
 FEATURES = ["recency", "frequency", "monetary", "age", "gender", "tenure", "segment"]
 CATEGORIES = ["gender", "city", "segment"]
 
+TASK_ROWS = 100_000  # rows of a model that one task scans, about; a forest of 100 trees keeps half a kilobyte a row
+
 
 def churn_labels(
     orders: DataFrame,
@@ -160,13 +163,31 @@ def model_input(df: DataFrame, features: Sequence[str], train: DataFrame | None
 
 
 def _fit(classifier, rows: DataFrame, features: Sequence[str]) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=[f"{c}_z" for c in features], outputCol="features")
-    points = assembler.transform(rows).select("features", classifier.getLabelCol()).persist()
+    """Fit on rows that are written once and dealt to tasks of about ``TASK_ROWS``.
+
+    Spark ML takes the quantiles that features are split at from a sample as soon as there are more rows than its sample
+    holds. From there on features are cut at quantiles of all rows first (within a ten-thousandth of the rows), so that every
+    bin is one value to Spark ML.
+    """
+    names, label = [f"{c}_z" for c in features], classifier.getLabelCol()
+    staged = stage(rows.select(*names, label), "fit-input")
+    n = staged.count()
+    stages = []
+    if n > max(classifier.getMaxBins() ** 2, 10_000):
+        at = [i / classifier.getMaxBins() for i in range(1, classifier.getMaxBins())]
+        found = staged.agg(*[F.percentile_approx(c, at, 10_000).alias(c) for c in names]).first()
+        # a bucket holds its lower edge, a bin its upper one
+        edges = [[-math.inf, *sorted({math.nextafter(v, math.inf) for v in found[c] or []}), math.inf] for c in names]
+        binned = [f"{c}_bin" for c in names]
+        stages.append(Bucketizer(splitsArray=edges, inputCols=names, outputCols=binned))
+        names = binned
+    stages.append(VectorAssembler(inputCols=names, outputCol="features"))
+    points = PipelineModel(stages).transform(spread_rows(staged, TASK_ROWS, n)).select("features", label).persist()
     try:
         model = classifier.fit(points)
     finally:
         points.unpersist()
-    return PipelineModel([assembler, model])
+    return PipelineModel([*stages, model])
 
 
 def train_random_forest(
@@ -180,7 +201,7 @@ def train_random_forest(
 ) -> PipelineModel:
     """Random forest on the output of :func:`model_input`. A depth of 30 is the most that Spark grows; features are
     split at ``max_bins`` - 1 quantiles."""
-    forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=max_depth, maxBins=max_bins, seed=seed)
+    forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=max_depth, maxBins=max_bins, seed=seed, cacheNodeIds=True)
     return _fit(forest, rows, features)
 
 
@@ -202,10 +223,11 @@ def train_boosted_trees(
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Add ``predicted`` (0 or 1) and ``churn_probability``."""
     scored = model.transform(rows)
+    binned = [c for s in model.stages if isinstance(s, Bucketizer) for c in s.getOutputCols()]
     return (
         scored.withColumn("predicted", F.col("prediction").cast("int"))
         .withColumn("churn_probability", vector_to_array("probability")[1])
-        .drop("features", "rawPrediction", "probability", "prediction")
+        .drop("features", "rawPrediction", "probability", "prediction", *binned)
     )
 
 

@@ -12,7 +12,7 @@ from custlens.functions.order_stats import medians
 from custlens.operators import advice, churn, cleaning, clustering, enrich, marketing, metrics, products, quality, rfm, stats, value
 from custlens.plans import retail
 from custlens.plans.check_sql import check, tie_shift
-from custlens.session import scratch_path, stage
+from custlens.session import scratch_path, spread_rows, stage
 from custlens.sources import delimited, headers
 from custlens.sources import retail_views as views
 
@@ -1339,7 +1339,7 @@ def separable(spark, folder):
 
 def _separable_input(spark, folder):
     rows = stage(separable(spark, folder), "separable")
-    return stage(churn.model_input(rows, FEATURES), "separable-input")
+    return stage(spread_rows(churn.model_input(rows, FEATURES), churn.TASK_ROWS, rows.count()), "separable-input")
 
 
 @query(f"SELECT customer_id, churn, churn AS predicted FROM ({_SEPARABLE})")
