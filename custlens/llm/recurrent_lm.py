@@ -14,17 +14,17 @@ training grows with the corpus.
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass, field
-from itertools import chain, repeat
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.llm.arrow import pieces, table
+from custlens.llm.arrow import pieces, table, utf8
 from custlens.session import stage
 
 END = b""  # no word is empty
@@ -35,20 +35,31 @@ _LETTER[list(b",")] = 2
 _LETTER[list(b"!?;:\"')]|*#%&$")] = 3
 SHAPES = 24
 _TOP = np.float32(60)  # states are bounded, so logits stay far below; exp must not overflow
+HASHED_WORDS = 500_000  # of a shuffle partition: about 50 MB in a hash table
 _TRAINING_TOKENS = 400_000  # that share the lanes of a batch
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words between ASCII white space, A-Z in lower case."""
-    return text.lower().split()
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words between ASCII white space, A-Z in lower case, each text's end behind its words; how many tokens each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words = split.flatten().cast(pa.binary())
+    here = np.flatnonzero(pc.binary_length(words))  # white space at the ends of a text leaves empty words
+    number = np.diff(np.searchsorted(here, split.offsets)) + 1
+    place = np.full(len(here) + len(number), len(words))  # of the end
+    is_word = np.ones(len(place), bool)
+    is_word[np.cumsum(number) - 1] = False
+    place[is_word] = here
+    return pa.concat_arrays([words, pa.array([END], pa.binary())]).take(pa.array(place)), number
 
 
-def shape(word: bytes) -> int:
-    """Class of a word outside the vocabulary; the end counts as a short one."""
-    if not word:
-        return 0
-    size = 0 if len(word) <= 7 else 1 if len(word) <= 12 else 2
-    return (size * 4 + int(_LETTER[word[-1]])) * 2 + (not word.isascii())
+def shapes(words: pa.Array) -> np.ndarray:
+    """Classes of words outside the vocabulary; the end counts as a short one."""
+    data, starts = utf8(words)
+    long, ends = np.diff(starts), starts[1:]
+    beyond = np.concatenate([[0], np.cumsum(data > 127)])
+    size = (long > 7).astype(np.int64) + (long > 12)
+    last = _LETTER[np.append(data, np.uint8(0))[ends - 1]]
+    return np.where(long > 0, (size * 4 + last) * 2 + (beyond[ends] > beyond[starts[:-1]]), 0)
 
 
 @dataclass
@@ -75,18 +86,16 @@ class Vocabulary:
     distinct: int
     rest: np.ndarray  # log of count and distinct words of each shape, plus one
     mass: np.ndarray  # tokens by shape
-    code: dict[bytes, int] = field(default_factory=dict)
 
     def __post_init__(self):
         s = self.settings
-        frequent = self.words[: s.classes * s.words_per_class]
-        self.n = len(frequent)
+        self.n = min(len(self.words), s.classes * s.words_per_class)
         self.symbols = s.classes * s.words_per_class + SHAPES
         first = s.classes * s.words_per_class
         # Codes below ``symbols`` are frequent words or bare shapes; above, other words of known count.
-        self.code = {w: i for i, w in enumerate(frequent)}
-        extra = self.words[self.n :]
-        self.code.update((w, self.symbols + i) for i, w in enumerate(extra))
+        self.listed = pa.array(self.words, pa.binary())
+        extra = self.listed[self.n :]
+        self.code = np.concatenate([np.arange(self.n), self.symbols + np.arange(len(extra)), [-1]])
         c = np.array(self.counts, float)
         self.log_count = np.zeros(self.symbols + len(extra))
         self.log_count[: self.n] = np.log10(c[: self.n] + 1)
@@ -94,17 +103,15 @@ class Vocabulary:
         self.is_known = np.zeros(self.symbols + len(extra), bool)
         self.is_known[: self.n] = self.is_known[self.symbols :] = True
         self.symbol = np.arange(self.symbols + len(extra))
-        self.symbol[self.symbols :] = first + np.array([shape(w) for w in extra], np.int64)
+        self.symbol[self.symbols :] = first + shapes(extra)
         self.base_norm = np.log10(self.total + self.distinct + 1)
 
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-        """Codes of a document and its end; its words outside the lookup."""
-        out = np.fromiter(map(self.code.get, chain(words, (END,)), repeat(-1)), np.int64, len(words) + 1)
-        missing = np.flatnonzero(out < 0)
-        first = self.symbols - SHAPES
-        unknown = [words[i] if i < len(words) else END for i in missing.tolist()]
-        out[missing] = [first + shape(w) for w in unknown]
-        return out, unknown
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of tokens; which of them are outside the lookup."""
+        out = self.code[pc.fill_null(pc.index_in(words, value_set=self.listed), -1).to_numpy()]
+        missing = out < 0
+        out[missing] = self.symbols - SHAPES + shapes(words.filter(pa.array(missing)))
+        return out, missing
 
 
 class Network:
@@ -166,46 +173,50 @@ class Network:
     def log_probability(self, states: np.ndarray, symbols: np.ndarray, gradient=None) -> np.ndarray:
         """Natural log probability of each symbol (of its class only, for shapes); adds gradients of the negated sum."""
         states = np.ascontiguousarray(states)
-        logits = states @ self.wc
-        logits += self.bc
-        np.minimum(logits, _TOP, out=logits)
-        e = np.exp(logits)
-        total = e @ np.ones(e.shape[1], np.float32)  # a product is the faster sum over short rows
+        e = states @ self.wc
+        e += self.bc
+        np.minimum(e, _TOP, out=e)
         kind = self.class_of(symbols)
-        rows = np.arange(len(symbols))
-        out = logits[rows, kind].astype(np.float64) - np.log(total)
-        del logits
+        chosen = np.arange(len(symbols)) * e.shape[1] + kind  # place in the flat array
+        out = e.ravel()[chosen].astype(np.float64)
+        np.exp(e, out=e)
+        total = e @ np.ones(e.shape[1], np.float32)  # a product is the faster sum over short rows
+        out -= np.log(total)
         back = None
         if gradient is not None:
             e /= total[:, None]
-            e[rows, kind] -= 1
+            e.ravel()[chosen] -= 1
             gradient["wc"] += states.T @ e
             gradient["bc"] += np.ones(len(e), np.float32) @ e
             back = e @ self.wc.T
         # Words inside their classes: rows in order of class, so that a class is one product and the rest is done for all at once.
         order = np.argsort(kind.astype(np.int16 if self.classes < 1 << 14 else np.int64), kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(self.classes + 1)).tolist()
-        order = order[: edges[-1]]
-        own = states[order]
+        of_class = kind.take(order)
+        edges = np.searchsorted(of_class, np.arange(self.classes + 1)).tolist()
+        order, of_class = order[: edges[-1]], of_class[: edges[-1]]
+        own = states.take(order, axis=0)
         spans = [(c, slice(*edges[c : c + 2])) for c in range(self.classes) if edges[c] < edges[c + 1]]
-        inner = np.empty((len(order), self.size), np.float32)
+        e = np.empty((len(order), self.size), np.float32)
         for c, here in spans:
-            np.matmul(own[here], self.wo[c], out=inner[here])
-        inner += self.bo[kind[order]]
-        np.minimum(inner, _TOP, out=inner)
-        rows, place = np.arange(len(order)), symbols[order] - kind[order] * self.size
-        chosen = inner[rows, place].astype(np.float64)
-        e = np.exp(inner, out=inner)
+            np.matmul(own[here], self.wo[c], out=e[here])
+        e += self.bo.take(of_class, axis=0)
+        np.minimum(e, _TOP, out=e)
+        chosen = np.arange(len(order)) * self.size + (symbols.take(order) - of_class * self.size)
+        found = e.ravel()[chosen].astype(np.float64)
+        np.exp(e, out=e)
         total = e @ np.ones(self.size, np.float32)
-        out[order] += chosen - np.log(total)
-        if gradient is not None:
+        found -= np.log(total)
+        out[order] += found
+        if gradient is not None and spans:
             e /= total[:, None]
-            e[rows, place] -= 1
+            e.ravel()[chosen] -= 1
             below = np.empty_like(own)
+            wo, bo = gradient["wo"], gradient["bo"]
             for c, here in spans:
-                gradient["wo"][c] += own[here].T @ e[here]
-                gradient["bo"][c] += e[here].sum(axis=0)
-                np.matmul(e[here], self.wo[c].T, out=below[here])
+                part = e[here]
+                wo[c] += own[here].T @ part
+                bo[c] += np.add.reduce(part, axis=0)
+                np.matmul(part, self.wo[c].T, out=below[here])
             back[order] += below
         return out if gradient is None else (out, back)
 
@@ -266,7 +277,7 @@ class Network:
         steps, lanes = symbols.shape
         n = self.hidden
         going_on = (before >= 0).astype(np.float32)
-        told = np.concatenate([self.embed, np.zeros((1, n), np.float32)])[before]
+        told = np.concatenate([self.embed, np.zeros((1, n), np.float32)]).take(before, axis=0)
         # (step, feature, lane): what a step works on is contiguous.
         gates = self.wx.T @ told.transpose(0, 2, 1)
         gates += self.bias[:, None]
@@ -280,9 +291,13 @@ class Network:
             states[t] = h = new_h.T
         gradient = {name: np.zeros_like(getattr(self, name)) for name in ("wc", "bc", "wo", "bo")}
         seen = np.flatnonzero(symbols.ravel() >= 0)
-        _, back = self.log_probability(states.transpose(0, 2, 1).reshape(-1, n)[seen], symbols.ravel()[seen], gradient)
-        d_states = np.zeros((steps * lanes, n), np.float32)
-        d_states[seen] = back
+        here = slice(None) if len(seen) == symbols.size else seen
+        _, back = self.log_probability(states.transpose(0, 2, 1).reshape(-1, n)[here], symbols.ravel()[here], gradient)
+        if len(seen) == symbols.size:
+            d_states = back
+        else:
+            d_states = np.zeros((steps * lanes, n), np.float32)
+            d_states[seen] = back
         d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, n).transpose(0, 2, 1))
         d_gates = np.empty((steps, 3 * n, lanes), np.float32)
         d_inner = np.empty((steps, 3 * n, lanes), np.float32)
@@ -305,12 +320,16 @@ class Network:
         gradient["bias"] = (d_gates @ np.ones(lanes, np.float32)).sum(axis=0)
         gradient["wx"] = (told.transpose(0, 2, 1) @ d_gates.transpose(0, 2, 1)).sum(axis=0)
         d_told = (self.wx @ d_gates).transpose(0, 2, 1).reshape(-1, n)
-        # Sums over runs of equal symbols; the entry before all others stands for no symbol.
-        by_row = np.argsort(before.ravel().astype(np.int16 if len(self.embed) < 1 << 15 else np.int64), kind="stable")
-        rows, firsts = np.unique(before.ravel()[by_row], return_index=True)
-        sums = np.add.reduceat(d_told[by_row], firsts, axis=0)
-        gradient["embed"] = np.zeros_like(self.embed)
-        gradient["embed"][rows[rows >= 0]] = sums[rows >= 0]
+        flat = before.ravel()
+        by_row = np.argsort(flat.astype(np.int16 if len(self.embed) < 1 << 15 else np.int64), kind="stable")
+        flat = flat.take(by_row)
+        # Sums over runs of equal symbols; the run before all others stands for no symbol.
+        firsts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        firsts = firsts[flat[firsts] >= 0]
+        rows = flat[firsts]
+        gradient["embed"], gradient["rows"] = np.zeros_like(self.embed), rows
+        if len(rows):
+            gradient["embed"][rows] = np.add.reduceat(d_told.take(by_row, axis=0), firsts, axis=0)
         self._update(gradient, len(seen), rate, moments)
         return h.T
 
@@ -324,38 +343,41 @@ class Network:
             if name not in moments:
                 moments[name] = (np.zeros_like(weights), np.zeros_like(weights))
             m_all, v_all = moments[name]
-            g = gradient[name]
-            place = np.flatnonzero(g.any(axis=1)) if name == "embed" else slice(None)
-            g = g[place] / np.float32(max(n, 1))
-            m, v = m_all[place], v_all[place]
-            m = m + np.float32(0.1) * (g - m)
+            place = gradient["rows"] if name == "embed" else slice(None)
+            g, m, v = gradient[name][place], m_all[place], v_all[place]
+            g /= np.float32(max(n, 1))
+            step = g - m
+            step *= np.float32(0.1)
+            m += step
             g *= g
-            v = v + np.float32(0.01) * (g - v)
-            m_all[place], v_all[place] = m, v
-            root = np.sqrt(v * spread)
+            np.subtract(g, v, out=step)
+            step *= np.float32(0.01)
+            v += step
+            if name == "embed":
+                m_all[place], v_all[place] = m, v
+            root = np.multiply(v, spread, out=step)
+            np.sqrt(root, out=root)
             root += np.float32(1e-6)
-            m *= scale
-            m /= root
-            weights[place] -= m
+            change = np.multiply(m, scale, out=g)
+            change /= root
+            weights[place] -= change
 
 
-def word_counts(docs: DataFrame, text_col: str = "text", most: int = 300_000) -> DataFrame:
+def word_counts(docs: DataFrame, text_col: str = "text", most_bytes: int = 32_000_000) -> DataFrame:
     """``word`` (bytes; empty for the end), ``c`` over all rows of ``docs``, added up in the tasks first."""
-    schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
     def count(batches):
-        found: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                found.update(tokens((text.as_py() or "").encode()))
-                if len(found) > most:
-                    yield table(schema, word=list(found), c=list(found.values()))
-                    found.clear()
-            found[END] += batch.num_rows
-        if found:
-            yield table(schema, word=list(found), c=list(found.values()))
-
-    partial = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "word binary, c long")
+        held, size = [], 0
+        for batch in chain((p for b in batches for p in pieces(b, "_text")), [None]):
+            if batch is not None:
+                held.append(tokens(batch.column(0))[0])
+                size += held[-1].nbytes
+            if held and (batch is None or size >= most_bytes):
+                found = pc.value_counts(pa.chunked_array(held))
+                yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "c"])
+                held, size = [], 0
+
+    partial = docs.select(F.col(text_col).cast("string").alias("_text")).mapInArrow(count, "word binary, c long")
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -382,22 +404,22 @@ def vocabulary_of(counts: DataFrame, settings: Settings) -> Vocabulary:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = frequent_words(counts, settings)
     words, numbers = [bytes(r.word) for r in top], [r.c for r in top]
-    frequent = set(words[: settings.classes * settings.words_per_class])
     schema = pa.schema([("shape", pa.int32()), ("c", pa.int64()), ("n", pa.int64())])
 
     def by_shape(batches):
         sums, n = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
         for batch in batches:
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if word not in frequent:
-                    s = shape(word)
-                    sums[s] += c
-                    n[s] += 1
+            kind = shapes(batch.column(0))
+            np.add.at(sums, kind, batch.column(1).to_numpy())
+            n += np.bincount(kind, minlength=SHAPES)
         yield table(schema, shape=list(range(SHAPES)), c=sums, n=n)
 
     rest = np.zeros((SHAPES, 2))
     for s, c, n in counts.mapInArrow(by_shape, "shape int, c long, n long").groupBy("shape").agg(F.sum("c"), F.sum("n")).collect():
         rest[s] = c, n
+    frequent = words[: settings.classes * settings.words_per_class]
+    for s, c in zip(shapes(pa.array(frequent, pa.binary())).tolist(), numbers):
+        rest[s] -= c, 1
     return Vocabulary(settings, words, numbers, total, distinct, np.log10(rest.sum(axis=1) + 1), rest[:, 0])
 
 
@@ -422,33 +444,35 @@ def encoded_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text
     def run(batches):
         words = shared.value
         first = TaskContext.get().partitionId() << 33
-        for batch in (p for b in batches for p in pieces(b, "_text", 24_000_000)):
-            n_tokens, n_known, base, within, symbols = [], [], [], [], []
-            rare: list[bytes] = []
-            times: list[int] = []
-            ends = [0]
-            for text in batch.column(3):
-                codes, unknown = words.encode(tokens((text.as_py() or "").encode()))
-                logs = words.log_count[codes]
-                chosen = words.symbol[codes]
-                others = chosen >= words.symbols - SHAPES
-                n_tokens.append(len(codes))
-                n_known.append(int(words.is_known[codes].sum()))
-                base.append(float(logs.sum()) - len(codes) * words.base_norm)
-                within.append(float(logs[others].sum() - words.rest[chosen[others] - (words.symbols - SHAPES)].sum()))
-                symbols.append(chosen.astype(np.int32).tobytes())
-                unknown = Counter(unknown)
-                rare += unknown
-                times += unknown.values()
-                ends.append(len(rare))
+        for batch in (p for b in batches for p in pieces(b, "_text")):
+            told, n_tokens = tokens(batch.column(3))
+            codes, missing = words.encode(told)
+            starts = np.cumsum(n_tokens) - n_tokens
+            logs = words.log_count[codes]
+            chosen = words.symbol[codes]
+            others = chosen >= words.symbols - SHAPES
+            n_known = np.add.reduceat(words.is_known[codes], starts, dtype=np.int64)
+            base = np.add.reduceat(logs, starts) - n_tokens * words.base_norm
+            logs[others] -= words.rest[chosen[others] - (words.symbols - SHAPES)]
+            logs[~others] = 0
+            within = np.add.reduceat(logs, starts)
+            edges = np.append(starts, len(codes)).astype(np.int32) * 4
+            symbols = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(edges), pa.py_buffer(chosen.astype(np.int32))])
+            # Words outside the lookup, counted by document.
+            unknown = told.filter(pa.array(missing)).dictionary_encode()
+            distinct = max(len(unknown.dictionary), 1)
+            owners = np.repeat(np.arange(batch.num_rows), n_tokens)[missing]
+            keys, times = np.unique(owners * distinct + unknown.indices.to_numpy(), return_counts=True)
+            ends = np.searchsorted(keys, np.arange(batch.num_rows + 1) * distinct)
             rows = np.arange(first, first + batch.num_rows)
             first += batch.num_rows
-            entries = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
+            rare = unknown.dictionary.take(pa.array(keys % distinct))
+            entries = pa.StructArray.from_arrays([rare, pa.array(times, pa.int32())], names=["word", "n"])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(rows, pa.int64()), batch.column(0), batch.column(1), batch.column(2), pa.array(n_tokens, pa.int64()),
                     pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(within, pa.float64()),
-                    pa.array(symbols, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries),
+                    symbols, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries),
                 ],
                 names=["_row", "_id", "held_out", "_draw", "n_tokens", "n_known", "base", "within", "symbols", "rest"],
             )
@@ -539,7 +563,9 @@ def score_documents(docs: DataFrame, settings: Settings | None = None, id_col: s
     scored = stage(carried.mapInArrow(run, columns), "scored", compression="zstd")
     shared.destroy()
     # What is missing of words outside the lookup is the log of their counts plus one: nothing for a count of zero.
-    rare = encoded.select("_row", F.inline("rest")).join(counts, "word")
+    # A hash table of few words spares sorting those of all documents; a large one could not be spilled.
+    few = vocabulary.distinct <= HASHED_WORDS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rare = encoded.select("_row", F.inline("rest")).join(counts.hint("shuffle_hash") if few else counts, "word")
     found = rare.groupBy("_row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("_more"), F.sum("n").alias("_known"))
     more, known = F.coalesce("_more", F.lit(0.0)), F.coalesce("_known", F.lit(0))
     return scored.join(found, "_row", "left").select(
