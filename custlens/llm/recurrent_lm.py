@@ -104,6 +104,7 @@ class Vocabulary:
         self.is_known[: self.n] = self.is_known[self.symbols :] = True
         self.symbol = np.arange(self.symbols + len(extra))
         self.symbol[self.symbols :] = first + shapes(extra)
+        self.kind = np.int16 if self.symbols < 1 << 14 else np.int32  # of written symbols
         self.base_norm = np.log10(self.total + self.distinct + 1)
 
     def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -175,7 +176,9 @@ class Network:
         states = np.ascontiguousarray(states)
         e = states @ self.wc
         e += self.bc
-        np.minimum(e, _TOP, out=e)
+        reach = max(states.max(initial=0), -states.min(initial=0))  # of a state; mostly it tells that no logit needs the bound
+        if (np.abs(self.wc).sum(axis=0) * reach + self.bc).max() > _TOP - 1:
+            np.minimum(e, _TOP, out=e)
         kind = self.class_of(symbols)
         chosen = np.arange(len(symbols)) * e.shape[1] + kind  # place in the flat array
         out = e.ravel()[chosen].astype(np.float64)
@@ -200,7 +203,8 @@ class Network:
         for c, here in spans:
             np.matmul(own[here], self.wo[c], out=e[here])
         e += self.bo.take(of_class, axis=0)
-        np.minimum(e, _TOP, out=e)
+        if (np.abs(self.wo).sum(axis=1) * reach + self.bo).max() > _TOP - 1:
+            np.minimum(e, _TOP, out=e)
         chosen = np.arange(len(order)) * self.size + (symbols.take(order) - of_class * self.size)
         found = e.ravel()[chosen].astype(np.float64)
         np.exp(e, out=e)
@@ -306,11 +310,10 @@ class Network:
             z, r, new, u = saved[t]
             d = np.add(d_states[t], carry, out=carry)
             d_z = d * z  # the state's own part, then the gate's
-            d_new = (d - d_z) * (1 - new * new)
             out, inner = d_gates[t], d_inner[t]
-            out[:n] = d_z * (inputs[t] - new) * (1 - z)
-            out[n : 2 * n] = d_new * u * r * (1 - r)
-            out[2 * n :] = d_new
+            d_new = np.multiply(d - d_z, 1 - new * new, out=out[2 * n :])
+            np.multiply(d_z * (inputs[t] - new), 1 - z, out=out[:n])
+            np.multiply(d_new * u * r, 1 - r, out=out[n : 2 * n])
             inner[: 2 * n] = out[: 2 * n]
             np.multiply(d_new, r, out=inner[2 * n :])
             carry = self.wh @ inner
@@ -430,7 +433,7 @@ def drawn(texts: DataFrame, settings: Settings, number: int) -> DataFrame:
 
 
 def encoded_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col: str) -> DataFrame:
-    """All documents as symbols (32-bit integers, in bytes), with what does not depend on the state; written once.
+    """All documents as symbols (integers of the vocabulary's kind, in bytes), with what does not depend on the state; written once.
 
     ``_draw`` places a training document in a round. ``rest`` holds the words outside the lookup and how often they occur.
     """
@@ -456,8 +459,8 @@ def encoded_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text
             logs[others] -= words.rest[chosen[others] - (words.symbols - SHAPES)]
             logs[~others] = 0
             within = np.add.reduceat(logs, starts)
-            edges = np.append(starts, len(codes)).astype(np.int32) * 4
-            symbols = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(edges), pa.py_buffer(chosen.astype(np.int32))])
+            edges = np.append(starts, len(codes)).astype(np.int32) * np.dtype(words.kind).itemsize
+            symbols = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(edges), pa.py_buffer(chosen.astype(words.kind))])
             # Words outside the lookup, counted by document.
             unknown = told.filter(pa.array(missing)).dictionary_encode()
             distinct = max(len(unknown.dictionary), 1)
@@ -504,7 +507,7 @@ def train_network(documents: DataFrame, vocabulary: Vocabulary) -> Network:
             n = waiting = 0
             for batch in batches:
                 for symbols in batch.column(0):
-                    held.append(np.frombuffer(symbols.as_py(), np.int32))
+                    held.append(np.frombuffer(symbols.as_py(), words.value.kind))
                     n, waiting = n + len(held[-1]), waiting + len(held[-1])
                     if waiting >= _TRAINING_TOKENS:
                         own.train(held, settings, moments)
@@ -551,10 +554,12 @@ def score_documents(docs: DataFrame, settings: Settings | None = None, id_col: s
     shared = spark.sparkContext.broadcast(network)
     kind = docs.schema[id_col].dataType.simpleString()
 
+    symbol_kind = vocabulary.kind
+
     def run(batches):
         net = shared.value
         for batch in (p for b in batches for p in pieces(b, "symbols", 16_000_000)):
-            symbols = [np.frombuffer(x.as_py(), np.int32) for x in batch.column(batch.num_columns - 1)]
+            symbols = [np.frombuffer(x.as_py(), symbol_kind) for x in batch.column(batch.num_columns - 1)]
             score = net.score(symbols) / np.log(10) + batch.column(batch.num_columns - 2).to_numpy()
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(score, pa.float64())], names=[*batch.schema.names[:-2], "score"])
 
@@ -565,8 +570,9 @@ def score_documents(docs: DataFrame, settings: Settings | None = None, id_col: s
     # What is missing of words outside the lookup is the log of their counts plus one: nothing for a count of zero.
     # A hash table of few words spares sorting those of all documents; a large one could not be spilled.
     few = vocabulary.distinct <= HASHED_WORDS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rare = encoded.select("_row", F.inline("rest")).join(counts.hint("shuffle_hash") if few else counts, "word")
-    found = rare.groupBy("_row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("_more"), F.sum("n").alias("_known"))
+    logs = counts.select("word", F.log10(F.col("c") + 1).alias("log"))
+    rare = encoded.select("_row", F.inline("rest")).join(logs.hint("shuffle_hash") if few else logs, "word")
+    found = rare.groupBy("_row").agg(F.sum(F.col("n") * F.col("log")).alias("_more"), F.sum("n").alias("_known"))
     more, known = F.coalesce("_more", F.lit(0.0)), F.coalesce("_known", F.lit(0))
     return scored.join(found, "_row", "left").select(
         F.col("_id").alias(id_col),
