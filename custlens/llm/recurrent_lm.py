@@ -35,7 +35,7 @@ _LETTER[list(b",")] = 2
 _LETTER[list(b"!?;:\"')]|*#%&$")] = 3
 SHAPES = 24
 _TOP = np.float32(60)  # states are bounded, so logits stay far below; exp must not overflow
-HASHED_WORDS = 500_000  # of a shuffle partition: about 50 MB in a hash table
+HASHED_WORDS = 500_000  # of a shuffle partition: a hash table of some 50 MB by estimate
 _TRAINING_TOKENS = 400_000  # that share the lanes of a batch
 
 
