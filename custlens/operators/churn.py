@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from custlens.functions.columns import as_date, attach, last_date, months_after, one_row, total
 from custlens.functions.order_stats import medians, running_totals
+from custlens.operators import forest as own_forest
 from custlens.operators import metrics
 from custlens.operators.cleaning import encode_categories
 from custlens.operators.clustering import standardise
@@ -26,6 +27,7 @@ FEATURES = ["recency", "frequency", "monetary", "age", "gender", "tenure", "segm
 CATEGORIES = ["gender", "city", "segment"]
 
 TASK_ROWS = 100_000  # rows of a model that one task scans, about; a forest of 100 trees keeps half a kilobyte a row
+DRIVER_ROWS = 500_000  # rows times trees that Spark ML may grow: up to two nodes each, about half a kilobyte a node, on the driver
 
 
 def churn_labels(
@@ -162,25 +164,36 @@ def model_input(df: DataFrame, features: Sequence[str], train: DataFrame | None
     return standardise(filled, features, fill_features(base, features))
 
 
+def _edges(staged: DataFrame, names: Sequence[str], max_bins: int) -> list[list[float]]:
+    """Edges of ``max_bins`` buckets a column at quantiles of all rows (within a ten-thousandth of the rows)."""
+    at = [i / max_bins for i in range(1, max_bins)]
+    found = staged.agg(*[F.percentile_approx(c, at, 10_000).alias(c) for c in names]).first()
+    # a bucket holds its lower edge, a bin its upper one
+    return [[-math.inf, *sorted({math.nextafter(v, math.inf) for v in found[c] or []}), math.inf] for c in names]
+
+
 def _fit(classifier, rows: DataFrame, features: Sequence[str]) -> PipelineModel:
     """Fit on rows that are written once and dealt to tasks of about ``TASK_ROWS``.
 
     Spark ML takes the quantiles that features are split at from a sample as soon as there are more rows than its sample
-    holds. From there on features are cut at quantiles of all rows first (within a ten-thousandth of the rows), so that every
-    bin is one value to Spark ML.
+    holds. From there on features are cut at quantiles of all rows first, so that every bin is one value to Spark ML.
+    Forests that could outgrow the driver are grown by :mod:`custlens.operators.forest`, on such bins too.
     """
     names, label = [f"{c}_z" for c in features], classifier.getLabelCol()
     staged = stage(rows.select(*names, label), "fit-input")
     n = staged.count()
+    outgrows = isinstance(classifier, RandomForestClassifier) and n * classifier.getNumTrees() > DRIVER_ROWS
     stages = []
-    if n > max(classifier.getMaxBins() ** 2, 10_000):
-        at = [i / classifier.getMaxBins() for i in range(1, classifier.getMaxBins())]
-        found = staged.agg(*[F.percentile_approx(c, at, 10_000).alias(c) for c in names]).first()
-        # a bucket holds its lower edge, a bin its upper one
-        edges = [[-math.inf, *sorted({math.nextafter(v, math.inf) for v in found[c] or []}), math.inf] for c in names]
+    if outgrows or n > max(classifier.getMaxBins() ** 2, 10_000):
+        edges = _edges(staged, names, classifier.getMaxBins())
         binned = [f"{c}_bin" for c in names]
         stages.append(Bucketizer(splitsArray=edges, inputCols=names, outputCols=binned))
         names = binned
+    if outgrows:
+        points = stages[0].transform(spread_rows(staged, TASK_ROWS, n))
+        n_bins = max(len(e) - 1 for e in edges)
+        trees, depth, seed = classifier.getNumTrees(), classifier.getMaxDepth(), classifier.getSeed()
+        return PipelineModel([*stages, own_forest.train(points, names, label, trees, depth, n_bins, seed)])
     stages.append(VectorAssembler(inputCols=names, outputCol="features"))
     points = PipelineModel(stages).transform(spread_rows(staged, TASK_ROWS, n)).select("features", label).persist()
     try:
@@ -200,7 +213,8 @@ def train_random_forest(
     seed: int = 42,
 ) -> PipelineModel:
     """Random forest on the output of :func:`model_input`. A depth of 30 is the most that Spark grows; features are
-    split at ``max_bins`` - 1 quantiles."""
+    split at ``max_bins`` - 1 quantiles. From ``DRIVER_ROWS`` on (rows times trees) the trees stay off the driver; such
+    a forest draws its bootstrap and features otherwise than Spark ML does."""
     forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=max_depth, maxBins=max_bins, seed=seed, cacheNodeIds=True)
     return _fit(forest, rows, features)
 
